@@ -28,5 +28,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     from filingframe.plans import (  # noqa: F401, PLC0415
+        board_queries,
+        function_queries,
+        ledger_queries,
         letter_queries,
+        resolve_queries,
     )

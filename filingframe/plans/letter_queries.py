@@ -111,7 +111,6 @@ def apply_to_column(spark, path):
     )
 
 
-@F.pandas_udf("double")
 def raised(amount: pd.Series) -> pd.Series:
     return amount * 1.25
 
@@ -121,7 +120,7 @@ def raised(amount: pd.Series) -> pd.Series:
     with_views("letters", "SELECT tracing_no, round(amount * 1.25, 4) AS amount FROM letters"),
 )
 def apply_pandas_function(spark, path):
-    df = frame.apply_to_column(letters(spark, path), "amount", raised)
+    df = frame.apply_to_column(letters(spark, path), "amount", F.pandas_udf(raised, "double"))
     return df.select("tracing_no", F.round("amount", 4).alias("amount"))
 
 

@@ -385,7 +385,11 @@ _SQL["outcomes"] = (
 
 
 def fetch_log(spark: SparkSession, path: str) -> DataFrame:
-    e = Tables(spark, path).events
+    return log_of_events(Tables(spark, path).events)
+
+
+def log_of_events(e: DataFrame) -> DataFrame:
+    """The fetch log of an events table or stream."""
     user = text("user_id")
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int")
