@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingframe.functions.text import ColumnOrName, as_col, latin_digits, strip
+from filingframe.functions.text import (
+    ARABIC_DIGITS,
+    ASCII_DIGITS,
+    PERSIAN_DIGITS,
+    ColumnOrName,
+    as_col,
+    strip,
+)
 
 # Fixed values of the 33-year rule: the day number of 1970-01-01, days per
 # 33-year cycle, the phase of the leap cycle and its leap years. A year starts
@@ -31,34 +38,32 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b)).cast("int")
 
 
-def _two(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
-
-
 def _days_before(year: Column) -> Column:
     return 365 * year + _div(8 * year + LEAP_PHASE, 33)
 
 
-# The expressions below mention their input as few times as possible: Spark
-# inlines them wherever a derived column is used in a filter.
-def _parts(date: ColumnOrName) -> tuple[Column, Column, Column]:
-    n = F.unix_date(as_col(date).cast("date")) + EPOCH_DAY
-    year = _div(33 * n + 11, DAYS_33)
-    doy = n - _days_before(year)
-    month = F.greatest(_div(doy, 31), _div(doy - 6, 30))
-    day = doy - 30 * month - F.least(month, F.lit(6))
-    return year, month + 1, day + 1
+def _days_of_year(sep: str) -> Column:
+    """Month and day of each day of a year; one constant array in the plan."""
+    lengths = [31] * 6 + [30] * 6
+    days = [f"{m:02d}{sep}{d:02d}" for m, n in enumerate(lengths, 1) for d in range(1, n + 1)]
+    return F.split(F.lit(",".join(days)), ",")
 
 
-def to_jalali(date: ColumnOrName, sep: str = "/") -> Column:
-    """Gregorian date or timestamp -> ``YYYY/MM/DD``."""
-    year, month, day = _parts(date)
-    text = F.concat_ws(sep, year.cast("string"), _two(month), _two(day))
-    return F.when(as_col(date).isNotNull(), text)
+# Spark inlines an expression wherever a derived column is used, so these
+# mention their input as few times as possible.
+def _day_number(date: ColumnOrName) -> Column:
+    return F.unix_date(as_col(date).cast("date")) + EPOCH_DAY
 
 
 def jalali_year(date: ColumnOrName) -> Column:
-    return _parts(date)[0]
+    return _div(33 * _day_number(date) + 11, DAYS_33)
+
+
+def to_jalali(date: ColumnOrName, sep: str = "/") -> Column:
+    """Gregorian date or timestamp -> ``YYYY/MM/DD``."""
+    year = jalali_year(date)
+    day_of_year = _day_number(date) - _days_before(year)
+    return F.concat(year.cast("string"), F.lit(sep), F.get(_days_of_year(sep), day_of_year))
 
 
 def gregorian_num_to_jalali(num: ColumnOrName) -> Column:
@@ -82,7 +87,11 @@ def is_jalali_date(c: ColumnOrName) -> Column:
 
 def from_jalali(c: ColumnOrName) -> Column:
     """Jalali text (slashes, dashes or compact, any digit script) -> date or null."""
-    text = F.regexp_replace(strip(latin_digits(as_col(c).cast("string"))), "[/-]", "")
+    # separators have no counterpart in the target digits, so they are dropped
+    digits = F.translate(
+        as_col(c).cast("string"), PERSIAN_DIGITS + ARABIC_DIGITS + "/-", ASCII_DIGITS * 2
+    )
+    text = strip(digits)
     year = F.substring(text, 1, 4).try_cast("int")
     month = F.substring(text, 5, 2).try_cast("int") - 1
     day = F.substring(text, 7, 2).try_cast("int") - 1
@@ -176,12 +185,11 @@ def month_key(date_digits: ColumnOrName) -> Column:
 def quarter_key(date_digits: ColumnOrName) -> Column:
     """``YYYYQn`` of an eight-digit date."""
     text = period_digits(date_digits)
-    month = F.substring(text, 5, 2).try_cast("int")
-    quarter = F.floor((month - 1) / 3).cast("int") + 1
+    quarter = _div(F.substring(text, 5, 2).try_cast("int") + 2, 3)
     return F.concat(F.substring(text, 1, 4), F.lit("Q"), quarter.cast("string"))
 
 
 def period_digits(c: ColumnOrName) -> Column:
     """Date text as zero-padded digits; a float tail ``.0`` is dropped."""
-    text = F.regexp_replace(as_col(c).cast("string"), r"\.0", "")
-    return F.when(F.length(text) < 8, F.lpad(text, 8, "0")).otherwise(text)
+    text = F.replace(as_col(c).cast("string"), F.lit(".0"), F.lit(""))
+    return F.lpad(text, F.greatest(F.length(text), F.lit(8)), F.lit("0"))

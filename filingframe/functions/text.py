@@ -22,7 +22,11 @@ ASCII_DIGITS = "0123456789"
 # (?U) makes \s cover NBSP and friends; the four separators below are
 # whitespace to the data model but not to Java.
 _SPACES = r"(?U)[\s\x1c-\x1f]+"
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The same characters, spelled out for trimming without a regex.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # The symbol marker, what may follow it, and where a ticker ends.
 SYMBOL_MARKER = "نماد"
@@ -41,7 +45,7 @@ def as_col(c: ColumnOrName) -> Column:
 
 def strip(c: ColumnOrName) -> Column:
     """Trim all Unicode whitespace (``trim`` alone only removes spaces)."""
-    return F.regexp_replace(as_col(c), _EDGES, "")
+    return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
 def squeeze(c: ColumnOrName) -> Column:
@@ -115,12 +119,25 @@ def is_person_id(c: ColumnOrName) -> Column:
 
 
 def yes_no(c: ColumnOrName) -> Column:
-    value = norm_text(c)
-    return (value == YES) | F.lower(value).isin("yes", "true", "1")
+    return is_yes(norm_text(c))
 
 
-def is_non_executive(duty: ColumnOrName) -> Column:
-    return F.contains(norm_text(duty), F.lit(NON_EXECUTIVE))
+def is_yes(normalised: Column) -> Column:
+    return F.lower(normalised).isin(YES, "yes", "true", "1")
+
+
+def is_non_executive(normalised_duty: Column) -> Column:
+    return F.contains(normalised_duty, F.lit(NON_EXECUTIVE))
+
+
+def norm_cells(row: ColumnOrName) -> Column:
+    """Cells of a TAB-separated row, each as ``norm_text`` gives it.
+
+    The row is normalised as a whole, which leaves its TABs alone.
+    """
+    letters = F.translate(as_col(row), ARABIC_LETTERS + HAMZA + ZERO_WIDTH, PERSIAN_LETTERS)
+    spaced = F.regexp_replace(letters, r"(?U)[\s\x1c-\x1f&&[^\t]]+", " ")
+    return F.split(F.trim(F.regexp_replace(spaced, " ?\t ?", "\t")), "\t")
 
 
 def error_class(message: ColumnOrName) -> Column:

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import datetime_to_num
 from filingframe.functions.text import (
+    WHITESPACE,
     as_col,
     clean_str,
     digits_only,
     is_non_executive,
     is_person_id,
+    is_yes,
     latin_digits,
+    norm_cells,
     norm_text,
     strip,
-    yes_no,
 )
 from filingframe.schemas import BOARD_MEMBER
 
@@ -47,36 +49,37 @@ NO_REPRESENTATIVE = "فاقد نماینده"
 UNKNOWN_COMPANY = "Unknown"
 
 
-def split_cells(row_text: Column) -> Column:
-    """TAB-separated cells, stripped; empty cells at the end are dropped."""
-    cells = F.transform(F.split(row_text, "\t"), strip)
-    filled = F.transform(cells, lambda cell, i: F.when(cell != "", i + 1).otherwise(0))
-    return F.slice(cells, F.lit(1), F.array_max(filled))
+def parse_rows(df: DataFrame, row_text: str = "row_text") -> DataFrame:
+    """Typed member columns of each TAB-separated row.
+
+    Empty cells at the end do not count; rows with fewer than 12 cells are skipped.
+    """
+    row = F.rtrim(as_col(row_text), F.lit(WHITESPACE))
+    wide = df.withColumn("_row", row).withColumn(
+        "_size", F.length("_row") - F.length(F.replace(F.col("_row"), F.lit("\t"), F.lit(""))) + 1
+    )
+    cells = wide.where(F.col("_size") >= MIN_CELLS).withColumns(
+        {"_cells": norm_cells("_row"), "_raw": F.split("_row", "\t")}
+    )
+    long_row = F.col("_size") >= LONG_CELLS
 
+    def cell(i: int, source: str = "_cells") -> Column:
+        return F.get(source, F.lit(i))
 
-def parse_rows(df: DataFrame, row_text: str = "row_text") -> DataFrame:
-    """Typed member columns of each row; rows with fewer than 12 cells are skipped."""
-    cells = df.withColumn("_cells", split_cells(as_col(row_text)))
-    cells = cells.where(F.size("_cells") >= MIN_CELLS)
-    long_row = F.size("_cells") >= LONG_CELLS
-
-    def cell(i: int) -> Column:
-        return F.coalesce(F.get("_cells", F.lit(i)), F.lit(""))
-
-    def either(name: str, convert, missing: object) -> Column:
-        short = convert(cell(SHORT_LAYOUT[name])) if name in SHORT_LAYOUT else F.lit(missing)
-        return F.when(long_row, convert(cell(LONG_LAYOUT[name]))).otherwise(short)
-
-    texts = {
-        n: norm_text(cell(i))
-        for n, i in CELLS.items()
-        if n not in ("duty", "member_id", "national_id")
-    }
-    ids = {n: latin_digits(cell(CELLS[n])) for n in ("member_id", "national_id")}
-    late_texts = {n: either(n, norm_text, "") for n in ("experience", "verification_status")}
-    flags = {n: either(n, yes_no, False) for n in LONG_LAYOUT if n.startswith("has_")}
-    independent = {"is_independent": is_non_executive(cell(CELLS["duty"]))}
-    return cells.withColumns({**texts, **ids, **late_texts, **flags, **independent}).drop("_cells")
+    def flag(name: str) -> Column:
+        short = is_yes(cell(SHORT_LAYOUT[name])) if name in SHORT_LAYOUT else F.lit(False)
+        return F.coalesce(F.when(long_row, is_yes(cell(LONG_LAYOUT[name]))).otherwise(short), F.lit(False))
+
+    def late(name: str) -> Column:
+        return F.when(long_row, F.coalesce(cell(LONG_LAYOUT[name]), F.lit(""))).otherwise("")
+
+    ids = ("member_id", "national_id")
+    fields = {n: cell(i) for n, i in CELLS.items() if n not in ("duty", *ids)}
+    fields |= {n: latin_digits(strip(cell(CELLS[n], "_raw"))) for n in ids}
+    fields |= {n: late(n) for n in ("experience", "verification_status")}
+    fields |= {n: flag(n) for n in LONG_LAYOUT if n.startswith("has_")}
+    fields["is_independent"] = is_non_executive(cell(CELLS["duty"]))
+    return cells.withColumns(fields).drop("_row", "_size", "_cells", "_raw")
 
 
 def derive_fields(df: DataFrame, labels: str = "labels") -> DataFrame:
@@ -122,18 +125,13 @@ def representatives(df: DataFrame) -> DataFrame:
     A ten-digit member or national id marks a person; the name is the
     representative unless there is none.
     """
-    member, national = digits_only("member_id"), digits_only("national_id")
-    by_member, by_national = is_person_id("member_id"), is_person_id("national_id")
-    named = F.nullif(clean_str("new_representative"), F.lit(""))
-    named = F.when(named != NO_REPRESENTATIVE, named)
-    name = F.coalesce(named, F.nullif(clean_str("new_member"), F.lit("")))
-    rep_name = F.when(by_member | by_national, name)
-    rep_id = F.when(by_member, member).when(by_national, national)
-    return df.withColumns(
-        {
-            "rep_name": rep_name,
-            "rep_id": rep_id,
-            "rep_key": F.coalesce(rep_id, rep_name),
-            "rep_is_person": rep_name.isNotNull(),
-        }
+    ids = [F.when(is_person_id(c), digits_only(c)) for c in ("member_id", "national_id")]
+    named = F.nullif(clean_str("new_representative"), F.lit(NO_REPRESENTATIVE))
+    name = [F.nullif(c, F.lit("")) for c in (named, clean_str("new_member"))]
+    # staged, so that each text is cleaned once; a person always has an id,
+    # which therefore is the grouping key as well
+    staged = df.withColumns({"rep_id": F.coalesce(*ids), "rep_name": F.coalesce(*name)})
+    staged = staged.withColumn("rep_name", F.when(F.col("rep_id").isNotNull(), F.col("rep_name")))
+    return staged.withColumns(
+        {"rep_key": F.col("rep_id"), "rep_is_person": F.col("rep_name").isNotNull()}
     )

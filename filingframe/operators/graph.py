@@ -11,6 +11,7 @@ from filingframe.functions.calendar import month_key, period_digits, quarter_key
 from filingframe.functions.text import strip
 from filingframe.operators.board import representatives
 
+GRAINS = ("year", "quarter", "month")
 ROW_ORDER = ("assembly_date", "url", "row_no")
 # Companies of one person and period that are paired in one piece; larger
 # groups are cut into blocks of about this size.
@@ -100,77 +101,91 @@ def top_connected(edges: DataFrame, k: int = 5) -> DataFrame:
     return person_degree(edges).orderBy(F.desc("companies"), F.asc("person")).limit(k)
 
 
-def with_periods(members: DataFrame, grains: Sequence[str] = ("year", "quarter", "month")) -> DataFrame:
-    """One row per board row and grain: all period tables in one pass."""
+def _periods(grains: Sequence[str]) -> Column:
+    """One ``grain, period`` struct per grain, from ``year`` and ``assembly_date``."""
     keys = {
         "year": F.col("year").cast("string"),
         "quarter": quarter_key("assembly_date"),
         "month": month_key("assembly_date"),
     }
-    periods = [
-        F.struct(F.lit(g).alias("grain"), keys[g].alias("period")) for g in grains
-    ]
-    others = [c for c in members.columns if c not in ("grain", "period")]
-    return members.select(*others, F.inline(F.array(*periods))).where("period is not null")
+    return F.array(*[F.struct(F.lit(g).alias("grain"), keys[g].alias("period")) for g in grains])
 
 
-def incidence(
-    members: DataFrame,
-    grains: Sequence[str] = ("year", "quarter", "month"),
-    order: Sequence[str] = ROW_ORDER,
-) -> DataFrame:
-    """Distinct ``grain, period, rep_key, company`` with the first name and id.
+def _seat_rows(members: DataFrame) -> DataFrame:
+    """Board rows with the company name and the assembly date as period keys need them."""
+    return members.withColumns(
+        {"company": strip("company"), "assembly_date": period_digits("assembly_date")}
+    )
+
 
-    This is the whole interlock information without any pair. Repeated rows of
-    a person, company and assembly collapse map-side.
+def seat_months(members: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+    """Distinct ``year, month, rep_key, company`` with the first row that says so.
+
+    The one wide exchange of the interlock jobs: repeated rows collapse before
+    it, and every grain is derived from its result.
     """
-    rows = members.transform(representatives).where("rep_is_person")
-    rows = rows.withColumn("company", strip("company")).withColumn(
-        "assembly_date", period_digits("assembly_date")
+    rows = _seat_rows(members.transform(representatives)).withColumn(
+        "month", month_key("assembly_date")
     )
-    rows = rows.where(F.col("company").isNotNull())
-    first = F.struct(*_seq(order), "rep_name", "rep_id")
-    narrow = list(dict.fromkeys([*order, "company", "year", "rep_key", "rep_name", "rep_id", "assembly_date"]))
+    first = F.struct(*_seq(order), "rep_name")
+    kept = list(dict.fromkeys([*order, "year", "month", "company", "rep_key", "rep_name"]))
     return (
-        rows.select(*narrow)
-        .transform(with_periods, grains)
-        .groupBy("grain", "period", "rep_key", "company")
+        rows.where("rep_is_person and company is not null")
+        .select(*kept)
+        .groupBy("rep_key", "company", "month", "year")
         .agg(F.min(first).alias("first"))
     )
 
 
-def interlock_groups(seats: DataFrame) -> DataFrame:
+def incidence(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
+    """Distinct ``grain, period, rep_key, company``: all interlocks, without any pair."""
+    dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
+    return (
+        # the most selective key first, which is what string sorts compare first
+        dated.select("rep_key", "company", F.inline(_periods(grains)))
+        .where("period is not null")
+        .distinct()
+    )
+
+
+def interlock_groups(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
     """People who link companies in a period: group size, pair count, name and id.
 
     Counts and periods with edges are read from here without forming pairs.
     """
-    groups = seats.groupBy("grain", "period", "rep_key").agg(
-        F.count(F.lit(1)).alias("companies"), F.min("first").alias("first")
-    )
+    keys = ["rep_key", "period", "grain"]
     size = F.col("companies")
-    return groups.where(size >= 2).select(
-        "grain",
-        "period",
-        "rep_key",
+    sizes = incidence(months, grains).groupBy(*keys).agg(F.count(F.lit(1)).alias("companies"))
+    dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
+    names = (
+        dated.select("rep_key", "first", F.inline(_periods(grains)))
+        .groupBy(*keys)
+        .agg(F.min("first")["rep_name"].alias("rep_name"))
+    )
+    # both sides are grouped by the same keys, so the join adds no exchange
+    return sizes.where(size >= 2).join(names, keys).select(
+        *keys,
         "companies",
         (size * (size - 1) / 2).cast("bigint").alias("pairs"),
-        F.coalesce("first.rep_name", F.lit("Unknown")).alias("rep_name"),
-        F.coalesce("first.rep_id", "first.rep_name").alias("rep_id"),
+        F.coalesce("rep_name", F.lit("Unknown")).alias("rep_name"),
+        F.col("rep_key").alias("rep_id"),
     )
 
 
-def interlock_edges(seats: DataFrame, block: int = BLOCK) -> DataFrame:
+def interlock_edges(
+    months: DataFrame, grains: Sequence[str] = GRAINS, block: int = BLOCK
+) -> DataFrame:
     """Every company pair ``a < b`` that shares a person in a period.
 
     The pairs are the result, so none may be left out. A person with more than
     ``block`` companies is cut into blocks by company hash, and each pair of
     blocks becomes a join key of its own: a hot person is spread over many tasks.
     """
-    groups = interlock_groups(seats)
+    groups = interlock_groups(months, grains)
     blocks = F.ceil(F.col("companies") / F.lit(float(block))).cast("int")
-    keys = ["grain", "period", "rep_key"]
+    keys = ["rep_key", "period", "grain"]
     placed = (
-        seats.select(*keys, "company")
+        incidence(months, grains)
         .join(groups.select(*keys, blocks.alias("_n"), "rep_name", "rep_id"), keys)
         .withColumn("_mine", F.pmod(F.xxhash64("company"), F.col("_n")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
@@ -203,15 +218,14 @@ def interlock_weights(edges: DataFrame) -> DataFrame:
     )
 
 
-def period_nodes(seats_source: DataFrame, groups: DataFrame, grains: Sequence[str] = ("year", "quarter", "month")) -> DataFrame:
+def period_nodes(
+    members: DataFrame, groups: DataFrame, grains: Sequence[str] = GRAINS
+) -> DataFrame:
     """Companies of each period that has at least one edge."""
     companies = (
-        seats_source.withColumn("company", strip("company"))
-        .withColumn("assembly_date", period_digits("assembly_date"))
-        .where(F.col("company").isNotNull())
-        .select("company", "year", "assembly_date")
-        .transform(with_periods, grains)
-        .select("grain", "period", "company")
+        _seat_rows(members)
+        .select("company", F.inline(_periods(grains)))
+        .where("period is not null and company is not null")
         .distinct()
     )
     with_edges = groups.select("grain", "period").distinct()

@@ -262,7 +262,7 @@ PAIRS_SQL = f"""{SEATS_SQL}, pairs AS (SELECT x.grain, x.period, x.company AS a,
     ),
 )
 def interlock_edges(spark, path):
-    return graph.interlock_edges(graph.incidence(board_members(spark, path)))
+    return graph.interlock_edges(graph.seat_months(board_members(spark, path)))
 
 
 @query(
@@ -276,7 +276,7 @@ def interlock_edges(spark, path):
     ),
 )
 def interlock_groups(spark, path):
-    return graph.interlock_groups(graph.incidence(board_members(spark, path)))
+    return graph.interlock_groups(graph.seat_months(board_members(spark, path)))
 
 
 @query(
@@ -288,8 +288,8 @@ def interlock_groups(spark, path):
     ),
 )
 def interlock_weights(spark, path):
-    seats = graph.incidence(board_members(spark, path), grains=["year"])
-    return graph.interlock_weights(graph.interlock_edges(seats))
+    months = graph.seat_months(board_members(spark, path))
+    return graph.interlock_weights(graph.interlock_edges(months, ["year"]))
 
 
 @query(
@@ -307,7 +307,7 @@ SELECT grain, period, people, edges, companies FROM
 )
 def report_interlock_periods(spark, path):
     members = board_members(spark, path).transform(frame.filter_year_between, 1374, 1379)
-    groups = graph.interlock_groups(graph.incidence(members))
+    groups = graph.interlock_groups(graph.seat_months(members))
     return graph.period_overview(groups, graph.period_nodes(members, groups))
 
 

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange later
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # larger generated methods are not compiled by the JIT
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -106,20 +106,22 @@ class _Board(_Scanner):
         name = element.get("id")
         if name and name not in self.ids:
             element["label"] = self.ids[name] = []
-        classes = element.get("class", "").split()
-        tables = [e for t, e in self.open if t == "table"]
-        in_grid = any(e.get("id") == GRID_ID for e in tables)
-        if tag == "tr" and in_grid:
-            direct = tables[-1].get("id") == GRID_ID
-            if any(c in ROW_CLASSES for c in classes) or (direct and HEADER_CLASS not in classes):
+        if tag == "tr":
+            tables = [e.get("id") for t, e in self.open if t == "table"]
+            if GRID_ID in tables and self._wanted(element, tables[-1] == GRID_ID):
                 element["row"] = []
                 self.rows.append(element["row"])
         elif tag in ("td", "th"):
-            row = next((e["row"] for t, e in reversed(self.open) if "row" in e), None)
+            row = next((e["row"] for _, e in reversed(self.open) if "row" in e), None)
             if row is not None:
                 element["cell"] = []
                 row.append(element["cell"])
 
+    @staticmethod
+    def _wanted(row: dict, direct: bool) -> bool:
+        classes = row.get("class", "").split()
+        return any(c in ROW_CLASSES for c in classes) or (direct and HEADER_CLASS not in classes)
+
     def handle_data(self, data: str) -> None:
         for _, element in self.open:
             if "label" in element:
@@ -143,6 +145,8 @@ def _board_of(html: str | None) -> dict:
     blank = {**dict.fromkeys(LABEL_IDS, ""), "has_previous": False, "has_next": False, "rows": []}
     if html is None:
         return {**blank, "status": "navigation"}
+    if GRID_ID not in html:
+        return {**blank, "status": "selector_not_found"}
     scanner = _Board()
     try:
         scanner.feed(html)
@@ -169,6 +173,11 @@ def _scan_boards(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_board_of(h) for h in html], columns=_BOARD_FIELDS)
 
 
+def _once(function, kind: str):
+    """A scan that later filters and projections may not repeat."""
+    return F.pandas_udf(function, kind).asNondeterministic()
+
+
 _BOARD_FIELDS = [*LABEL_IDS, "has_previous", "has_next", "rows", "status"]
 _BOARD_TYPE = (
     ", ".join(f"{n} string" for n in LABEL_IDS)
@@ -186,7 +195,7 @@ def extract_links(
 
     An anchor matches by address or text, ignoring case; frames and embeds by source.
     """
-    scan = F.pandas_udf(_scan_links, "array<struct<tag string, href string, text string>>")
+    scan = _once(_scan_links, "array<struct<tag string, href string, text string>>")
     kept = [c for c in pages.columns if c not in ("html", "url")]
     page_url = [F.col("url").alias("page_url")] if "url" in pages.columns else []
     found = pages.select(*kept, *page_url, F.explode(scan("html")).alias("l"))
@@ -209,7 +218,7 @@ def extract_links(
 
 def parse_board_pages(pages: DataFrame) -> DataFrame:
     """``url, labels, has_previous, has_next, rows, status`` of each page."""
-    scan = F.pandas_udf(_scan_boards, _BOARD_TYPE)
+    scan = _once(_scan_boards, _BOARD_TYPE)
     parsed = pages.select("url", scan("html").alias("p"))
     return parsed.select(
         "url",
