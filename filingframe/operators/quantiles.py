@@ -12,9 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of the sketch is at most n / ACCURACY; the bounds leave four times that.
-ACCURACY = 2000
-MARGIN = 4 / ACCURACY
+# The sketch errs by at most n / ACCURACY ranks; the bounds leave twenty times
+# that. A group of at most SMALL values is ranked whole.
+ACCURACY = 10_000
+MARGIN = 20 / ACCURACY
+SMALL = 1000
 
 
 def exact_quantiles(
@@ -32,8 +34,11 @@ def exact_quantiles(
 
     def bound(i: int, p: float) -> Column:
         # an open end stands in for the minimum and maximum
-        low = F.lit(float("-inf")) if p - MARGIN <= 0 else F.get("_s", F.lit(i))
-        high = F.lit(float("inf")) if p + MARGIN >= 1 else F.get("_s", F.lit(k + i))
+        some = F.col("_n") > SMALL
+        low = F.when(some & F.lit(p > MARGIN), F.get("_s", F.lit(i)))
+        high = F.when(some & F.lit(p < 1 - MARGIN), F.get("_s", F.lit(k + i)))
+        low = F.coalesce(low, F.lit(float("-inf")))
+        high = F.coalesce(high, F.lit(float("inf")))
         position = (F.col("_n") - 1) * F.lit(float(p))
         return F.struct(
             F.lit(i).alias("i"), low.alias("low"), high.alias("high"), position.alias("at")

@@ -112,7 +112,7 @@ class _Board(_Scanner):
                 element["row"] = []
                 self.rows.append(element["row"])
         elif tag in ("td", "th"):
-            row = next((e["row"] for _, e in reversed(self.open) if "row" in e), None)
+            row = next((e.get("row") for t, e in reversed(self.open) if t == "tr"), None)
             if row is not None:
                 element["cell"] = []
                 row.append(element["cell"])

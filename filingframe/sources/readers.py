@@ -83,8 +83,10 @@ def _any_field() -> Column:
 def corrupt_documents(spark: SparkSession, path: str) -> DataFrame:
     """Landed documents that are no JSON: file name and text, for quarantine."""
     docs = spark.read.schema(JSON_ENVELOPE).option("multiLine", True).json(path)
-    marked = docs.select(F.input_file_name().alias("file"), "_corrupt_record", "Letters")
-    return marked.where(F.col("_corrupt_record").isNotNull()).select("file", "_corrupt_record")
+    # Spark wants a second column read along with the corrupt text
+    letters = F.coalesce(F.size("Letters"), F.lit(0))
+    marked = docs.select(F.input_file_name().alias("file"), "_corrupt_record", letters.alias("n"))
+    return marked.where("_corrupt_record is not null and n >= -1").select("file", "_corrupt_record")
 
 
 def parse_responses(df: DataFrame, column: str = "value") -> DataFrame:
