@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingframe.operators.frame import Names, first_present, present
+from filingframe.operators.frame import Names, first_present, present, union_letters
 from filingframe.operators.quantiles import exact_quantiles
 
 # Where the year of a letter is read from, in this order.
@@ -179,31 +179,32 @@ def board_summary(
     members: DataFrame, errors: DataFrame | None = None, urls: DataFrame | None = None
 ) -> DataFrame:
     """Ten ``(metric, value)`` rows about a board load."""
-    rows = members.agg(
-        F.count(F.lit(1)).alias("records"),
+    # all three tables go through one aggregate, told apart by their origin
+    parts = [members.withColumn("_of", F.lit("member"))]
+    if errors is not None:
+        parts.append(errors.select("url", F.lit("error").alias("_of")))
+    if urls is not None:
+        parts.append(urls.select("url", F.lit("url").alias("_of")))
+    kept = ["_of", "url", "company", "new_member", "date", "is_independent", "has_multiple_executive"]
+
+    def urls_of(origin: str) -> Column:
+        return F.count_distinct(F.when(F.col("_of") == origin, F.col("url")))
+
+    one = union_letters(*[p.select(*present(p, kept)) for p in parts]).agg(
+        F.count_if(F.col("_of") == "member").alias("records"),
         F.count_distinct("company").alias("companies"),
         F.count_distinct("new_member").alias("members"),
         F.min("date").alias("first"),
         F.max("date").alias("last"),
         F.count_if("is_independent").alias("independent"),
         F.count_if("has_multiple_executive").alias("multi"),
-        F.count_distinct("url").alias("succeeded"),
-    )
-    none = F.lit(0).cast("bigint")
-    failed = (
-        errors.agg(
-            F.count(F.lit(1)).alias("errors"), F.count_distinct("url").alias("failed")
-        )
-        if errors is not None
-        else rows.select(none.alias("errors"), none.alias("failed"))
-    )
-    total = urls.agg(F.count_distinct("url").alias("processed")) if urls is not None else None
-    one = rows.join(F.broadcast(failed))  # both sides are single rows
-    one = (
-        one.join(F.broadcast(total))
-        if total is not None
-        else one.withColumn("processed", F.col("succeeded") + F.col("failed"))
+        urls_of("member").alias("succeeded"),
+        F.count_if(F.col("_of") == "error").alias("errors"),
+        urls_of("error").alias("failed"),
+        urls_of("url").alias("listed"),
     )
+    listed = F.col("listed") if urls is not None else F.col("succeeded") + F.col("failed")
+    one = one.withColumn("processed", listed)
 
     def line(metric: str, value: Column) -> Column:
         return F.struct(F.lit(metric).alias("metric"), value.cast("string").alias("value"))

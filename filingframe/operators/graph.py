@@ -67,13 +67,15 @@ def graph_edges(members: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFra
 
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Six ``(metric, value)`` rows: sizes, average connections, density."""
-    sizes = nodes.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("node_type") == "company").alias("companies"),
-        F.count_if(F.col("node_type") == "person").alias("people"),
-    )
-    # two single-row frames
-    one = sizes.join(F.broadcast(edges.agg(F.count(F.lit(1)).alias("e"))))
+    kinds = nodes.select(F.col("node_type").alias("kind"))
+    kinds = kinds.unionByName(edges.select(F.lit("edge").alias("kind")))
+
+    def count(kind: str) -> Column:
+        return F.count_if(F.col("kind") == kind)
+
+    one = kinds.agg(
+        count("company").alias("companies"), count("person").alias("people"), count("edge").alias("e")
+    ).withColumn("n", F.col("companies") + F.col("people"))
     n, e = F.col("n"), F.col("e")
     connections = F.round(2 * e / F.greatest(F.col("people"), F.lit(1)), 2)
     density = F.when(n > 1, F.round(2 * e / (n * (n - 1)), 4)).otherwise(0.0)
