@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,20 +79,25 @@ def persian_digits(c: ColumnOrName) -> Column:
 
 
 def clean_symbol(c: ColumnOrName) -> Column:
-    """Letters, numbers and underscore only; ASCII letters upper-cased."""
-    kept = F.regexp_replace(
-        norm_text(latin_digits(c)), r"[^\p{L}\p{N}_\u0600-\u06FF]+", ""
-    )
-    return F.translate(
-        kept, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    """Letters, numbers and underscore only; digits unified, ASCII letters upper-cased."""
+    # one character map; hamza has no counterpart and is dropped, as are all
+    # marks and spaces by the pattern
+    letters = F.translate(
+        F.coalesce(as_col(c), F.lit("")),
+        ARABIC_LETTERS + PERSIAN_DIGITS + ARABIC_DIGITS + ascii_lowercase + HAMZA,
+        PERSIAN_LETTERS + ASCII_DIGITS * 2 + ascii_uppercase,
     )
+    return F.regexp_replace(letters, r"[^\p{L}\p{N}_\u0600-\u06FF]+", "")
 
 
 def symbol_key(c: ColumnOrName) -> Column:
     """Join key of a symbol: digits and spacing unified, letters untouched."""
-    return squeeze(
-        F.translate(latin_digits(F.coalesce(as_col(c), F.lit(""))), SYMBOL_NOISE, "")
+    plain = F.translate(
+        F.coalesce(as_col(c), F.lit("")),
+        PERSIAN_DIGITS + ARABIC_DIGITS + SYMBOL_NOISE,
+        ASCII_DIGITS * 2,
     )
+    return squeeze(plain)
 
 
 def symbol_candidates(company: ColumnOrName) -> Column:
@@ -118,6 +125,13 @@ def is_person_id(c: ColumnOrName) -> Column:
     return F.length(digits_only(c)) == 10
 
 
+def person_id(c: ColumnOrName) -> Column:
+    """The ten digits of a person identifier, else null."""
+    plain = F.when(as_col(c).rlike("^[0-9]{10}$"), as_col(c).cast("string"))
+    # only what is not plain yet pays for the conversion
+    return F.coalesce(plain, F.when(is_person_id(c), digits_only(c)))
+
+
 def yes_no(c: ColumnOrName) -> Column:
     return is_yes(norm_text(c))
 

@@ -10,13 +10,12 @@ from filingframe.functions.text import (
     WHITESPACE,
     as_col,
     clean_str,
-    digits_only,
     is_non_executive,
-    is_person_id,
     is_yes,
     latin_digits,
     norm_cells,
     norm_text,
+    person_id,
     strip,
 )
 from filingframe.schemas import BOARD_MEMBER
@@ -125,7 +124,7 @@ def representatives(df: DataFrame) -> DataFrame:
     A ten-digit member or national id marks a person; the name is the
     representative unless there is none.
     """
-    ids = [F.when(is_person_id(c), digits_only(c)) for c in ("member_id", "national_id")]
+    ids = [person_id(F.col(c).cast("string")) for c in ("member_id", "national_id")]
     named = F.nullif(clean_str("new_representative"), F.lit(NO_REPRESENTATIVE))
     name = [F.nullif(c, F.lit("")) for c in (named, clean_str("new_member"))]
     # staged, so that each text is cleaned once; a person always has an id,

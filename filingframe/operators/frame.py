@@ -216,8 +216,8 @@ def drop_duplicates(
     keep: str | bool = "last",
     order: Names | None = None,
 ) -> DataFrame:
-    """One row per key (``first``/``last`` by ``order``) or, with ``keep=False``,
-    only keys that occur once. Null keys are equal.
+    """One row per key (``first``/``last`` by ``order``, or ``any``) or, with
+    ``keep=False``, only keys that occur once. Null keys are equal.
 
     ``row_number() = 1`` is limited per key before the exchange, so a key that
     holds much of the table sends one row per task, not its whole group.
@@ -230,8 +230,8 @@ def drop_duplicates(
         rows = [F.any_value(c).alias(c) for c in rest]
         once = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *rows)
         return once.where("_n = 1").select(*df.columns)
-    if not rest:
-        return df.distinct()
+    if not rest or keep == "any":
+        return df.dropDuplicates(keys)
     if keep not in ("first", "last") or order is None:
         raise ValueError("keep='first' or 'last' needs an explicit order")
     sort = [c.asc() if keep == "first" else c.desc() for c in total_order(df, order)]

@@ -24,6 +24,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """``keys, q0, q1, ...`` with linear interpolation between neighbours."""
     keys = list(keys)
+    if not keys:
+        raise ValueError("exact quantiles need a grouping key")
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
@@ -49,14 +51,9 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"), sketch.alias("_s"))
         .select(*keys, F.array(*[bound(i, p) for i, p in enumerate(probabilities)]).alias("_b"))
     )
-    if keys:
-        names = [F.col(c).alias(f"_k_{c}") for c in keys]
-        bounds = bounds.select(*names, "_b")
-        same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
-        placed = rows.join(bounds, same)
-    else:
-        # exactly one row of bounds
-        placed = rows.join(F.broadcast(bounds))
+    names = [F.col(c).alias(f"_k_{c}") for c in keys]
+    bounds = bounds.select(*names, "_b")
+    placed = rows.join(bounds, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
     # rows above a bound are not needed; all rows below it collapse into one count
     near = placed.select(*keys, "_v", F.explode("_b").alias("_b")).where(
         F.col("_v") <= F.col("_b.high")

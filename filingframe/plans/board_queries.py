@@ -10,6 +10,7 @@ from filingframe.operators import aggregates as agg
 from filingframe.operators import board, frame, graph
 from filingframe.plans.catalog import query
 from filingframe.plans.views import Tables, board_members, sql_jalali, text, with_views
+from filingframe.session import materialise
 from filingframe.sources import html
 
 # ----------------------------------------------------------------- page links
@@ -253,6 +254,11 @@ PAIRS_SQL = f"""{SEATS_SQL}, pairs AS (SELECT x.grain, x.period, x.company AS a,
  x.rep_key FROM seats x JOIN seats y USING (grain, period, rep_key) WHERE x.company < y.company)"""
 
 
+def _months(members):
+    """Seats by month, written once: sizes, names and pairs all start from them."""
+    return materialise(graph.seat_months(members), "seat-months")
+
+
 @query(
     "interlock_edges",
     with_views(
@@ -262,7 +268,7 @@ PAIRS_SQL = f"""{SEATS_SQL}, pairs AS (SELECT x.grain, x.period, x.company AS a,
     ),
 )
 def interlock_edges(spark, path):
-    return graph.interlock_edges(graph.seat_months(board_members(spark, path)))
+    return graph.interlock_edges(_months(board_members(spark, path)))
 
 
 @query(
@@ -276,7 +282,7 @@ def interlock_edges(spark, path):
     ),
 )
 def interlock_groups(spark, path):
-    return graph.interlock_groups(graph.seat_months(board_members(spark, path)))
+    return graph.interlock_groups(_months(board_members(spark, path)))
 
 
 @query(
@@ -288,7 +294,7 @@ def interlock_groups(spark, path):
     ),
 )
 def interlock_weights(spark, path):
-    months = graph.seat_months(board_members(spark, path))
+    months = _months(board_members(spark, path))
     return graph.interlock_weights(graph.interlock_edges(months, ["year"]))
 
 
@@ -307,7 +313,7 @@ SELECT grain, period, people, edges, companies FROM
 )
 def report_interlock_periods(spark, path):
     members = board_members(spark, path).transform(frame.filter_year_between, 1374, 1379)
-    groups = graph.interlock_groups(graph.seat_months(members))
+    groups = graph.interlock_groups(_months(members))
     return graph.period_overview(groups, graph.period_nodes(members, groups))
 
 

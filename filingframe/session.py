@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once as a table in the shared folder and read it back.
+
+    For results that several branches of a job use: each branch then reads only
+    its own columns, and a lost executor costs a re-read, not a recomputation.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -67,6 +67,7 @@ def test_drop_duplicates_does_not_depend_on_partitioning(spark):
         expected = (last, first)
     assert frame.drop_duplicates(df, "k", False).count() == 0
     assert frame.drop_duplicates(df, ["k", "i"], False).count() == 600
+    assert frame.drop_duplicates(df, "k", "any").count() == 9
     with pytest.raises(ValueError, match="order"):
         frame.drop_duplicates(df, "k", "last")
 
@@ -152,7 +153,7 @@ def test_exact_quantiles_equal_numpy(spark, parts):
     for r in exact_quantiles(df, ["g"], "v", probabilities).collect():
         wanted = np.quantile(groups[r["g"]], probabilities)
         assert [r[f"q{i}"] for i in range(5)] == pytest.approx(wanted.tolist(), rel=1e-12)
-    whole = exact_quantiles(df, [], "v", [0.5]).first()["q0"]
+    whole = exact_quantiles(df.withColumn("g", F.lit("all")), ["g"], "v", [0.5]).first()["q0"]
     assert whole == pytest.approx(np.median([v for vs in groups.values() for v in vs]))
 
 
