@@ -286,6 +286,28 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_determined(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """``docs`` without the rows that are ``und`` or whose score is under ``least``; columns stay as they are.
+
+    Where nothing could be learned, texts with a letter stay.
+    """
+    letters = docs.filter(F.col("text").rlike(r"\p{L}"))
+    if net is None:
+        return letters
+    spark = docs.sparkSession
+    short_batches(spark)
+    shared = spark.sparkContext.broadcast(net)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(shared.value)
+        for batch in batches:
+            rows = batch.column(at).cast(pa.binary())
+            yield batch.filter(pa.array([bool(labeller.distribution(t.as_py()).max() >= least) for t in rows], pa.bool_()))
+
+    return letters.mapInArrow(run, docs.schema)
+
+
 def fit(docs: DataFrame) -> Network | None:
     """Train on the documents outside the held-out fold; None where no language is known."""
     examples = training_segments(docs)

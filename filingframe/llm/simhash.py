@@ -1,12 +1,14 @@
 """Near duplicates by SimHash fingerprints and pivot distance tables.
 
-A fingerprint is linked to every other within ``MAX_BITS`` differing bits. Pairs
-are looked for only among fingerprints that agree on two of six blocks of bits:
-four differing bits leave at least two blocks untouched, so no link is lost.
-Inside such a bucket the table of Hamming distances to many reference
-fingerprints (pivots) discards every pair that differs by more than ``MAX_BITS``
-in any coordinate (the triangle inequality); survivors are verified bit by bit.
-A bucket gives the links of a spanning forest, never all pairs.
+Fingerprints are linked within a number of differing bits. Pairs are looked for
+inside buckets: for ``MAX_BITS``, fingerprints that agree on two of six blocks of
+bits (four differing bits leave at least two blocks untouched, so no link is
+lost); for more bits, where blocks would hardly tell fingerprints apart,
+documents that share the least shingles of a band under hashed orders. Inside a
+bucket the table of Hamming distances to many reference fingerprints (pivots)
+discards every pair that differs by more than the allowed bits in any
+coordinate (the triangle inequality); survivors are verified bit by bit. A
+bucket gives the links of a spanning forest, never all pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingframe.llm import components
@@ -29,6 +31,9 @@ MAX_BITS = 4
 #: Blocks of the 64 bits; buckets agree on all blocks but MAX_BITS.
 BLOCKS = 6
 PIVOTS = 24
+#: Bits that texts of Jaccard similarity 0.8 or more (five-word shingles) seldom exceed, and
+#: bands and orders a band with which two such texts meet with probability 0.998 or more.
+SIMILAR_BITS, BANDS, ORDERS = 12, 12, 4
 #: A bucket with more fingerprints is cut into pieces that meet pair by pair.
 PIECE = 1024
 #: Shingles counted together, and pairs compared together: bounds of memory.
@@ -50,28 +55,46 @@ def shingles(words: list[bytes], size: int) -> Iterator[bytes]:
     return map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False))
 
 
-def fingerprint(text: bytes, size: int) -> int:
-    """A bit is set where over half of the shingle hashes, repeats included, have it."""
+def _orders(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(9)
+    odd = rng.integers(0, 1 << 63, bands * ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return odd, rng.integers(0, 1 << 63, bands * ORDERS, dtype=np.uint64)
+
+
+def fingerprint(text: bytes, size: int, bands: int = 0) -> tuple[int, list[int]]:
+    """Fingerprint, and a key for each band.
+
+    A bit is set where over half of the shingle hashes, repeats included, have it.
+    """
     hashes = map(_digest, shingles(words_of(text), size))
     ones, total = np.zeros(64, np.int64), 0
+    factor, shift = _orders(bands)
+    least = np.full(len(factor), np.iinfo(np.uint64).max, np.uint64)
     while block := list(itertools.islice(hashes, COUNTED)):
-        bits = np.unpackbits(np.array(block, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        values = np.array(block, np.uint64)
+        bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         ones += bits.sum(0, dtype=np.int64)
         total += len(block)
-    return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big")
+        for i in range(len(factor)):
+            least[i] = min(least[i], (values * factor[i] ^ shift[i]).min())
+    keys = [xxhash.xxh64_intdigest(least[i * ORDERS : (i + 1) * ORDERS].tobytes(), seed=i) for i in range(bands)]
+    return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big"), keys
 
 
-def fingerprints(docs: DataFrame, size: int = 5) -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits). Null texts and texts without words have zero."""
+def fingerprints(docs: DataFrame, size: int = 5, bands: int = 0) -> DataFrame:
+    """``doc_id, fp, keys`` (signed 64 bits). Null texts and texts without words have fingerprint zero."""
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), size) for t in batch.column(1).cast(pa.binary())]
-            fp = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            found = [fingerprint(t.as_py(), size, bands) for t in batch.column(1).cast(pa.binary())]
+            fp = np.array([f for f, _ in found], np.uint64).view(np.int64)
+            keys = [np.array(k, np.uint64).view(np.int64) for _, k in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fp), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "keys"]
+            )
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs).mapInArrow(run, "doc_id long, fp long, keys array<long>")
 
 
 def _buckets(fps: DataFrame) -> DataFrame:
@@ -114,15 +137,15 @@ def _pivots() -> np.ndarray:
     return np.random.default_rng(64).integers(0, 1 << 64, PIVOTS, dtype=np.uint64)
 
 
-def links(fps: np.ndarray, table: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which of the pairs (left, right) differ in MAX_BITS bits at most."""
+def links(fps: np.ndarray, table: np.ndarray, left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the pairs (left, right) differ in ``bits`` bits at most."""
     alive = np.arange(len(left))
     for column in table:  # each pivot discards what the ones before have left
         gap = column[left[alive]] - column[right[alive]]
-        alive = alive[np.abs(gap) <= MAX_BITS]
+        alive = alive[np.abs(gap) <= bits]
         if not len(alive):
             return alive
-    return alive[np.bitwise_count(fps[left[alive]] ^ fps[right[alive]]) <= MAX_BITS]
+    return alive[np.bitwise_count(fps[left[alive]] ^ fps[right[alive]]) <= bits]
 
 
 def _forest(nodes: int, left: np.ndarray, right: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -155,7 +178,7 @@ def _pairs_of(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarra
         at = stop
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by task: links of each task as a forest of (fp, least fp)."""
     pivots = _pivots()
 
@@ -166,7 +189,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = np.arange(len(fps))
         busy = sizes > 1
         for left, right in _pairs_of(starts[busy], sizes[busy]):
-            found = links(fps, table, left, right)
+            found = links(fps, table, left, right, bits)
             if len(found):
                 label = _forest(len(fps), left[found], right[found], label)
         moved = np.flatnonzero(label != np.arange(len(fps)))
@@ -188,27 +211,54 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(task, fps)
 
 
-def near_links(fps: DataFrame) -> DataFrame:
-    """``a, b``: links whose components are those of all pairs within MAX_BITS bits.
+def near_links(buckets: DataFrame, bits: int) -> DataFrame:
+    """``a, b``: links whose components are those of all pairs of a bucket within ``bits`` bits.
 
-    ``fps`` holds distinct fingerprints in column ``fp``.
+    ``buckets`` has ``bucket, fp`` without repeated rows.
     """
-    pieces = _pieces(_buckets(fps)).select("task", "fp")
-    return pieces.repartition("task").sortWithinPartitions("task").mapInArrow(_linked, "a long, b long").distinct()
+    pieces = _pieces(buckets).select("task", "fp")
+    linked = partial(_linked, bits=bits)
+    return pieces.repartition("task").sortWithinPartitions("task").mapInArrow(linked, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, bits: int = SIMILAR_BITS) -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs``.
 
     ``component_id`` is the least doc_id reachable over links (null ids count
     only where a component has no other). Repeated rows give repeated results;
     texts without words all have fingerprint zero and are linked like any other.
-    ``size`` is the number of words in a shingle.
+    ``size`` is the number of words in a shingle, ``bits`` the differing bits of a
+    link: all links up to MAX_BITS are found, of wider ones those between texts
+    that share a band of shingles.
     """
-    prints = materialise(fingerprints(docs, size), "fingerprints")
+    exact = bits <= MAX_BITS
+    prints = materialise(fingerprints(docs, size, 0 if exact else BANDS), "fingerprints")
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components.roots(near_links(least.select("fp")))
+    if exact:
+        buckets = _buckets(least.select("fp"))
+    else:
+        buckets = prints.select(F.explode("keys").alias("bucket"), "fp").distinct()
+    roots = components.roots(near_links(buckets, bits))
     whole = least.join(roots, least.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     ids = whole.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = whole.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.select("doc_id", "fp").join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, size: int = 5, bits: int = SIMILAR_BITS) -> DataFrame:
+    """``docs`` with the document of least doc_id of each component, all columns as they were.
+
+    Rows that repeat a doc_id are one document, of which the least text stays. Rows
+    without doc_id cannot be told apart by it and all stay.
+    """
+    named = docs.filter("doc_id is not null")
+    found = near_duplicates(named, size, bits)
+    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    kept = (
+        named.join(stay, named["doc_id"] == stay["_stays"], "left_semi")
+        .withColumn("_number", F.row_number().over(one))
+        .filter("_number = 1")
+        .select(*[named[c] for c in docs.columns])
+    )
+    return kept.union(docs.filter("doc_id is null"))
