@@ -17,6 +17,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -184,7 +185,7 @@ def restored_words(text: str, model: np.ndarray, known: dict[str, str]) -> set[s
     return {known[c] for c in chunks} - {""}
 
 
-@dataclass
+@dataclass(eq=False)
 class Model:
     characters: np.ndarray
     words: dict[str, float]
@@ -201,7 +202,7 @@ def fit_weights(found: list[list[int]], toxic: np.ndarray, words: int) -> tuple[
     weights, bias = np.zeros(words), -4.0
     support = np.bincount(column, minlength=words)
     crowd = max(map(len, found), default=1)
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS if found else 0):
         logit = bias + np.bincount(row, weights[column], minlength=len(found))
         error = 1 / (1 + np.exp(-logit)) - toxic
         gradient = np.bincount(column, error[row], minlength=words) + PENALTY * weights
@@ -306,6 +307,12 @@ class Scorer:
         return 1 / (1 + math.exp(-self.model.bias - sum(self.model.words[w] for w in evidence)))
 
 
+@lru_cache(maxsize=1)
+def scorer_of(model: Model) -> Scorer:
+    """One memory for all tasks that a Python worker runs with a model."""
+    return Scorer(model)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score, evidence``: probability from 0 to 1, and the restored words behind it.
 
@@ -317,7 +324,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)  # SYMBOLS ** ORDER numbers and SAMPLE_WORDS words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for batch in batches:
             evidence = [scorer.evidence(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -340,7 +347,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for batch in batches:
             clean = [scorer.score(scorer.evidence(t or "")) < threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
