@@ -30,7 +30,7 @@ def column_info(df: DataFrame, sample: bool = True) -> DataFrame:
         parts += [
             F.count(name).alias(f"{name}_filled"),
             F.count_distinct(_countable(df, name)).alias(f"{name}_unique"),
-            F.min(_countable(df, name)).cast("string").alias(f"{name}_sample"),
+            F.min(_countable(df, name).cast("string")).alias(f"{name}_sample"),
         ]
     totals = df.agg(F.count(F.lit(1)).alias("_rows"), *parts)
 
@@ -101,9 +101,9 @@ def summary_stats(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame) -> DataFrame:
     """One row per column: count, unique/top/freq of texts, moments and quartiles of numbers."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    textual = [
-        f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType | T.BooleanType)
-    ]
+    # dates are counted like texts
+    plain = T.StringType | T.BooleanType | T.DateType | T.TimestampType | T.TimestampNTZType
+    textual = [f.name for f in df.schema.fields if isinstance(f.dataType, plain)]
     frames: list[DataFrame] = []
     number_columns = ("mean", "std", "min", "q25", "q50", "q75", "max")
     if numeric:

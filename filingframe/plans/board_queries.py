@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from filingframe.functions.calendar import to_jalali
 from filingframe.functions.text import persian_digits
 from filingframe.operators import aggregates as agg
-from filingframe.operators import board, frame, graph
+from filingframe.operators import board, graph
 from filingframe.plans.catalog import query
 from filingframe.plans.views import Tables, board_members, sql_jalali, text, with_views
 from filingframe.session import materialise
@@ -127,18 +127,17 @@ def board_page_errors(spark, path):
 
 @query(
     "board_load_outcomes",
-    """SELECT status, count(*) AS pages FROM (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'navigation'
- WHEN o_orderkey % 10 = 0 THEN 'selector_not_found' ELSE 'ok' END AS status FROM orders)
- GROUP BY status""",
+    """SELECT status, count(*) AS pages FROM (SELECT CASE WHEN o_orderkey % 10 = 0
+  THEN 'selector_not_found' ELSE 'ok' END AS status FROM orders
+  UNION ALL SELECT 'navigation' FROM customer) GROUP BY status""",
 )
 def board_load_outcomes(spark, path):
-    """A URL list, with repeats and blanks, against the pages that have landed."""
-    key = F.col("o_orderkey")
-    orders = Tables(spark, path).orders
-    listed = orders.select(F.concat(F.lit(" http://p/"), text(key)).alias("url"))
-    blank = orders.select(F.lit("").alias("url"))
-    landed = board_pages(spark, path).where("cast(substring(url, 10) as bigint) % 7 != 0")
-    pages = html.pages_of_urls(listed.union(listed).union(blank), landed)
+    """A URL list, with repeats, blanks and pages that never landed, against the landed pages."""
+    t = Tables(spark, path)
+    listed = t.orders.select(F.concat(F.lit(" http://p/"), text("o_orderkey")).alias("url"))
+    blank = t.orders.select(F.lit("").alias("url"))
+    never = t.customer.select(F.concat(F.lit("http://p/none/"), text("c_custkey")).alias("url"))
+    pages = html.pages_of_urls(listed.union(listed).union(blank).union(never), board_pages(spark, path))
     return html.parse_board_pages(pages).groupBy("status").agg(F.count(F.lit(1)).alias("pages"))
 
 
@@ -290,12 +289,11 @@ def interlock_groups(spark, path):
     with_views(
         "board_rep",
         f""", {PAIRS_SQL} SELECT grain, period, a, b, count(*) AS shared
- FROM pairs WHERE grain = 'year' GROUP BY ALL""",
+ FROM pairs GROUP BY ALL""",
     ),
 )
 def interlock_weights(spark, path):
-    months = _months(board_members(spark, path))
-    return graph.interlock_weights(graph.interlock_edges(months, ["year"]))
+    return graph.interlock_weights(graph.interlock_edges(_months(board_members(spark, path))))
 
 
 @query(
@@ -308,11 +306,11 @@ SELECT grain, period, people, edges, companies FROM
  (SELECT grain, period, count(*) AS people, CAST(sum(c * (c - 1) / 2) AS BIGINT) AS edges
   FROM g GROUP BY ALL) JOIN
  (SELECT grain, period, count(DISTINCT company) AS companies FROM periods GROUP BY ALL)
- USING (grain, period) WHERE substr(period, 1, 4) BETWEEN '1374' AND '1379'""",
+ USING (grain, period)""",
     ),
 )
 def report_interlock_periods(spark, path):
-    members = board_members(spark, path).transform(frame.filter_year_between, 1374, 1379)
+    members = board_members(spark, path)
     groups = graph.interlock_groups(_months(members))
     return graph.period_overview(groups, graph.period_nodes(members, groups))
 

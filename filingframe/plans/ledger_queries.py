@@ -136,7 +136,7 @@ ENDPOINT = "https://search.example/q"
 REQUESTS_SQL = f"""requests AS (SELECT symbol, CAST(page AS INTEGER) AS page,
   '{ENDPOINT}?FromDate=1380%2F01%2F01&PageNumber=' || page || '&Symbol=' || symbol ||
   '&search=true' AS url FROM (SELECT c_name AS symbol,
-   unnest(generate_series(1, least(CAST(c_custkey % 7 AS INTEGER), 4))) AS page FROM (SELECT
+   unnest(generate_series(1, CAST(c_custkey % 7 AS INTEGER))) AS page FROM (SELECT
    c_custkey, replace(c_name, '#', '_') AS c_name FROM customer)))"""
 
 
@@ -154,6 +154,18 @@ def _symbols(spark, path):
     ),
 )
 def planned_requests(spark, path):
+    return ledger.requests(_symbols(spark, path), ENDPOINT, from_date="1380/01/01")
+
+
+@query(
+    "planned_requests_max_pages",
+    with_views(
+        "fetch_log",
+        f", {REQUESTS_SQL} SELECT symbol, page, url, md5(url) AS request_key FROM requests WHERE page <= 4",
+    ),
+)
+def planned_requests_max_pages(spark, path):
+    """The page limit of a search, which is a parameter of the feature."""
     return ledger.requests(_symbols(spark, path), ENDPOINT, from_date="1380/01/01", max_pages=4)
 
 
@@ -166,7 +178,7 @@ SELECT symbol, page, (row_number() OVER (ORDER BY symbol, page) - 1) // 800 AS b
     ),
 )
 def fetch_frontier(spark, path):
-    planned = ledger.requests(_symbols(spark, path), ENDPOINT, from_date="1380/01/01", max_pages=4)
+    planned = ledger.requests(_symbols(spark, path), ENDPOINT, from_date="1380/01/01")
     created = F.when(F.col("page") == 2, "2024-01-30 11:30:00").otherwise("2024-01-30 09:00:00")
     log = planned.where("page in (2, 3)").select(
         "request_key", created.cast("timestamp").alias("created_at")
@@ -232,20 +244,18 @@ def stream_kept_requests(spark, path):
     "stream_fetch_counters",
     with_views(
         "fetch_log",
-        """SELECT epoch_us(w) AS window_start, status, coalesce(error_type, 'none') AS error_type,
- count(*) AS requests FROM (SELECT *, date_trunc('hour', started) AS w FROM fetch_log)
- WHERE w + INTERVAL 1 HOUR <= (SELECT max(started) - INTERVAL 1 HOUR FROM fetch_log)
- GROUP BY ALL""",
+        """SELECT epoch_us(date_trunc('hour', started)) AS window_start, status,
+ coalesce(error_type, 'none') AS error_type, count(*) AS requests FROM fetch_log GROUP BY ALL""",
     ),
 )
 def stream_fetch_counters(spark, path):
-    """Counts of closed windows, as the watermark leaves them."""
+    """Counts of all windows so far, those still open included, after each batch."""
     folder = _scratch(spark, "fetch-counters")
     log = log_of_events(_events_stream(spark, path))
     counted = state.fetch_counters(log).select(
         F.unix_micros("window.start").alias("window_start"), "status", "error_type", "requests"
     )
-    writer = counted.writeStream.outputMode("append").format("parquet")
-    writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
-    writer.trigger(availableNow=True).start(f"{folder}/counts").awaitTermination()
+    counted.writeStream.outputMode("complete").foreachBatch(
+        lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/counts")
+    ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/counts")

@@ -270,17 +270,18 @@ def holders(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, path: str) -> DataFrame:
-    """A price on two days of three; zero closing prices fall back to ``pc``."""
+    """A row a day, without a price on every third; zero closing prices fall back to ``pc``."""
     li = Tables(spark, path).lineitem
     day = d_even("l_shipdate")
+    traded = F.when(F.dayofyear("l_shipdate") % 3 != 0, F.col("l_extendedprice"))
     return (
-        li.where(F.dayofyear("l_shipdate") % 3 != 0)
+        li.withColumn("traded", traded)
         .groupBy(text("l_suppkey").alias("ins_code"), day.alias("d_even"))
         .agg(
-            F.max(F.when(F.col("l_quantity") > 10, F.col("l_extendedprice")).otherwise(0.0)).alias(
-                "pClosing"
-            ),
-            F.max("l_extendedprice").alias("pc"),
+            F.max(
+                F.when(F.col("l_quantity") > 10, F.col("traded")).when(F.col("traded").isNotNull(), 0.0)
+            ).alias("pClosing"),
+            F.max("traded").alias("pc"),
         )
     )
 
@@ -334,9 +335,10 @@ _SQL["holders"] = (
 _SQL["prices"] = (
     (),
     """SELECT CAST(l_suppkey AS VARCHAR) AS ins_code, CAST(l_shipdate AS DATE) AS day,
- max(CASE WHEN l_quantity > 10 THEN l_extendedprice ELSE 0 END) AS pClosing,
- max(l_extendedprice) AS pc
-FROM lineitem WHERE dayofyear(l_shipdate) % 3 <> 0 GROUP BY ALL""",
+ max(CASE WHEN dayofyear(l_shipdate) % 3 <> 0
+   THEN CASE WHEN l_quantity > 10 THEN l_extendedprice ELSE 0 END END) AS pClosing,
+ max(CASE WHEN dayofyear(l_shipdate) % 3 <> 0 THEN l_extendedprice END) AS pc
+FROM lineitem GROUP BY ALL""",
 )
 # Raw assemblies with their two candidate texts and the Gregorian day.
 _SQL["assemblies"] = (
