@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ class Direction:
     b: np.ndarray  # 3H, added to the recurrent part of the candidate only through u
 
 
-@dataclass
+@dataclass(eq=False)
 class Network:
     langs: list[str]
     forward: Direction
@@ -206,47 +207,62 @@ def training_segments(
     return [(r.lang, r.word.encode(), float(np.sqrt(r["count"]))) for r in rows]
 
 
-class Labeller:
-    """Per task: sums of position distributions of segments, remembered by segment."""
+class Labeller(dict):
+    """Sums of position distributions of segments, by segment: the row where they are kept.
+
+    A segment that is not there yet gets a row when it is looked up; the network
+    then reads all new segments of a batch of texts together.
+    """
 
     def __init__(self, net: Network, remembered: int = REMEMBERED):
+        super().__init__()
         self.net, self.remembered = net, remembered
-        self.index: dict[bytes, int] = {}
         self.sums = np.zeros((1024, len(net.langs)), np.float32)
-
-    def _learn(self, fresh: list[bytes]) -> None:
-        by_length: dict[int, tuple[list[bytes], list[int]]] = {}
-        need = len(self.index) + len(fresh)
-        if need > len(self.sums):
-            grown = np.zeros((max(need, 2 * len(self.sums)), self.sums.shape[1]), np.float32)
-            grown[: len(self.sums)] = self.sums
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        row = self[word] = len(self)
+        self.fresh.append(word)
+        return row
+
+    def _learn(self) -> None:
+        first = len(self) - len(self.fresh)
+        if len(self) > len(self.sums):
+            grown = np.zeros((2 * len(self), self.sums.shape[1]), np.float32)
+            grown[:first] = self.sums[:first]
             self.sums = grown
-        for word in fresh:
-            i = self.index[word] = len(self.index)
-            self.sums[i] = 0
+        self.sums[first : len(self)] = 0
+        by_length: dict[int, tuple[list[bytes], list[int]]] = {}
+        for row, word in enumerate(self.fresh, first):
             for at in range(0, len(word), SEGMENT):
                 pieces, rows = by_length.setdefault(min(SEGMENT, len(word) - at), ([], []))
                 pieces.append(word[at : at + SEGMENT])
-                rows.append(i)
+                rows.append(row)
         for n, (pieces, rows) in by_length.items():
             for at in range(0, len(pieces), BLOCK):
                 block = pieces[at : at + BLOCK]
                 read = np.frombuffer(b"".join(block), np.uint8).reshape(len(block), n)
                 np.add.at(self.sums, rows[at : at + BLOCK], positions(self.net, read).sum(1))
+        self.fresh.clear()
+
+    def distributions(self, texts: list[bytes | None]) -> np.ndarray:
+        """Mean distribution over all positions of each text's segments; even where there is none."""
+        if len(self) > self.remembered:
+            self.clear()
+        found = [np.array(list(map(self.__getitem__, t.lower().split())), np.int64) if t else None for t in texts]
+        self._learn()
+        out = np.full((len(texts), len(self.net.langs)), 1 / len(self.net.langs))
+        for i, rows in enumerate(found):
+            if rows is not None and len(rows):
+                total = self.sums[rows].sum(0, dtype=np.float64)
+                out[i] = total / total.sum()
+        return out
+
 
-    def distribution(self, text: bytes) -> np.ndarray:
-        """Mean distribution over all positions of the text's segments."""
-        words = text.lower().split()
-        if not words:
-            return np.full(len(self.net.langs), 1 / len(self.net.langs))
-        if len(self.index) > self.remembered:
-            self.index.clear()
-        fresh = [w for w in set(words) if w not in self.index]
-        if fresh:
-            self._learn(fresh)
-        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        total = self.sums[rows].sum(0, dtype=np.float64)
-        return total / total.sum()
+@lru_cache(maxsize=1)
+def labeller(net: Network) -> Labeller:
+    """One memory for all tasks that a Python worker runs with a network."""
+    return Labeller(net)
 
 
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
@@ -264,20 +280,13 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(net)  # some 100 kB, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value)
-        langs = shared.value.langs
+        own, langs = labeller(shared.value), shared.value.langs
         for batch in batches:
-            pred, score = [], []
-            for text in batch.column(1).cast(pa.binary()):
-                value = text.as_py()
-                if value is None:
-                    pred.append(UNDETERMINED)
-                    score.append(0.0)
-                    continue
-                p = labeller.distribution(value)
-                best = int(p.argmax())
-                pred.append(langs[best])
-                score.append(float(min(1.0, p[best])))
+            values = batch.column(1).cast(pa.binary()).to_pylist()
+            p = own.distributions(values)
+            best = p.argmax(1)
+            pred = [UNDETERMINED if t is None else langs[i] for t, i in zip(values, best, strict=True)]
+            score = [0.0 if t is None else float(min(1.0, row.max())) for t, row in zip(values, p, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=["doc_id", "lang_pred", "score"],
@@ -300,10 +309,10 @@ def keep_determined(docs: DataFrame, net: Network | None, least: float) -> DataF
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value)
+        own = labeller(shared.value)
         for batch in batches:
-            rows = batch.column(at).cast(pa.binary())
-            yield batch.filter(pa.array([bool(labeller.distribution(t.as_py()).max() >= least) for t in rows], pa.bool_()))
+            p = own.distributions(batch.column(at).cast(pa.binary()).to_pylist())
+            yield batch.filter(pa.array(p.max(1) >= least))
 
     return letters.mapInArrow(run, docs.schema)
 
