@@ -246,6 +246,27 @@ def anti_join(df: DataFrame, done: DataFrame, key: str = "url") -> DataFrame:
     return left.join(seen, F.trim(left[key]) == F.col("_seen"), "left_anti")
 
 
+def page_outcomes(pages: DataFrame, query: str) -> DataFrame:
+    """Per query: whether its first page came (``started``), pages that failed, pages collected."""
+    ok = F.col("ok")
+    counted = pages.groupBy(query).agg(
+        F.bool_or((F.col("page") == 1) & ok).alias("started"),
+        F.count_if(~ok).alias("failed"),
+        F.count_if(ok).alias("_ok"),
+    )
+    collected = F.when(F.col("started"), F.col("_ok")).otherwise(F.lit(0).cast("bigint"))
+    return counted.select(query, "started", "failed", collected.alias("collected"))
+
+
+def collect_pages(pages: DataFrame, query: str) -> DataFrame:
+    """Pages of a paged collection (``query, page, ok, ...``) that can be used.
+
+    Failed pages are skipped. A query whose first page failed or never came is empty.
+    """
+    started = pages.where("page = 1 and ok").select(query).distinct()
+    return pages.where("ok").join(started, query, "left_semi").drop("ok")
+
+
 def union_letters(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -278,8 +299,11 @@ def tail(df: DataFrame, n: int, order: Names) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``n`` random rows (all rows if there are fewer)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    """``n`` random rows (all rows if there are fewer).
+
+    The order is a hash of the row, so the sample does not depend on partitioning.
+    """
+    return df.orderBy(F.xxhash64(F.lit(seed), *df.columns), *df.columns).limit(n)
 
 
 def page_of(df: DataFrame, order: Names, page: int, size: int = 10) -> DataFrame:
@@ -382,3 +406,26 @@ def observed(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     """Row count of a step, collected while the plan runs anyway."""
     watch = Observation(step)
     return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+
+
+class Steps:
+    """A chain of operators that notes ``step: before -> after`` row counts.
+
+    Counts are observed while the final frame runs; :meth:`log` waits for that.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df, first = observed(df, "start")
+        self._names: list[str] = []
+        self._watches = [first]
+
+    def then(self, operator: Callable[..., DataFrame], *args: object, **options: object) -> Steps:
+        name = getattr(operator, "__name__", "step")
+        self.df, watch = observed(self.df.transform(operator, *args, **options), name)
+        self._names.append(name)
+        self._watches.append(watch)
+        return self
+
+    def log(self) -> list[str]:
+        counts = [watch.get["rows"] for watch in self._watches]
+        return [f"{n}: {a} -> {b}" for n, a, b in zip(self._names, counts[:-1], counts[1:], strict=True)]

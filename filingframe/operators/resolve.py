@@ -67,8 +67,10 @@ def resolve_instruments(candidates: DataFrame, instruments: DataFrame, aliases:
     known = instruments.select(symbol_key("symbol").alias("name"), *info)
     exact = known.select("name", F.lit(0).alias("rank"), *info)
     other = aliases.select(symbol_key("alias").alias("name"), "ins_code")
-    fallback = other.join(known.drop("name").dropDuplicates(["ins_code"]), "ins_code").select(
-        "name", F.lit(1).alias("rank"), *info
+    # of several rows of one instrument the least counts
+    one = known.groupBy("ins_code").agg(F.min(F.struct(*info[1:])).alias("i"))
+    fallback = other.join(one, "ins_code").select(
+        "name", F.lit(1).alias("rank"), "ins_code", *[F.col(f"i.{c}").alias(c) for c in info[1:]]
     )
     best = F.min(F.struct("rank", *info)).alias("i")
     book = exact.unionByName(fallback).groupBy("name").agg(best)

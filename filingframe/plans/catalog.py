@@ -30,6 +30,7 @@ def load_all() -> None:
     from filingframe.plans import (  # noqa: F401, PLC0415
         board_queries,
         function_queries,
+        io_queries,
         ledger_queries,
         letter_queries,
         resolve_queries,

@@ -211,7 +211,8 @@ def _scratch(spark, name):
 
 def _events_stream(spark, path):
     schema = Tables(spark, path).events.schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", ingest.FILES_PER_BATCH)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(path)
 
 
 @query(

@@ -18,6 +18,11 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole pages and texts travel in Arrow batches, which also have a limit in bytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # a checkpoint goes when nothing refers to it any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from filingframe.functions.text import strip
 from filingframe.functions.urls import DEFAULT_BASE_URL, full_url
-from filingframe.operators.frame import filter_valid_urls
+from filingframe.operators.frame import drop_duplicates, filter_valid_urls
 
 # What marks a spreadsheet link.
 SPREADSHEET_LINK = (r"\.xlsx$", r"\.xls$", "excel")
@@ -134,11 +134,15 @@ def _squeezed(pieces: list[str]) -> str:
     return " ".join(" ".join(pieces).split())
 
 
-def _links_of(html: str | None) -> list[dict]:
-    scanner = _Links()
-    scanner.feed(html or "")
-    scanner.close()
-    return scanner.found
+def _links_of(html: str | None) -> dict:
+    """Links of a page; of a page that breaks off, those found until then."""
+    scanner, broken = _Links(), False
+    try:
+        scanner.feed(html or "")
+        scanner.close()
+    except (AssertionError, ValueError):
+        broken = True
+    return {"links": scanner.found, "broken": broken}
 
 
 def _board_of(html: str | None) -> dict:
@@ -165,8 +169,8 @@ def _board_of(html: str | None) -> dict:
     }
 
 
-def _scan_links(html: pd.Series) -> pd.Series:
-    return html.map(_links_of)
+def _scan_links(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_links_of(h) for h in html], columns=["links", "broken"])
 
 
 def _scan_boards(html: pd.Series) -> pd.DataFrame:
@@ -178,6 +182,7 @@ def _once(function, kind: str):
     return F.pandas_udf(function, kind).asNondeterministic()
 
 
+_LINKS_TYPE = "links array<struct<tag string, href string, text string>>, broken boolean"
 _BOARD_FIELDS = [*LABEL_IDS, "has_previous", "has_next", "rows", "status"]
 _BOARD_TYPE = (
     ", ".join(f"{n} string" for n in LABEL_IDS)
@@ -195,10 +200,11 @@ def extract_links(
 
     An anchor matches by address or text, ignoring case; frames and embeds by source.
     """
-    scan = _once(_scan_links, "array<struct<tag string, href string, text string>>")
+    scan = _once(_scan_links, _LINKS_TYPE)
     kept = [c for c in pages.columns if c not in ("html", "url")]
     page_url = [F.col("url").alias("page_url")] if "url" in pages.columns else []
-    found = pages.select(*kept, *page_url, F.explode(scan("html")).alias("l"))
+    scanned = pages.select(*kept, *page_url, scan("html").alias("_scan"))
+    found = scanned.select(*kept, *[c for c in ("page_url",) if page_url], F.explode("_scan.links").alias("l"))
     href, text = F.col("l.href"), F.col("l.text")
 
     def matches(c: Column) -> Column:
@@ -216,6 +222,13 @@ def extract_links(
     )
 
 
+def link_errors(pages: DataFrame) -> DataFrame:
+    """One recoverable error per page that could not be scanned to its end."""
+    scan = _once(_scan_links, _LINKS_TYPE)
+    broken = pages.select("url", scan("html").alias("_scan")).where("_scan.broken")
+    return page_errors(broken.select("url", F.lit("parsing").alias("status")))
+
+
 def parse_board_pages(pages: DataFrame) -> DataFrame:
     """``url, labels, has_previous, has_next, rows, status`` of each page."""
     scan = _once(_scan_boards, _BOARD_TYPE)
@@ -264,7 +277,17 @@ def page_errors(parsed: DataFrame) -> DataFrame:
     )
 
 
-def pages_of_urls(urls: DataFrame, pages: DataFrame, url_column: str = "url") -> DataFrame:
-    """The landed page of each distinct valid URL; ``html`` is null when not landed."""
+def pages_of_urls(
+    urls: DataFrame, pages: DataFrame, url_column: str = "url", landed: str | None = None
+) -> DataFrame:
+    """The landed page of each distinct valid URL; ``html`` is null when not landed.
+
+    Landed pages are cut down to the wanted URLs before any page is shuffled. Of
+    several landings of a URL the newest by ``landed`` counts (without such a
+    column the one that sorts last).
+    """
     wanted = filter_valid_urls(urls, url_column).select(strip(url_column).alias("url")).distinct()
-    return wanted.join(pages.select("url", "html"), "url", "left")
+    order = [landed] if landed else []
+    found = pages.select("url", "html", *order).join(wanted, "url", "left_semi")
+    newest = drop_duplicates(found, ["url"], "last", [*order, "html"]).select("url", "html")
+    return wanted.join(newest, "url", "left")

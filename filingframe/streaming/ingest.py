@@ -11,23 +11,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filingframe.functions.text import strip
 from filingframe.operators.board import board_records
-from filingframe.operators.frame import filter_valid_urls
+from filingframe.operators.frame import drop_duplicates, filter_valid_urls
 from filingframe.schemas import BOARD_MEMBER, FETCH_ERROR
 from filingframe.sources.html import board_rows, page_errors, pages_of_urls, parse_board_pages
 
 
+# Files of one micro-batch, which bounds what the first run takes at once.
+FILES_PER_BATCH = 1000
+
+
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty Parquet folder, unless there is one already."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
 def unseen(batch: DataFrame, target: DataFrame, key: str = "url") -> DataFrame:
-    """Distinct batch rows whose key the target lacks.
+    """Batch rows whose key the target lacks, one a key: the least of those that share it.
 
     The target's keys are first cut down to those in the batch, a semi join
     whose small side is the batch; the whole target is never shuffled for it.
     """
-    fresh = batch.dropDuplicates([key])
+    rest = [c for c in batch.columns if c != key]
+    fresh = drop_duplicates(batch, [key], "first", rest) if rest else batch.distinct()
     seen = target.select(key).join(fresh.select(key), key, "left_semi")
     return fresh.join(seen, key, "left_anti")
 
@@ -87,9 +92,12 @@ def load_board_members(
     run_available(urls, each_batch, checkpoint)
 
 
-def read_url_stream(spark: SparkSession, path: str, url_column: str = "url") -> DataFrame:
-    """CSV files of URLs, as they land."""
+def read_url_stream(
+    spark: SparkSession, path: str, url_column: str = "url", files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """CSV files of URLs, as they land, so many in a micro-batch at most."""
     schema = T.StructType([T.StructField(url_column, T.StringType(), True)])
-    return spark.readStream.schema(schema).option("header", True).csv(path)
+    reader = spark.readStream.schema(schema).option("header", True)
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
 
 
