@@ -202,14 +202,22 @@ def interlock_edges(
         )
     )
     cell = [*keys, "_lo", "_hi"]
-    left = placed.select(*cell, F.col("company").alias("a"), F.col("_mine").alias("_ma"), "rep_name", "rep_id")
-    right = placed.select(*cell, F.col("company").alias("b"), F.col("_mine").alias("_mb"))
+    # both sides have the same columns, so one exchange serves them both
+    left, right = placed.alias("x"), placed.alias("y")
     # two companies of the same block meet only in that block's own cell
-    proper = (F.col("_lo") == F.col("_hi")) | (F.col("_ma") != F.col("_mb"))
+    proper = (F.col("x._lo") == F.col("x._hi")) | (F.col("x._mine") != F.col("y._mine"))
     return (
-        left.join(right, cell)
-        .where((F.col("a") < F.col("b")) & proper)
-        .select("grain", "period", "a", "b", "rep_name", "rep_id", "rep_key")
+        left.join(right, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in cell])
+        .where((F.col("x.company") < F.col("y.company")) & proper)
+        .select(
+            "x.grain",
+            "x.period",
+            F.col("x.company").alias("a"),
+            F.col("y.company").alias("b"),
+            F.coalesce("x.rep_name", "y.rep_name").alias("rep_name"),
+            F.coalesce("x.rep_id", "y.rep_id").alias("rep_id"),
+            "x.rep_key",
+        )
     )
 
 

@@ -20,33 +20,48 @@ def _countable(df: DataFrame, name: str) -> Column:
     return F.to_json(F.col(name)) if isinstance(kind, _NESTED) else F.col(name)
 
 
-def column_info(df: DataFrame, sample: bool = True) -> DataFrame:
+def _tall(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """One ``column, v`` row per row and column."""
+    pairs = [F.struct(F.lit(n).alias("column"), v.alias("v")) for n, v in columns.items()]
+    return df.select(F.inline(F.array(*pairs)))
+
+
+def column_info(df: DataFrame, sample: bool = True, approximate: bool = False) -> DataFrame:
     """One row per column: type, non-null, null and distinct counts, a sample value.
 
     The sample is the smallest value as text, so it does not depend on row order.
+    Values are counted per column and text before they are shuffled; with
+    ``approximate`` the distinct counts are estimates and no value is shuffled at all.
     """
-    parts: list[Column] = []
-    for name in df.columns:
-        parts += [
-            F.count(name).alias(f"{name}_filled"),
-            F.count_distinct(_countable(df, name)).alias(f"{name}_unique"),
-            F.min(_countable(df, name).cast("string")).alias(f"{name}_sample"),
-        ]
-    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *parts)
-
-    def line(name: str) -> Column:
-        filled = F.col(f"{name}_filled")
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.lit(df.schema[name].dataType.simpleString()).alias("dtype"),
-            filled.alias("non_null_count"),
-            (F.col("_rows") - filled).alias("null_count"),
-            F.col(f"{name}_unique").alias("unique_count"),
-            F.coalesce(F.col(f"{name}_sample"), F.lit("")).alias("sample_value"),
+    tall = _tall(df, {n: _countable(df, n).cast("string") for n in df.columns})
+    if approximate:
+        info = tall.groupBy("column").agg(
+            F.count("v").alias("filled"),
+            F.count(F.lit(1)).alias("rows"),
+            F.approx_count_distinct("v").alias("unique"),
+            F.min("v").alias("sample"),
         )
-
-    info = totals.select(F.inline(F.array(*[line(n) for n in df.columns])))
-    return info if sample else info.drop("sample_value")
+    else:
+        counts = tall.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+        info = counts.groupBy("column").agg(
+            F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("filled"),
+            F.sum("n").alias("rows"),
+            F.count("v").alias("unique"),
+            F.min("v").alias("sample"),
+        )
+    kinds = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype")) for f in df.schema.fields]
+    # a table without rows has its columns all the same
+    names = df.sparkSession.range(1).select(F.inline(F.array(*kinds)))
+    filled, none = F.coalesce("filled", F.lit(0)), F.lit(0).cast("bigint")
+    out = names.join(info, "column", "left").select(
+        "column",
+        "dtype",
+        filled.alias("non_null_count"),
+        (F.coalesce("rows", none) - filled).alias("null_count"),
+        F.coalesce("unique", none).alias("unique_count"),
+        F.coalesce("sample", F.lit("")).alias("sample_value"),
+    )
+    return out if sample else out.drop("sample_value")
 
 
 def summary_stats(df: DataFrame) -> DataFrame:
@@ -107,16 +122,7 @@ def describe(df: DataFrame) -> DataFrame:
     frames: list[DataFrame] = []
     number_columns = ("mean", "std", "min", "q25", "q50", "q75", "max")
     if numeric:
-        tall = df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(n).alias("column"), F.col(n).cast("double").alias("v"))
-                        for n in numeric
-                    ]
-                )
-            )
-        )
+        tall = _tall(df, {n: F.col(n).cast("double") for n in numeric})
         moments = tall.groupBy("column").agg(
             F.count("v").alias("count"),
             F.avg("v").alias("mean"),
@@ -124,7 +130,7 @@ def describe(df: DataFrame) -> DataFrame:
             F.min("v").alias("min"),
             F.max("v").alias("max"),
         )
-        quartiles = exact_quantiles(tall, ["column"], "v", [0.25, 0.5, 0.75])
+        quartiles = exact_quantiles(tall, ["column"], "v", [0.25, 0.5, 0.75], few_groups=True)
         numbers = moments.join(quartiles, "column", "left")
         frames.append(
             numbers.select(
@@ -143,16 +149,7 @@ def describe(df: DataFrame) -> DataFrame:
             )
         )
     if textual:
-        tall = df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("v"))
-                        for n in textual
-                    ]
-                )
-            )
-        ).where("v is not null")
+        tall = _tall(df, {n: F.col(n).cast("string") for n in textual}).where("v is not null")
         counts = tall.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
         best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("v")))
         texts = counts.groupBy("column").agg(

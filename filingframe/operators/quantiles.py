@@ -1,8 +1,9 @@
 """Exact grouped quantiles that never gather a group in one task.
 
 A first pass takes approximate bounds around each wanted rank. The second pass
-keeps only values between the bounds, counts what lies below them, and reads
-the exact rank from that small remainder.
+keeps only values between the bounds, counts what lies below them, and cuts the
+interval into BINS slices of equal width: a slice is ranked by itself, from the
+number of values in the slices before it.
 """
 
 from __future__ import annotations
@@ -13,16 +14,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The sketch errs by at most n / ACCURACY ranks; the bounds leave twenty times
-# that. A group of at most SMALL values is ranked whole.
+# that. Where that is less than two ranks the bounds are the extremes.
 ACCURACY = 10_000
 MARGIN = 20 / ACCURACY
-SMALL = 1000
+FEWEST = int(2 / MARGIN)
+BINS = 1024
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    few_groups: bool = False,
 ) -> DataFrame:
-    """``keys, q0, q1, ...`` with linear interpolation between neighbours."""
+    """``keys, q0, q1, ...`` with linear interpolation between neighbours.
+
+    ``few_groups`` says that the number of groups is bounded by the schema, so
+    that their bounds may be broadcast.
+    """
     keys = list(keys)
     if not keys:
         raise ValueError("exact quantiles need a grouping key")
@@ -35,12 +45,9 @@ def exact_quantiles(
     k = len(probabilities)
 
     def bound(i: int, p: float) -> Column:
-        # an open end stands in for the minimum and maximum
-        some = F.col("_n") > SMALL
-        low = F.when(some & F.lit(p > MARGIN), F.get("_s", F.lit(i)))
-        high = F.when(some & F.lit(p < 1 - MARGIN), F.get("_s", F.lit(k + i)))
-        low = F.coalesce(low, F.lit(float("-inf")))
-        high = F.coalesce(high, F.lit(float("inf")))
+        many = F.col("_n") > FEWEST
+        low = F.when(many & F.lit(p > MARGIN), F.get("_s", F.lit(i))).otherwise(F.col("_least"))
+        high = F.when(many & F.lit(p < 1 - MARGIN), F.get("_s", F.lit(k + i))).otherwise(F.col("_most"))
         position = (F.col("_n") - 1) * F.lit(float(p))
         return F.struct(
             F.lit(i).alias("i"), low.alias("low"), high.alias("high"), position.alias("at")
@@ -48,29 +55,61 @@ def exact_quantiles(
 
     bounds = (
         rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), sketch.alias("_s"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min("_v").alias("_least"),
+            F.max("_v").alias("_most"),
+            sketch.alias("_s"),
+        )
         .select(*keys, F.array(*[bound(i, p) for i, p in enumerate(probabilities)]).alias("_b"))
     )
-    names = [F.col(c).alias(f"_k_{c}") for c in keys]
-    bounds = bounds.select(*names, "_b")
+    bounds = bounds.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_b")
+    if few_groups:
+        bounds = F.broadcast(bounds)
     placed = rows.join(bounds, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
     # rows above a bound are not needed; all rows below it collapse into one count
-    near = placed.select(*keys, "_v", F.explode("_b").alias("_b")).where(
-        F.col("_v") <= F.col("_b.high")
+    low, high = F.col("_b.low"), F.col("_b.high")
+    near = placed.select(*keys, "_v", F.explode("_b").alias("_b")).where(F.col("_v") <= high)
+    width = high - low
+    slice_ = F.floor((F.col("_v") - low) / width * BINS).cast("int")
+    bin_ = (
+        F.when(F.col("_v") < low, -1)
+        # an infinite interval is one slice
+        .when((width > 0) & (width < float("inf")), F.least(slice_, F.lit(BINS - 1)))
+        .otherwise(0)
     )
     counted = near.groupBy(
         *keys,
         F.col("_b.i").alias("_i"),
         F.col("_b.at").alias("_at"),
-        F.when(F.col("_v") >= F.col("_b.low"), F.col("_v")).alias("_v"),
+        bin_.alias("_bin"),
+        F.when(F.col("_v") >= low, F.col("_v")).alias("_v"),
     ).agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counted.withColumn("_rank", F.sum("_c").over(upto))
+    before = Window.partitionBy(*keys, "_i").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        counted.groupBy(*keys, "_i", "_bin")
+        .agg(F.sum("_c").alias("_c"))
+        .select(
+            *[F.col(c).alias(f"_k_{c}") for c in keys],
+            F.col("_i").alias("_k_i"),
+            F.col("_bin").alias("_k_bin"),
+            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
+        )
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    upto = Window.partitionBy(*keys, "_i", "_bin").orderBy(F.col("_v").asc_nulls_first())
+    ranked = counted.join(
+        offsets, [*same, F.col("_i") == F.col("_k_i"), F.col("_bin") == F.col("_k_bin")]
+    ).withColumn("_rank", F.col("_before") + F.sum("_c").over(upto))
     at = F.col("_at")
     lower = F.min(F.when(F.col("_rank") >= F.floor(at) + 1, F.col("_v")))
     upper = F.min(F.when(F.col("_rank") >= F.ceil(at) + 1, F.col("_v")))
     each = ranked.groupBy(*keys, "_i", "_at").agg(lower.alias("_lo"), upper.alias("_hi"))
-    quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (at - F.floor(at))
+    part = at - F.floor(at)
+    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part
+    # infinite neighbours have no difference
+    exact = (part == 0) | (F.col("_lo") == F.col("_hi"))
+    quantile = F.when(exact, F.col("_lo")).otherwise(between)
     picks = [
         F.max(F.when(F.col("_i") == i, quantile)).alias(f"q{i}") for i in range(len(probabilities))
     ]

@@ -240,13 +240,13 @@ def top_connected_people(spark, path):
     return graph.graph_edges(board_members(spark, path)).transform(graph.top_connected)
 
 
-PERIODS_SQL = """periods AS (SELECT *, 'year' AS grain, year AS period FROM board_rep
+PERIODS_SQL = """periods AS MATERIALIZED (SELECT *, 'year' AS grain, year AS period FROM board_rep
  UNION ALL SELECT *, 'quarter', substr(assembly_date, 1, 4) || 'Q' ||
   CAST((CAST(substr(assembly_date, 5, 2) AS INTEGER) - 1) // 3 + 1 AS VARCHAR) FROM board_rep
  UNION ALL SELECT *, 'month', substr(assembly_date, 1, 6) FROM board_rep)"""
-SEATS_SQL = f"""{PERIODS_SQL}, seats AS (SELECT DISTINCT grain, period, rep_key, company
+SEATS_SQL = f"""{PERIODS_SQL}, seats AS MATERIALIZED (SELECT DISTINCT grain, period, rep_key, company
  FROM periods WHERE rep_name IS NOT NULL),
- named AS (SELECT grain, period, rep_key, rep_name, rep_id FROM (SELECT *, row_number() OVER
+ named AS MATERIALIZED (SELECT grain, period, rep_key, rep_name, rep_id FROM (SELECT *, row_number() OVER
   (PARTITION BY grain, period, rep_key ORDER BY assembly_date, url, row_no, rep_name, rep_id) AS r
   FROM periods WHERE rep_name IS NOT NULL) WHERE r = 1)"""
 PAIRS_SQL = f"""{SEATS_SQL}, pairs AS (SELECT x.grain, x.period, x.company AS a, y.company AS b,

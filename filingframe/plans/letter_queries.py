@@ -920,18 +920,18 @@ def report_annual_statements(spark, path):
         "letters letter_codes",
         f"""SELECT {CORE_SQL}, coalesce(url, '') AS url,
  coalesce(letter_description, '') AS letter_description
- FROM (SELECT *, row_number() OVER (PARTITION BY symbol, company_name ORDER BY publish_date_time
-  DESC, tracing_no DESC) AS r FROM letters WHERE publish_date_time >= '1375/01/01'
-  AND publish_date_time <= '1379/12/29') LEFT JOIN letter_codes USING (letter_code) WHERE r = 1""",
+ FROM (SELECT *, row_number() OVER (PARTITION BY symbol, tracing_no ORDER BY publish_date_time
+  DESC) AS r FROM letters WHERE letter_code = 'ن-45' AND NOT is_child
+  AND substr(publish_date_time, 1, 10) BETWEEN '1375/01/01' AND '1379/12/29') LEFT JOIN letter_codes USING (letter_code) WHERE r = 1""",
     ),
 )
 def report_clean_letters(spark, path):
     wanted = [*CORE, "url", "letter_description"]
     return (
         letters(spark, path)
-        .select(*CORE, "url", "company_name")
-        .transform(frame.filter_by_date_range, "1375/01/01", "1379/12/29")
-        .transform(frame.drop_duplicates, ["symbol", "company_name"], "last", ORDER)
+        .transform(search.board_changes, "1375/01/01", "1379/12/29")
+        .select(*CORE, "url")
+        .transform(frame.drop_duplicates, ["symbol", "tracing_no"], "last", ORDER)
         .transform(frame.add_letter_descriptions)
         .transform(frame.sort_by, "publish_date_time", False)
         .transform(frame.fill_na)
