@@ -167,3 +167,25 @@ def test_interlocks_of_a_hot_person_equal_brute_force(spark, block):
     assert got == wanted and len(edges) == len(wanted)
     groups = graph.interlock_groups(months)
     assert groups.agg(F.sum("pairs")).first()[0] == len(wanted)
+
+
+def test_a_broken_page_keeps_its_links_and_gives_an_error(spark):
+    pages = spark.createDataFrame(
+        [("u1", '<a href="/x.xls">a</a><![foo[x]]><a href="/y.xls">b</a>'), ("u2", '<a href="z.xlsx">c</a>'), ("u3", None)],
+        "url string, html string",
+    )
+    found = html.extract_links(pages, base_url="https://b").collect()
+    assert sorted((r["page_url"], r["filename"]) for r in found) == [("u1", "x.xls"), ("u2", "z.xlsx")]
+    errors = html.link_errors(pages).collect()
+    assert [(r["url"], r["error_type"]) for r in errors] == [("u1", "parsing")]
+
+
+def test_newest_landing_of_a_page(spark):
+    urls = spark.createDataFrame([("http://a",), (" http://a ",), ("http://b",), ("",)], "url string")
+    pages = spark.createDataFrame(
+        [("http://a", "old", 1), ("http://a", "new", 2), ("http://c", "x", 1)], "url string, html string, day int"
+    )
+    found = {r["url"]: r["html"] for r in html.pages_of_urls(urls, pages, landed="day").collect()}
+    assert found == {"http://a": "new", "http://b": None}
+    plan = html.pages_of_urls(urls, pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan

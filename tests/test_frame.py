@@ -180,3 +180,44 @@ def test_download_manifest(spark):
         ("1", "https://b/x.xls", "a_b_1402-01-02_2.xls"),
     ]
     assert frame.download_manifest(df, max_files=1).count() == 1
+
+
+def test_sample_does_not_depend_on_partitioning(spark):
+    df = spark.range(200).withColumn("x", F.col("id") % 7)
+    first = sorted(r["id"] for r in frame.sample_rows(df, 20, 3).collect())
+    assert first == sorted(r["id"] for r in frame.sample_rows(df.repartition(9, "x"), 20, 3).collect())
+    assert first != sorted(r["id"] for r in frame.sample_rows(df, 20, 4).collect())
+    assert frame.sample_rows(df, 500).count() == 200
+
+
+def test_steps_note_rows_before_and_after(spark):
+    steps = frame.Steps(spark.range(10).withColumn("x", F.col("id") % 3))
+    steps.then(frame.filter_by_condition, F.col("id") > 3).then(frame.drop_duplicates, ["x"], "any")
+    assert steps.df.count() == 3
+    assert steps.log() == ["filter_by_condition: 10 -> 6", "drop_duplicates: 6 -> 3"]
+
+
+def test_paged_collection(spark):
+    rows = [("a", 1, True), ("a", 2, False), ("a", 3, True), ("b", 1, False), ("b", 2, True), ("c", 2, True)]
+    pages = spark.createDataFrame(rows, "q string, page int, ok boolean")
+    kept = frame.collect_pages(pages, "q")
+    assert sorted(tuple(r) for r in kept.collect()) == [("a", 1), ("a", 3)]
+    outcomes = {r["q"]: (r["started"], r["failed"], r["collected"]) for r in frame.page_outcomes(pages, "q").collect()}
+    assert outcomes == {"a": (True, 1, 2), "b": (False, 1, 0), "c": (False, 0, 0)}
+
+
+def test_quantiles_of_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([("a", inf), ("a", inf), ("a", 1.0), ("b", -inf), ("b", 2.0), ("b", 4.0)], "g string, v double")
+    rows = {r["g"]: (r["q0"], r["q1"]) for r in exact_quantiles(df, ["g"], "v", [0.5, 1.0], few_groups=True).collect()}
+    assert rows == {"a": (inf, inf), "b": (2.0, 4.0)}
+
+
+def test_column_info_of_no_rows_and_estimates(spark):
+    df = spark.range(300).select("id", (F.col("id") % 10).cast("string").alias("s"), F.lit(None).cast("int").alias("n"))
+    exact = {r["column"]: tuple(r) for r in profile.column_info(df).collect()}
+    assert exact["s"] == ("s", "string", 300, 0, 10, "0") and exact["n"] == ("n", "int", 0, 300, 0, "")
+    about = {r["column"]: r["unique_count"] for r in profile.column_info(df, approximate=True).collect()}
+    assert about["s"] == 10 and about["n"] == 0 and abs(about["id"] - 300) < 30
+    none = profile.column_info(df.where("false"), sample=False).collect()
+    assert [tuple(r) for r in none] == [("id", "bigint", 0, 0, 0), ("s", "string", 0, 0, 0), ("n", "int", 0, 0, 0)]

@@ -47,3 +47,17 @@ def test_row_numbers_have_no_window_over_rows(spark):
     text = plan(QUERIES["url_batches"](spark, PATH))
     # the only window without a partition key runs over one count per partition
     assert text.count("Window ") == 1 and "HashAggregate" in text
+
+
+def test_quartiles_of_a_table_shuffle_no_raw_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["describe_table"](spark, PATH))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # below each exchange on the column stands an aggregate, never the tall rows
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(column" in line:
+            assert "HashAggregate" in lines[i + 1] or "SortAggregate" in lines[i + 1] or "Project" in lines[i + 1], lines[i + 1]
+    assert "BroadcastExchange" in text
