@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -30,7 +30,7 @@ TOKEN = -8.0
 #: A character outside the vocabulary costs this for each of its UTF-8 bytes, which are tokens.
 BYTE = -25.0
 #: Trie nodes that a worker keeps before it starts anew.
-NODES = 1_000_000
+NODES = 1_600_000
 
 
 def read_pieces(path: str) -> dict[str, float]:
@@ -43,6 +43,18 @@ def read_pieces(path: str) -> dict[str, float]:
     return pieces
 
 
+class _Counts(dict):
+    """Tokens by pre-token; one that is not there yet is inserted when it is looked up."""
+
+    def __init__(self, insert: Callable[[str], int]):
+        super().__init__()
+        self.insert = insert
+
+    def __missing__(self, chunk: str) -> int:
+        found = self[chunk] = self.insert(MARK + chunk)
+        return found
+
+
 class Trie:
     """Best segmentation of every prefix inserted so far.
 
@@ -62,7 +74,7 @@ class Trie:
         #: child by node and character
         self.children: dict[int, int] = {}
         self.score, self.tokens = array("d", [0.0]), array("i", [0])
-        self.counts: dict[str, int] = {}
+        self.counts = _Counts(self.insert)
 
     def insert(self, word: str) -> int:
         """Add a pre-token; its number of tokens."""
@@ -93,8 +105,6 @@ class Trie:
         chunks = text.split()
         if len(self.score) > NODES or len(self.counts) > NODES // 2:
             self.clear()
-        for chunk in set(chunks) - self.counts.keys():
-            self.counts[chunk] = self.insert(MARK + chunk)
         return len(chunks), sum(map(self.counts.__getitem__, chunks))
 
 
