@@ -23,8 +23,7 @@ def snake_case(name: str) -> str:
 
 def camel_case(name: str) -> str:
     """``publish_date_time`` -> ``publishDateTime``."""
-    head, _, tail = name.partition("_")
-    return head + "".join(word.title() for word in tail.split("_"))
+    return re.sub(r"_([^_]*)", lambda word: word[1].title(), name)
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:

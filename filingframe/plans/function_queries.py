@@ -420,15 +420,15 @@ RULES = [
 SQL_RULES = {
     ("not_none", "url"): "url IS NOT NULL",
     ("not_empty", "url"): "coalesce(url, '') <> ''",
-    ("boolean", "audited"): "audited IS NOT NULL",
-    ("integer", "period_length"): "true",
-    ("string", "symbol"): "true",
-    ("integer_string", "tracing_no"): "true",
-    ("date", "sent_date_time"): "true",
-    ("date", "publish_date_time"): "false",
-    ("symbol", "symbol"): "true",
-    ("isic", "isic"): "true",
-    ("letter_code", "letter_code"): "true",
+    ("boolean", "audited"): "k % 7 <> 0",
+    ("integer", "period_length"): "k % 11 <> 0",
+    ("string", "symbol"): "k % 13 <> 0",
+    ("integer_string", "tracing_no"): "k % 19 <> 0",
+    ("date", "sent_date_time"): "k % 5 <> 0",
+    ("date", "publish_date_time"): "k % 2 = 0",
+    ("symbol", "symbol"): "k % 13 <> 0 AND k % 17 <> 0",
+    ("isic", "isic"): "k % 3 <> 0",
+    ("letter_code", "letter_code"): "k % 23 <> 0 AND letter_code IS NOT NULL",
     ("url", "url"): "coalesce(url LIKE 'http%', false)",
     ("range", "amount"): "amount BETWEEN 1000 AND 300000",
     ("list", "company_type"): "company_type IN (1, 2)",
@@ -438,19 +438,44 @@ SQL_RULES = {
 }
 
 
+def _worn(df):
+    """Letters of which some break each rule."""
+    k = F.col("tracing_no").cast("bigint")
+
+    def every(n, bad, column):
+        return F.when(k % n != 0, F.col(column)).otherwise(bad)
+
+    # the serial number goes last, the others are worn by it
+    worn = df.withColumns(
+        {
+            "audited": every(7, F.lit(None), "audited"),
+            "period_length": every(11, F.lit(None), "period_length"),
+            "symbol": F.when(k % 13 == 0, F.lit(None)).otherwise(every(17, F.lit("two words"), "symbol")),
+            "sent_date_time": every(5, F.lit("1402/13/01"), "sent_date_time"),
+            "publish_date_time": F.when(k % 2 == 0, F.substring("publish_date_time", 1, 10)).otherwise(
+                F.col("publish_date_time")
+            ),
+            "isic": every(3, F.lit("12"), "isic"),
+            "letter_code": every(23, F.lit("45"), "letter_code"),
+        }
+    )
+    return worn.withColumn("tracing_no", every(19, F.lit("12x"), "tracing_no"))
+
+
 @query(
     "validation_report",
     with_views(
         "letters",
         " UNION ALL ".join(
             f"SELECT '{kind}' AS rule, '{c}' AS \"column\", count(*) AS checked,"
-            f" count(*) FILTER (NOT ({test})) AS failed FROM letters"
+            f" count(*) FILTER (NOT ({test})) AS failed FROM"
+            " (SELECT *, CAST(tracing_no AS BIGINT) AS k FROM letters)"
             for (kind, c), test in SQL_RULES.items()
         ),
     ),
 )
 def validation_report(spark, path):
-    return quality.validation_report(letters(spark, path), RULES)
+    return quality.validation_report(_worn(letters(spark, path)), RULES)
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,12 +62,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Folder of each table that `materialise` gave out and nobody has dropped.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def materialise(df: DataFrame, name: str, replaces: DataFrame | None = None) -> DataFrame:
     """Write an intermediate result once as a table in the shared folder and read it back.
 
     For results that several branches of a job use: each branch then reads only
     its own columns, and a lost executor costs a re-read, not a recomputation.
+    Tables lie in a folder of the application; ``replaces`` is a table that nothing
+    needs any more once this one is written, as in the rounds of an iteration.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if replaces is not None:
+        drop(replaces)
+    table = spark.read.parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def drop(table: DataFrame) -> None:
+    """Delete a table that :func:`materialise` gave out; other frames are left alone."""
+    path = _FOLDERS.pop(table, None)
+    if path:
+        jvm = table.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        configuration = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(configuration).delete(folder, True)

@@ -173,3 +173,21 @@ def test_summaries(spark):
     assert rows == {"timeout": (2, 1), "network": (1, 1), "total": (3, 2)}
     none = {r["error_type"]: r["errors"] for r in agg.error_summary(errors.where("false")).collect()}
     assert none == {"total": 0}
+
+
+def test_tables_written_once_are_dropped_when_replaced(spark):
+    from pathlib import Path
+
+    from filingframe.session import drop, materialise
+
+    def folder(df):
+        return Path(df.inputFiles()[0].removeprefix("file://")).parent
+
+    first = materialise(spark.range(5), "numbers")
+    old = folder(first)
+    second = materialise(first.selectExpr("id + 1 as id"), "numbers", replaces=first)
+    assert not old.exists() and second.agg({"id": "sum"}).first()[0] == 15
+    drop(second.where("id > 1"))  # not a table of its own
+    assert folder(second).exists()
+    drop(second)
+    drop(second)
