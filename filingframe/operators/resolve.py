@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import d_even, from_jalali
 from filingframe.functions.text import symbol_candidates, symbol_key
+from filingframe.session import materialise
 
 # Fixed value: how many days after the assembly a snapshot may lie.
 MAX_FORWARD_DAYS = 2
@@ -211,21 +212,22 @@ def enrich(
 
     The winner is the smallest (candidate position, day) with holders; one
     grouping per pair yields winner, last resolved and first candidate at once.
+    Attempts and outcomes are written once in the shared folder, since every
+    report starts from them.
     """
     pairs = assembly_pairs(board, corrections)
     tries = pairs.select(*PAIR, "day", F.posexplode("candidates").alias("pos", "candidate"))
-    attempts = resolve_instruments(
-        tries.withColumn("name", symbol_key("candidate")), instruments, aliases
-    )
+    named = tries.withColumn("name", symbol_key("candidate"))
+    attempts = materialise(resolve_instruments(named, instruments, aliases), "attempts")
     reached = forward_days(attempts, snapshot_days(holders))
     fields = ["pos", "candidate", "ins_code", "isic_code", "sector_name", "z_titad"]
     hit = F.when(F.col("hit").isNotNull(), F.struct("pos", "hit", *fields[1:]))
     resolved = F.when(F.col("ins_code").isNotNull(), F.struct(*fields))
-    named = F.array_sort(F.collect_set(F.struct("pos", "candidate")))
+    tried = F.array_sort(F.collect_set(F.struct("pos", "candidate")))
     outcomes = reached.groupBy(*PAIR, "day").agg(
         F.min(hit).alias("win"),
         F.max(resolved).alias("last"),
         F.min(F.struct("pos", "candidate")).alias("first"),
-        F.array_join(named["candidate"], "|").alias("symbols_tried"),
+        F.array_join(tried["candidate"], "|").alias("symbols_tried"),
     )
-    return Enrichment(attempts, outcomes, holders, prices)
+    return Enrichment(attempts, materialise(outcomes, "outcomes"), holders, prices)
