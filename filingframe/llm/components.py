@@ -34,7 +34,7 @@ def roots(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node that has an edge; ``root`` is the least node of its component.
 
     ``edges`` has two long columns. Loops are ignored, null ends are dropped, and
-    no edges give no rows. Each round is written to the shared folder.
+    no edges give no rows. Each round is written to the shared folder and the one before dropped.
     """
     a, b = edges.columns
     current = materialise(
@@ -42,7 +42,7 @@ def roots(edges: DataFrame) -> DataFrame:
     )
     state = None
     while True:
-        current = materialise(_stars(_stars(current, large=True), large=False), "edges")
+        current = materialise(_stars(_stars(current, large=True), large=False), "edges", replaces=current)
         seen = current.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

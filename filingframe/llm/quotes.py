@@ -117,6 +117,7 @@ def _threads(replies: DataFrame) -> DataFrame:
                 (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             ),
             "threads",
+            replaces=current,
         )
 
 
