@@ -12,6 +12,7 @@ gaps that rounding up to units left, and then into windows of its own.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -32,45 +33,76 @@ UNITS, DEPTH = 64, 5
 USED = 0.96
 #: Documents that are ranked, and later poured, together.
 GROUP = 4000
-#: Chunks whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 500_000, 64
+#: Chunks and runs of marks whose ids a worker remembers, and the longest chunk.
+REMEMBERED, MARKS, LONGEST = 600_000, 1000, 64
 
 
-class WordEncoder:
-    """Ids of whole texts, chunk by chunk between ASCII white space.
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself where it is visible, else one beyond Latin-1."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    Holds for vocabularies that drop white space: no token crosses a chunk.
+
+BYTE_LETTERS = _byte_letters()
+
+
+class WordEncoder(dict):
+    """Packed ids (little-endian, 32 bits) by chunk between ASCII white space.
+
+    Holds for vocabularies that drop white space: no token crosses a chunk. A chunk
+    that is not there yet is encoded when it is looked up.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         # strings of special tokens in a text are ordinary text
         self.tokenizer.encode_special_tokens = True
-        self.recent: dict[bytes, bytes] = {}
+        self.merges = self.tokenizer.model.tokenize
         self.older: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of Latin-1 letters: nothing is left to do but to lower and to merge it."""
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [token.id for token in self.merges(word)]).tobytes()
+
+    def _mark(self, mark: str) -> bytes:
+        packed = self.marks.get(mark)
+        if packed is None:
+            packed = self._encode(mark)
+            if len(self.marks) < MARKS:
+                self.marks[mark] = packed
+        return packed
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        packed = self.older.get(chunk)
+        if packed is None:
+            text = chunk.decode()
+            if len(chunk) > LONGEST:
+                return self._encode(text)
+            word = text.rstrip(".,;:")
+            # letters and the marks after them are split from each other (beyond Latin-1, lowering may add marks)
+            if word.isalpha() and max(word) < "\u0100":
+                packed = self._word(word)
+                if len(word) < len(text):
+                    packed += self._mark(text[len(word) :])
+            else:
+                packed = self._encode(text)
+        self[chunk] = packed
+        return packed
 
     def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        chunks = text.split()
-        if len(self.recent) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        recent, older = self.recent, self.older
-        long: dict[bytes, bytes] = {}
-        fresh = []
-        for chunk in set(chunks):
-            if chunk not in recent:
-                known = older.get(chunk)
-                if known is None:
-                    fresh.append(chunk)
-                else:
-                    recent[chunk] = known
-        if fresh:
-            encoded = self.tokenizer.encode_batch_fast([c.decode() for c in fresh], add_special_tokens=False)
-            for chunk, found in zip(fresh, encoded, strict=True):
-                (recent if len(chunk) <= LONGEST else long)[chunk] = np.array(found.ids, "<u4").tobytes()
-        if long:
-            return b"".join([recent[c] if c in recent else long[c] for c in chunks])
-        return b"".join(map(recent.__getitem__, chunks))
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @cache
