@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
+from itertools import groupby, islice
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from filingframe.functions.urls import fingerprint, query_url
 from filingframe.operators.frame import assign_batches
@@ -87,117 +90,135 @@ def fetch_frontier(
 
 # ------------------------------------------------- requests that miss the cache
 
-# A key with more distinct times than this is folded piece by piece.
-SMALL_KEY = 1000
-# Wanted distinct times per piece of a large key, and its length in ttl units.
-PIECE_ROWS = 500_000
-PIECE_MIN, PIECE_MAX = 4, 4096
+# Length of a piece of a key's timeline, in ttl units.
+PIECE_TTLS = 64
 
 
-def _orbit_ends(times: np.ndarray, entries: np.ndarray, ttl: int) -> np.ndarray:
-    """Last kept time of the greedy fold from each entry to the end of ``times``."""
-    ends = entries.copy()
-    while True:
-        at = np.searchsorted(times, ends + ttl, side="right")
-        moving = at < len(times)
-        if not moving.any():
-            return ends
-        ends[moving] = times[at[moving]]
+class _Heads:
+    """Last kept times of a piece, for every time that may be the first one kept in it.
 
+    A head is a last kept time with the ranges of entries that lead to it. Heads that
+    fall behind meet in the next time, so there are never more than there are
+    times within one ttl.
+    """
 
-def _kept_after(times: np.ndarray, after: int | None, ttl: int) -> list[int]:
-    """Kept times of one piece, given the last time kept before it."""
-    at = 0 if after is None else int(np.searchsorted(times, after + ttl, side="right"))
-    kept = []
-    while at < len(times):
-        kept.append(int(times[at]))
-        at = int(np.searchsorted(times, times[at] + ttl, side="right"))
-    return kept
+    def __init__(self, begin: int, ttl: int):
+        self.reach, self.ttl = begin + ttl, ttl
+        #: last kept time, ranges of entries as (first number, last number, last entry)
+        self.heads: deque[tuple[int, list[tuple[int, int, int]]]] = deque()
+        self.entries = 0
+        self.open = True  # what was kept before the piece may still cover the next time
+
+    def add(self, t: int) -> None:
+        ranges: list[tuple[int, int, int]] = []
+        while self.heads and self.heads[0][0] + self.ttl < t:
+            ranges += self.heads.popleft()[1]
+        if self.open:
+            ranges.append((self.entries, self.entries, t))
+            self.entries += 1
+            self.open = t <= self.reach
+        if ranges:
+            joined: list[tuple[int, int, int]] = []
+            for first, last, entry in sorted(ranges):
+                if joined and joined[-1][1] + 1 == first:
+                    first = joined.pop()[0]
+                joined.append((first, last, entry))
+            self.heads.append((t, joined))
+
+    def runs(self) -> list[tuple[int, int]]:
+        """``(upto, end)`` in order of entry: entries up to ``upto`` lead to ``end``."""
+        return sorted((entry, t) for t, ranges in self.heads for _, _, entry in ranges)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+def _table(rows: Iterator[tuple], schema: pa.Schema, size: int = 10_000) -> Iterator[pa.RecordBatch]:
+    while part := list(islice(rows, size)):
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def kept_requests(
-    df: DataFrame, key: str, ts: str, ttl_seconds: int = DEFAULT_TTL, small_key: int = SMALL_KEY
+    df: DataFrame, key: str, ts: str, ttl_seconds: int = DEFAULT_TTL, piece_ttls: int = PIECE_TTLS
 ) -> DataFrame:
     """Requests that create a cache entry: ``key, kept_at`` in microseconds.
 
     Per key the first request is kept, then always the first one later than the
     last kept time plus the ttl; a hit does not extend an entry. This is a fold
-    over time, so small keys are folded as sorted arrays in the JVM. The
-    timeline of a large key is cut into pieces: each piece is summarised as
-    "last kept time before it -> last kept time in it", the few summaries are
-    chained per key, and all pieces are then folded independently.
+    over time. Every key's timeline is cut into pieces of ``piece_ttls`` ttl: each
+    piece is summarised as "first time kept in it -> last time kept in it", the
+    summaries are chained per key, and all pieces are then folded independently.
+    Rows pass in order of time, so a task holds the times of one ttl at most.
     """
     ttl = ttl_seconds * 1_000_000
-    key_type = df.schema[key].dataType.simpleString()
-    times = df.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"))
-    times = times.where(F.col(key).isNotNull() & F.col("t").isNotNull()).distinct()
-    sizes = times.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"), F.max("t").alias("t1")
-    )
-    large = sizes.where(F.col("n") > small_key)
-    pace = (F.col("t1") - F.col("t0") + 1) / F.col("n")
-    units = F.floor(F.lit(float(PIECE_ROWS)) * pace / F.lit(float(ttl)))
-    span = F.least(F.greatest(units, F.lit(PIECE_MIN)), F.lit(PIECE_MAX)).cast("bigint") * ttl
-    large = large.select(key, "t0", span.alias("span"))
-
-    small = times.join(large, key, "left_anti").groupBy(key).agg(
-        F.array_sort(F.collect_list("t")).alias("ts")
-    )
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-
-    def step(state: Column, t: Column) -> Column:
-        new = state["last"].isNull() | (t > state["last"] + ttl)
-        return F.when(
-            new, F.struct(t.alias("last"), F.concat(state["kept"], F.array(t)).alias("kept"))
-        ).otherwise(state)
-
-    folded = F.aggregate("ts", start, step, lambda s: s["kept"])
-    small_kept = small.select(key, F.explode(folded).alias("kept_at"))
-
-    piece = F.floor((F.col("t") - F.col("t0")) / F.col("span")).cast("bigint")
-    begin = F.col("t0") + piece * F.col("span")
-    pieces = times.join(large, key).select(key, piece.alias("piece"), begin.alias("begin"), "t")
-
-    def summarise(group_key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        ts_sorted = np.sort(part["t"].to_numpy())
-        # what was kept before the piece reaches less than one ttl into it
-        reach = int(np.searchsorted(ts_sorted, part["begin"].iloc[0] + ttl, side="right"))
-        entries = ts_sorted[: min(reach + 1, len(ts_sorted))]
-        ends = _orbit_ends(ts_sorted, entries, ttl)
-        last_of_run = np.append(ends[1:] != ends[:-1], True)
-        return pd.DataFrame(
-            {key: group_key[0], "piece": group_key[1], "upto": entries[last_of_run], "end": ends[last_of_run]}
-        )
-
-    def chain(group_key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        rows, last = [], None
-        for number, runs in part.sort_values(["piece", "upto"]).groupby("piece", sort=True):
-            rows.append((group_key[0], number, last))
-            upto = runs["upto"].to_numpy()
-            at = 0 if last is None else int(np.searchsorted(upto, last + ttl, side="right"))
-            if at < len(upto):
-                last = int(runs["end"].iloc[at])
-        frame = pd.DataFrame(rows, columns=[key, "piece", "after"])
-        return frame.astype({"after": "Int64"})
-
-    def fold(group_key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        after = part["after"].iloc[0]
-        after = None if pd.isna(after) else int(after)
-        kept = _kept_after(np.sort(part["t"].to_numpy()), after, ttl)
-        return pd.DataFrame({key: [group_key[0]] * len(kept), "kept_at": kept})
-
-    summaries = pieces.groupBy(key, "piece").applyInPandas(
-        summarise, f"`{key}` {key_type}, piece bigint, upto bigint, end bigint"
+    span = ttl * piece_ttls
+    kind = df.schema[key].dataType
+    times = df.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"))
+    times = times.where(F.col("k").isNotNull() & F.col("t").isNotNull())
+    times = times.select("k", F.floor(F.col("t") / F.lit(span)).alias("piece"), "t")
+    arrow = to_arrow_type(kind)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def runs() -> Iterator[tuple]:
+            for (k, piece), rows in groupby(_rows(batches), key=lambda row: row[:2]):
+                heads = _Heads(piece * span, ttl)
+                for t, _ in groupby(row[2] for row in rows):
+                    heads.add(t)
+                yield from ((k, piece, upto, end) for upto, end in heads.runs())
+
+        fields = [("k", arrow), ("piece", pa.int64()), ("upto", pa.int64()), ("end", pa.int64())]
+        return _table(runs(), pa.schema(fields))
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries() -> Iterator[tuple]:
+            for k, own in groupby(_rows(batches), key=lambda row: row[0]):
+                last = None
+                for piece, runs in groupby(own, key=lambda row: row[1]):
+                    yield k, piece, last
+                    last = next((end for _, _, upto, end in runs if last is None or upto > last + ttl), last)
+
+        return _table(entries(), pa.schema([("k", arrow), ("piece", pa.int64()), ("after", pa.int64())]))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def kept() -> Iterator[tuple]:
+            for (k, _), rows in groupby(_rows(batches), key=lambda row: row[:2]):
+                last = None
+                for _, _, t, after in rows:
+                    # the entry of a piece comes before its times
+                    if t is None:
+                        last = after
+                    elif last is None or t > last + ttl:
+                        last = t
+                        yield k, t
+
+        return _table(kept(), pa.schema([(key, arrow), ("kept_at", pa.int64())]))
+
+    def typed(*names: str) -> T.StructType:
+        longs = [T.StructField(n, T.LongType()) for n in names]
+        return T.StructType([T.StructField("k", kind), *longs])
+
+    runs = (
+        times.repartition("k", "piece")
+        .sortWithinPartitions("k", "piece", "t")
+        .mapInArrow(summarise, typed("piece", "upto", "end"))
     )
-    chained = summaries.groupBy(key).applyInPandas(
-        chain, f"`{key}` {key_type}, piece bigint, after bigint"
+    chained = (
+        runs.repartition("k")
+        .sortWithinPartitions("k", "piece", "upto")
+        .mapInArrow(chain, typed("piece", "after"))
     )
-    large_kept = (
-        pieces.join(chained, [key, "piece"])
-        .groupBy(key, "piece")
-        .applyInPandas(fold, f"`{key}` {key_type}, kept_at bigint")
+    none = F.lit(None).cast("bigint")
+    marked = chained.select("k", "piece", none.alias("t"), "after")
+    return (
+        times.withColumn("after", none)
+        .unionByName(marked)
+        .repartition("k", "piece")
+        .sortWithinPartitions("k", "piece", F.col("t").asc_nulls_first())
+        .mapInArrow(fold, T.StructType([T.StructField(key, kind), T.StructField("kept_at", T.LongType())]))
     )
-    return small_kept.unionByName(large_kept)
 
 
 def fold_state(

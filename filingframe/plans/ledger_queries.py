@@ -78,9 +78,9 @@ def kept_requests(spark, path):
 
 @query("kept_requests_in_pieces", with_views("fetch_log", KEPT_SQL.format(ttl=6 * 3600 * 1_000_000)))
 def kept_requests_in_pieces(spark, path):
-    """The same fold with every key treated as a large one."""
+    """The same fold with a shorter ttl and pieces of two ttl."""
     events = Tables(spark, path).events
-    return ledger.kept_requests(events, "user_id", "ts", 6 * 3600, small_key=0)
+    return ledger.kept_requests(events, "user_id", "ts", 6 * 3600, piece_ttls=2)
 
 
 def _log(spark, path):

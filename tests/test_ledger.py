@@ -42,13 +42,12 @@ def kept_set(df):
     return set(found)
 
 
-@pytest.mark.parametrize("small_key", [0, 100, 10**9])
+@pytest.mark.parametrize("pieces", [1, 2, 64])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_kept_requests_equal_brute_force(spark, seed, small_key, monkeypatch):
-    monkeypatch.setattr(ledger, "PIECE_ROWS", 150)
+def test_kept_requests_equal_brute_force(spark, seed, pieces):
     events = make_events(seed, 3000)
     df = spark.createDataFrame(events, "key string, ts timestamp").repartition(5)
-    kept = ledger.kept_requests(df, "key", "ts", 600, small_key=small_key)
+    kept = ledger.kept_requests(df, "key", "ts", 600, piece_ttls=pieces)
     assert kept_set(kept) == brute_force(events, 600)
 
 
@@ -82,6 +81,16 @@ def test_counters_in_stream_equal_batch(spark, tmp_path):
     assert batch.count() > 10
 
 
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_evenly_spaced_times_and_repeats(spark, pieces):
+    events = [("a", START + timedelta(seconds=7 * i)) for i in range(2000)] * 2 + [("b", START)] * 3 + [(None, START)]
+    df = spark.createDataFrame(events, "key string, ts timestamp")
+    kept = ledger.kept_requests(df, "key", "ts", 600, piece_ttls=pieces)
+    assert kept_set(kept) == brute_force([e for e in events if e[0]], 600)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 3
+
+
 def test_ledger_state(spark):
     now = datetime(2024, 1, 2, 12)
     rows = [("fresh", now - timedelta(seconds=10), 3600), ("edge", now - timedelta(seconds=3600), 3600),
