@@ -340,9 +340,10 @@ def row_numbers(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     keys = total_order(df, order)
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without a number, adaptive execution sizes the ranges by what they hold
+    count = [partitions] if partitions else []
     placed = (
-        df.repartitionByRange(count, *keys)
+        df.repartitionByRange(*count, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
         .checkpoint()
