@@ -776,23 +776,29 @@ LETTER = {
     "isic": "string",
     "amount": "double",
 }
-SUMMARY_SQL = f"""
-SELECT 'total_records' AS metric, '' AS key, CAST(count(*) AS VARCHAR) AS value FROM letters
-UNION ALL SELECT 'column_count', '', '{len(LETTER)}'
-UNION ALL SELECT 'columns', '', '{",".join(LETTER)}'
-UNION ALL SELECT 'unique_symbols', '', CAST(count(DISTINCT symbol) AS VARCHAR) FROM letters
-UNION ALL SELECT 'unique_letter_codes', '', CAST(count(DISTINCT letter_code) AS VARCHAR) FROM letters
-UNION ALL SELECT 'date_range_min', 'publish_date_time', min(publish_date_time) FROM letters
-UNION ALL SELECT 'date_range_max', 'publish_date_time', max(publish_date_time) FROM letters
-{" ".join(f"UNION ALL SELECT 'columns_with_na', '{c}', CAST(count(*) AS VARCHAR) FROM letters"
-          f" WHERE {c} IS NULL HAVING count(*) > 0" for c in LETTER)}
-UNION ALL (SELECT 'top_symbols', symbol, CAST(count(*) AS VARCHAR) FROM letters GROUP BY symbol
+def _summary_sql(table: str, columns: list[str]) -> str:
+    """Summary of a table with the columns of letters; of those it holds, only some have nulls."""
+    nulls = " ".join(
+        f"UNION ALL SELECT 'columns_with_na', '{c}', CAST(count(*) AS VARCHAR) FROM {table}"
+        f" WHERE {c} IS NULL HAVING count(*) > 0"
+        for c in columns
+    )
+    return f"""
+SELECT 'total_records' AS metric, '' AS key, CAST(count(*) AS VARCHAR) AS value FROM {table}
+UNION ALL SELECT 'column_count', '', '{len(columns)}'
+UNION ALL SELECT 'columns', '', '{",".join(columns)}'
+UNION ALL SELECT 'unique_symbols', '', CAST(count(DISTINCT symbol) AS VARCHAR) FROM {table}
+UNION ALL SELECT 'unique_letter_codes', '', CAST(count(DISTINCT letter_code) AS VARCHAR) FROM {table}
+UNION ALL SELECT 'date_range_min', 'publish_date_time', min(publish_date_time) FROM {table}
+UNION ALL SELECT 'date_range_max', 'publish_date_time', max(publish_date_time) FROM {table}
+{nulls}
+UNION ALL (SELECT 'top_symbols', symbol, CAST(count(*) AS VARCHAR) FROM {table} GROUP BY symbol
  ORDER BY count(*) DESC, symbol LIMIT 10)
-UNION ALL SELECT 'letter_code_distribution', letter_code, CAST(count(*) AS VARCHAR) FROM letters
+UNION ALL SELECT 'letter_code_distribution', letter_code, CAST(count(*) AS VARCHAR) FROM {table}
  GROUP BY letter_code"""
 
 
-@query("summary_stats", with_views("letters", SUMMARY_SQL))
+@query("summary_stats", with_views("letters", _summary_sql("letters", list(LETTER))))
 def summary_stats(spark, path):
     return letters(spark, path).transform(profile.summary_stats)
 
@@ -860,11 +866,7 @@ def describe_table(spark, path):
  FROM letters LEFT JOIN letter_codes USING (letter_code)
  WHERE letter_code = 'ن-45' AND NOT is_child
   AND substr(publish_date_time, 1, 10) BETWEEN '1376/01/01' AND '1376/12/29')
-SELECT 'total_records' AS metric, '' AS key, CAST(count(*) AS VARCHAR) AS value FROM src
-UNION ALL SELECT 'column_count', '', '5'
-UNION ALL SELECT 'columns', '', 'tracing_no,symbol,letter_code,publish_date_time,letter_description'
-{SUMMARY_SQL[SUMMARY_SQL.index("UNION ALL SELECT 'unique_symbols'"):SUMMARY_SQL.index("UNION ALL SELECT 'columns_with_na', 'excel_url'")]}
-{SUMMARY_SQL[SUMMARY_SQL.index("UNION ALL (SELECT 'top_symbols'"):]}""",
+{_summary_sql("src", [*CORE, "letter_description"])}""",
     ),
 )
 def report_board_changes(spark, path):
