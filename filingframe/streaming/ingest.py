@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +13,7 @@ from filingframe.functions.text import strip
 from filingframe.operators.board import board_records
 from filingframe.operators.frame import drop_duplicates, filter_valid_urls
 from filingframe.schemas import BOARD_MEMBER, FETCH_ERROR
+from filingframe.session import drop, materialise
 from filingframe.sources.html import board_rows, page_errors, pages_of_urls, parse_board_pages
 
 
@@ -20,6 +21,31 @@ from filingframe.sources.html import board_rows, page_errors, pages_of_urls, par
 FILES_PER_BATCH = 1000
 
 
+# Folders of a target: a batch reads only those that its keys fall into.
+PARTS = 32
+PART = "key_part"
+
+
+def part_of(key: str) -> Column:
+    """Folder of a key, by its hash."""
+    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+
+
+def touched(batch: DataFrame, target_path: str, schema: T.StructType, key: str = "url") -> DataFrame:
+    """Rows of the target in the folders that keys of the batch fall into."""
+    # at most PARTS numbers
+    parts = [r[PART] for r in batch.select(part_of(key).alias(PART)).distinct().collect()]
+    whole = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
+    target = batch.sparkSession.read.schema(whole).parquet(target_path)
+    return target.where(F.col(PART).isin(parts)).drop(PART)
+
+
+def append(rows: DataFrame, target_path: str, key: str = "url") -> None:
+    """Append to the folders of the rows' keys, a file each."""
+    placed = rows.withColumn(PART, part_of(key)).repartition(PART)
+    placed.write.mode("append").partitionBy(PART).parquet(target_path)
+
+
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty Parquet folder, unless there is one already."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
@@ -39,8 +65,7 @@ def unseen(batch: DataFrame, target: DataFrame, key: str = "url") -> DataFrame:
 
 def append_unseen(batch: DataFrame, target_path: str, key: str = "url") -> None:
     """Append unseen rows. A replayed batch finds its rows in the target and adds nothing."""
-    target = batch.sparkSession.read.schema(batch.schema).parquet(target_path)
-    unseen(batch, target, key).write.mode("append").parquet(target_path)
+    append(unseen(batch, touched(batch, target_path, batch.schema, key), key), target_path, key)
 
 
 def run_available(
@@ -66,7 +91,7 @@ def load_new_rows(stream: DataFrame, target_path: str, checkpoint: str, key: str
 def load_board_members(
     urls: DataFrame, pages_path: str, target: str, checkpoint: str, url_column: str = "url"
 ) -> None:
-    """URL stream -> ``target/members`` and ``target/errors``.
+    """URL stream -> ``target/members`` (in folders by URL) and ``target/errors``.
 
     URLs already in the members table are left out, so an interrupted load
     resumes. Members are written before errors: after a crash in between, the
@@ -79,15 +104,18 @@ def load_board_members(
 
     def each_batch(batch: DataFrame, _: int) -> None:
         wanted = filter_valid_urls(batch, url_column).select(strip(url_column).alias("url"))
-        done = spark.read.schema(BOARD_MEMBER).parquet(members_path)
+        done = touched(wanted, members_path, BOARD_MEMBER)
         pages = spark.read.parquet(pages_path)
-        parsed = parse_board_pages(pages_of_urls(unseen(wanted, done), pages)).persist()
+        # written, since what is appended below would change what is unseen
+        fresh = materialise(unseen(wanted, done), "unseen")
+        parsed = parse_board_pages(pages_of_urls(fresh, pages)).persist()
         try:
             rows = board_rows(parsed).drop("row_no")
-            board_records(rows).write.mode("append").parquet(members_path)
+            append(board_records(rows), members_path)
             page_errors(parsed).write.mode("append").parquet(errors_path)
         finally:
             parsed.unpersist()
+            drop(fresh)
 
     run_available(urls, each_batch, checkpoint)
 

@@ -139,6 +139,17 @@ def test_resumable_load(spark, tmp_path):
     assert load("fresh") == ["http://a", "http://b", "http://c"]
 
 
+def test_a_batch_reads_only_the_folders_of_its_keys(spark, tmp_path):
+    rows = spark.range(500).selectExpr("concat('http://', id) as url", "id")
+    ingest.create_table(spark, str(tmp_path / "t"), rows.schema)
+    ingest.append_unseen(rows, str(tmp_path / "t"))
+    few = rows.where("id in (3, 4, 900)").unionByName(spark.createDataFrame([("http://new", 1)], rows.schema))
+    found = ingest.touched(few, str(tmp_path / "t"), rows.schema)
+    files = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_part" in files and found.count() < 100
+    assert [r["url"] for r in ingest.unseen(few, found).collect()] == ["http://new"]
+
+
 def test_board_load_resumes(spark, tmp_path):
     def page(company):
         cells = "".join(f"<td>{company}{i}</td>" for i in range(12))
