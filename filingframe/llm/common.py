@@ -3,16 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: Rows per Arrow batch. Texts vary from one word to megabytes, so batches are kept short.
 BATCH_ROWS = 256
 #: Every fourth document (by checksum of its id) is held out from learning.
 FOLDS, HELD_OUT_FOLD = 4, 2
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def remembered(make: Callable[..., T], *args: object) -> T:
+    """``make(*args)``, kept by a Python worker from task to task until another is asked for.
+
+    A worker that runs several operators one after the other so holds one memory, not all.
+    """
+    key = (make, *args)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make(*args)
+    return _HELD[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

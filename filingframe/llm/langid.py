@@ -14,14 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingframe.llm.common import held_out, short_batches
+from filingframe.llm.common import held_out, remembered, short_batches
 
 UNDETERMINED = "und"
 #: Longest run of bytes that one pass of the network reads.
@@ -259,12 +258,6 @@ class Labeller(dict):
         return out
 
 
-@lru_cache(maxsize=1)
-def labeller(net: Network) -> Labeller:
-    """One memory for all tasks that a Python worker runs with a network."""
-    return Labeller(net)
-
-
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """``doc_id, lang_pred, score`` of every document.
 
@@ -280,7 +273,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(net)  # some 100 kB, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, langs = labeller(shared.value), shared.value.langs
+        own, langs = remembered(Labeller, shared.value), shared.value.langs
         for batch in batches:
             values = batch.column(1).cast(pa.binary()).to_pylist()
             p = own.distributions(values)
@@ -309,7 +302,7 @@ def keep_determined(docs: DataFrame, net: Network | None, least: float) -> DataF
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = labeller(shared.value)
+        own = remembered(Labeller, shared.value)
         for batch in batches:
             p = own.distributions(batch.column(at).cast(pa.binary()).to_pylist())
             yield batch.filter(pa.array(p.max(1) >= least))

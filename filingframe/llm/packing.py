@@ -15,7 +15,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from filingframe.llm.common import short_batches, texts
+from filingframe.llm.common import remembered, short_batches, texts
 from filingframe.session import materialise
 
 WINDOW, END = 4096, 2
@@ -105,11 +104,6 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-@cache
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
 def tokenise(docs: DataFrame, path: str, end: int = END, window: int = WINDOW) -> DataFrame:
     """``doc_id, doc_tokens, whole, rest``: checksums of whole windows, ids of the remainder.
 
@@ -119,7 +113,7 @@ def tokenise(docs: DataFrame, path: str, end: int = END, window: int = WINDOW) -
     last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        words = remembered(WordEncoder, path)
         for batch in batches:
             tokens, whole, rest = [], [], []
             for text in batch.column(1).cast(pa.binary()):

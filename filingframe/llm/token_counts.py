@@ -15,13 +15,12 @@ from __future__ import annotations
 import math
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from filingframe.llm.common import short_batches, texts
+from filingframe.llm.common import remembered, short_batches, texts
 
 MARK = "▁"
 SHIFT = 10
@@ -108,9 +107,7 @@ class Trie:
         return len(chunks), sum(map(self.counts.__getitem__, chunks))
 
 
-@cache
 def trie(path: str) -> Trie:
-    """One trie for all tasks that a Python worker runs."""
     return Trie(read_pieces(path))
 
 
@@ -123,7 +120,7 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = trie(path)
+        own = remembered(trie, path)
         for batch in batches:
             found = [own.count(t) for t in batch.column(1).to_pylist()]
             words, tokens = [n for n, _ in found], [n for _, n in found]
