@@ -17,14 +17,13 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingframe.llm.common import held_out, short_batches, texts
+from filingframe.llm.common import held_out, remembered, short_batches, texts
 
 THRESHOLD = 0.3
 #: Bounds of what is learnt: labelled documents (chosen by hash), words kept.
@@ -180,8 +179,9 @@ def restored_words(text: str, model: np.ndarray, known: dict[str, str]) -> set[s
         known.clear()
     chunks = set(text.split())
     chunks.update(spaced(text))
-    for chunk in chunks - known.keys():
-        known[chunk] = restore(chunk, model)
+    for chunk in chunks:
+        if chunk not in known:
+            known[chunk] = restore(chunk, model)
     return {known[c] for c in chunks} - {""}
 
 
@@ -274,8 +274,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, words: in
                 own.append(sorted(numbers.value[f] for f in found & numbers.value.keys()))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32()))], names=["toxic", "found"])
 
-    learnt = rows.mapInArrow(sets, "toxic int, found array<int>").orderBy("toxic", "found").collect()
-    weights, bias = fit_weights([r.found for r in learnt], np.array([r.toxic for r in learnt], np.float64), len(number))
+    # sorted, so that the order in which rows arrive does not count
+    learnt = sorted((r.toxic, r.found) for r in rows.mapInArrow(sets, "toxic int, found array<int>").collect())
+    weights, bias = fit_weights([f for _, f in learnt], np.array([t for t, _ in learnt], np.float64), len(number))
     return Model(characters, {w: float(weights[i]) for w, i in number.items() if weights[i] > 0.01}, bias)
 
 
@@ -307,12 +308,6 @@ class Scorer:
         return 1 / (1 + math.exp(-self.model.bias - sum(self.model.words[w] for w in evidence)))
 
 
-@lru_cache(maxsize=1)
-def scorer_of(model: Model) -> Scorer:
-    """One memory for all tasks that a Python worker runs with a model."""
-    return Scorer(model)
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score, evidence``: probability from 0 to 1, and the restored words behind it.
 
@@ -324,7 +319,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)  # SYMBOLS ** ORDER numbers and SAMPLE_WORDS words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(shared.value)
+        scorer = remembered(Scorer, shared.value)
         for batch in batches:
             evidence = [scorer.evidence(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -347,7 +342,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(shared.value)
+        scorer = remembered(Scorer, shared.value)
         for batch in batches:
             clean = [scorer.score(scorer.evidence(t or "")) < threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
