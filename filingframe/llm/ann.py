@@ -28,8 +28,8 @@ from filingframe.session import materialise
 SAMPLE, LIST_SIZE, CENTROIDS = 20_000, 256, 4096
 #: A vector goes to lists whose centroids are within this ratio of its nearest, this many at most.
 BOUNDARY, COPIES = 1.12, 6
-#: A query reads lists within this ratio, this many at most.
-RATIO, PROBES = 1.35, 48
+#: A query reads lists within this ratio, so many at most, and at least (one that is a centroid itself has ratio 0).
+RATIO, PROBES, LEAST = 1.35, 48, 16
 #: Neighbours of a centroid in the graph, and nodes that its search keeps.
 DEGREE, BEAM = 16, 64
 #: Rows of a list, and queries, that meet in one task.
@@ -147,18 +147,19 @@ def search(graph: Graph, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, n
         expanded[busy] = np.take_along_axis(all_done, keep, 1)
 
 
-def _lists(graph: Graph, x: np.ndarray, ratio: float, most: int) -> list[np.ndarray]:
-    """For each row the lists within ``ratio`` of its nearest centroid, nearest first."""
+def _lists(graph: Graph, x: np.ndarray, ratio: float, most: int, least: int = 1) -> list[np.ndarray]:
+    """For each row the lists within ``ratio`` of its nearest centroid, nearest first, ``least`` of them at least."""
     ids, dist = search(graph, x)
-    limit = dist[:, :1] * ratio * ratio
-    return [i[(d <= m) & (i >= 0)][:most] for i, d, m in zip(ids, dist, limit, strict=True)]
+    near = dist <= dist[:, :1] * ratio * ratio
+    near[:, :least] = True
+    return [i[n & (i >= 0)][:most] for i, n in zip(ids, near, strict=True)]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _with_lists(rows: DataFrame, shared, ratio: float, most: int) -> DataFrame:  # noqa: ANN001
+def _with_lists(rows: DataFrame, shared, ratio: float, most: int, least: int = 1) -> DataFrame:  # noqa: ANN001
     """One row for each of a vector's lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +167,7 @@ def _with_lists(rows: DataFrame, shared, ratio: float, most: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             names = batch.schema.names
-            lists = _lists(shared.value, _matrix(batch.column(names.index("v"))), ratio, most)
+            lists = _lists(shared.value, _matrix(batch.column(names.index("v"))), ratio, most, least)
             at = np.repeat(np.arange(len(lists)), list(map(len, lists)))
             out = pa.RecordBatch.from_arrays(
                 [batch.column(i).take(pa.array(at)) for i in range(batch.num_columns)], names=names
@@ -256,7 +257,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     sizes = index.groupBy("list").count().withColumn("parts", F.ceil(F.col("count") / PART)).select("list", "parts")
     # a large list is dealt over parts, and every query of the list goes to all of them
     dealt = index.join(sizes, "list").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")))
-    probing = _with_lists(questions, shared, RATIO, PROBES)
+    probing = _with_lists(questions, shared, RATIO, PROBES, LEAST)
     probes = probing.join(sizes, "list").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     found = (
         probes.groupBy("list", "part")

@@ -74,3 +74,10 @@ def test_few_and_no_vectors(spark):
     assert got == [(0, 1, 1, math.sqrt(13))]
     assert ann.nearest(table(spark, [(0, [3.0, 4.0])]), 100, 10).count() == 0
     assert ann.nearest(table(spark, [(0, None)]), 100, 10).count() == 0
+
+
+def test_a_query_that_is_a_centroid_reads_other_lists_too(clustered):
+    x = np.array([v for _, v in clustered])
+    graph = ann.graph_of(x[:200])
+    assert {len(p) for p in ann._lists(graph, x[:5], ann.RATIO, ann.PROBES)} == {1}
+    assert min(len(p) for p in ann._lists(graph, x[:5], ann.RATIO, ann.PROBES, ann.LEAST)) == ann.LEAST
