@@ -9,6 +9,9 @@ bucket the table of Hamming distances to many reference fingerprints (pivots)
 discards every pair that differs by more than the allowed bits in any
 coordinate (the triangle inequality); survivors are verified bit by bit. A
 bucket gives the links of a spanning forest, never all pairs.
+
+For more bits such a link is only a candidate: documents that candidates join meet
+again with their shingles, and a link needs a Jaccard similarity of ``SIMILAR``.
 """
 
 from __future__ import annotations
@@ -31,11 +34,17 @@ MAX_BITS = 4
 #: Blocks of the 64 bits; buckets agree on all blocks but MAX_BITS.
 BLOCKS = 6
 PIVOTS = 24
-#: Bits that texts of Jaccard similarity 0.8 or more (five-word shingles) seldom exceed, and
-#: bands and orders a band with which two such texts meet with probability 0.998 or more.
-SIMILAR_BITS, BANDS, ORDERS = 12, 12, 4
+#: Jaccard similarity (sets of shingles) of a near copy, as a fraction.
+SIMILAR = 4, 5
+#: Bits that texts of that similarity exceed in one case of some 3,000, and bands and orders a
+#: band with which two such texts meet with probability 0.998 or more.
+SIMILAR_BITS, BANDS, ORDERS = 20, 12, 4
 #: A bucket with more fingerprints is cut into pieces that meet pair by pair.
 PIECE = 1024
+#: Documents, and their shingles, that are compared by one task; larger groups are cut likewise.
+MEMBERS, HELD = 4096, 1 << 22
+#: Pairs whose shingles are compared in a round, besides one for each document.
+ROUND = 1024
 #: Shingles counted together, and pairs compared together: bounds of memory.
 COUNTED, COMPARED = 1 << 16, 1 << 20
 #: Rows of buckets gathered before they are compared.
@@ -81,20 +90,45 @@ def fingerprint(text: bytes, size: int, bands: int = 0) -> tuple[int, list[int]]
     return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big"), keys
 
 
+def same_words(text: bytes) -> int:
+    """A number that texts share which differ in white space and the case of A-Z alone."""
+    return _digest(b" ".join(words_of(text)))
+
+
+def shingle_set(text: bytes, size: int) -> np.ndarray:
+    """Distinct shingle hashes in order."""
+    hashes = map(_digest, shingles(words_of(text), size))
+    return np.unique(np.fromiter(hashes, np.uint64))
+
+
 def fingerprints(docs: DataFrame, size: int = 5, bands: int = 0) -> DataFrame:
-    """``doc_id, fp, keys`` (signed 64 bits). Null texts and texts without words have fingerprint zero."""
+    """``doc_id, fp, keys, same, shingles`` (signed 64 bits, and a number of words).
+
+    Null texts and texts without words have fingerprint zero. ``same`` is that of
+    ``same_words``; ``shingles`` bounds how many the text has.
+    """
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), size, bands) for t in batch.column(1).cast(pa.binary())]
+            values = batch.column(1).cast(pa.binary())
+            found = [fingerprint(t.as_py(), size, bands) for t in values]
+            same = np.array([same_words(t.as_py()) if bands else 0 for t in values], np.uint64).view(np.int64)
+            count = [len(words_of(t.as_py())) if bands else 0 for t in values]
             fp = np.array([f for f, _ in found], np.uint64).view(np.int64)
             keys = [np.array(k, np.uint64).view(np.int64) for _, k in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "keys"]
+                [
+                    batch.column(0),
+                    pa.array(fp),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(same),
+                    pa.array(count, pa.int64()),
+                ],
+                names=["doc_id", "fp", "keys", "same", "shingles"],
             )
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long, keys array<long>")
+    return texts(docs).mapInArrow(run, "doc_id long, fp long, keys array<long>, same long, shingles long")
 
 
 def _buckets(fps: DataFrame) -> DataFrame:
@@ -221,28 +255,119 @@ def near_links(buckets: DataFrame, bits: int) -> DataFrame:
     return pieces.repartition("task").sortWithinPartitions("task").mapInArrow(linked, "a long, b long").distinct()
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles have a Jaccard similarity of SIMILAR or more; empty sets are equal."""
+    top, bottom = SIMILAR
+    if bottom * min(len(a), len(b)) < top * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return bottom * both >= top * (len(a) + len(b) - both)
+
+
+def _joined(fps: np.ndarray, sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """Labels (least document) of the components of all pairs that are alike and within ``bits`` bits.
+
+    Pairs that others have joined already are not compared.
+    """
+    table = np.bitwise_count(fps[None, :] ^ _pivots()[:, None]).astype(np.int8)
+    label = np.arange(len(fps))
+    for left, right in _pairs_of(np.array([0]), np.array([len(fps)])):
+        found = links(fps, table, left, right, bits)
+        left, right = left[found], right[found]
+        while True:
+            apart = label[left] != label[right]
+            left, right = left[apart], right[apart]
+            if not len(left):
+                break
+            # a pair of each component, and some more
+            first = np.unique(label[left], return_index=True)[1]
+            first = np.union1d(first, np.arange(min(ROUND, len(left))))
+            same = [alike(sets[a], sets[b]) for a, b in zip(left[first], right[first], strict=True)]
+            hit = first[np.array(same, bool)]
+            if len(hit):
+                label = _forest(len(fps), left[hit], right[hit], label)
+            left, right = np.delete(left, first), np.delete(right, first)
+    return label
+
+
+def _verified(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by task: links of each task as a forest of (same, least same)."""
+
+    def rows() -> Iterator[tuple[int, int, int, np.ndarray]]:
+        for batch in batches:
+            task, same, fp = (batch.column(i).to_pylist() for i in range(3))
+            sets = (x.values.to_numpy() for x in batch.column(3))
+            yield from zip(task, same, fp, sets, strict=True)
+
+    for _, own in itertools.groupby(rows(), lambda row: row[0]):
+        _, same, fp, sets = zip(*own, strict=True)
+        label = _joined(np.array(fp, np.int64).view(np.uint64), list(sets), bits)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        a = np.array(same, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(a[moved]), pa.array(a[label[moved]])], names=["a", "b"])
+
+
+def similar_links(docs: DataFrame, prints: DataFrame, size: int, bits: int) -> DataFrame:
+    """``a, b``: links between ``same`` of texts whose sets of shingles are alike.
+
+    Documents within ``bits`` bits that share a band are candidates; whatever
+    candidates join, step by step, is a group, in which all pairs within ``bits``
+    bits are compared by their shingles. One document of each ``same`` brings them.
+    """
+    buckets = prints.select(F.explode("keys").alias("bucket"), "fp").distinct()
+    roots = components.roots(near_links(buckets, bits)).select(F.col("node").alias("fp"), "root")
+    nodes = prints.groupBy("same").agg(
+        F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("shingles").alias("shingles")
+    )
+    nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    cuts = F.ceil(F.greatest(F.count("*") / MEMBERS, F.sum("shingles") / HELD))
+    groups = nodes.groupBy("root").agg(F.greatest(cuts, F.lit(1)).alias("cuts"), F.count("*").alias("n"))
+    members = nodes.join(groups.filter("n > 1"), "root").select("least", "same", "fp", "root", "cuts")
+    text = texts(docs)
+    brought = text.join(members, text["doc_id"].eqNullSafe(members["least"])).select("text", "same", "fp", "root", "cuts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).cast(pa.binary()).to_pylist()
+            # rows that share the doc_id may have another text
+            mine = np.array([same_words(t) for t in values], np.uint64).view(np.int64) == batch.column(1).to_numpy()
+            sets = [shingle_set(t, size).view(np.int64) for t, own in zip(values, mine, strict=True) if own]
+            kept = batch.select([1, 2, 3, 4]).filter(pa.array(mine, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array(sets, pa.list_(pa.int64()))], names=["same", "fp", "root", "cuts", "shingles"]
+            )
+
+    held = brought.mapInArrow(run, "same long, fp long, root long, cuts long, shingles array<long>")
+    # a document of a large group meets all of its pieces
+    pieces = (
+        held.withColumn("own", F.pmod(F.xxhash64("same", F.lit(1)), "cuts"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+        .select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "same", "fp", "shingles")
+    )
+    verified = partial(_verified, bits=bits)
+    return pieces.repartition("task").sortWithinPartitions("task").mapInArrow(verified, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, bits: int = SIMILAR_BITS) -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs``.
 
     ``component_id`` is the least doc_id reachable over links (null ids count
     only where a component has no other). Repeated rows give repeated results;
     texts without words all have fingerprint zero and are linked like any other.
-    ``size`` is the number of words in a shingle, ``bits`` the differing bits of a
-    link: all links up to MAX_BITS are found, of wider ones those between texts
-    that share a band of shingles.
+    ``size`` is the number of words in a shingle. Up to MAX_BITS, all fingerprints
+    that differ in ``bits`` bits at most are linked; for more, texts that share a band of
+    shingles, within ``bits`` bits, and whose Jaccard similarity is SIMILAR or more.
     """
     exact = bits <= MAX_BITS
     prints = materialise(fingerprints(docs, size, 0 if exact else BANDS), "fingerprints")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    if exact:
-        buckets = _buckets(least.select("fp"))
-    else:
-        buckets = prints.select(F.explode("keys").alias("bucket"), "fp").distinct()
-    roots = components.roots(near_links(buckets, bits))
-    whole = least.join(roots, least.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
+    key = "fp" if exact else "same"
+    least = prints.groupBy(key).agg(F.min("doc_id").alias("least"))
+    found = near_links(_buckets(least.select("fp")), bits) if exact else similar_links(docs, prints, size, bits)
+    roots = components.roots(found)
+    whole = least.join(roots, least[key] == roots.node, "left").withColumn("root", F.coalesce("root", key))
     ids = whole.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = whole.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.select("doc_id", "fp").join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = whole.select(key, "root").join(ids, "root").select(key, "component_id")
+    return prints.select("doc_id", "fp", "same").join(classes, key).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 5, bits: int = SIMILAR_BITS) -> DataFrame:

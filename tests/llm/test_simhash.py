@@ -112,3 +112,43 @@ def test_one_of_each_group_stays(make_docs):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 0), (False, 3), (False, 4), (True, 0)]
+
+
+def test_only_similar_texts_are_linked(make_docs):
+    """Pairs on both sides of a Jaccard similarity of 0.8, which twelve bits do not tell apart."""
+    rng = random.Random(4)
+
+    def grams(text):
+        own = text.split()
+        return {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+
+    texts = []
+    for i in range(120):
+        own = words(1000 + i, 300).split()
+        edited = own.copy()
+        for at in rng.sample(range(300), 3 + i % 10):
+            edited[at] = f"edit{at}"
+        texts += [" ".join(own), " ".join(edited)]
+    pairs = [(grams(a), grams(b)) for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    similar = [5 * len(a & b) >= 4 * len(a | b) for a, b in pairs]
+    assert 20 < sum(similar) < 100
+    prints = [[brute_fingerprint(t, 5) for t in texts[i : i + 2]] for i in range(0, 240, 2)]
+    near = [(a ^ b).bit_count() <= 12 for a, b in prints]
+    assert any(s and not n for s, n in zip(similar, near, strict=True))  # copies beyond twelve bits
+    assert any(n and not s for s, n in zip(similar, near, strict=True))  # and others within
+    kept = {r.doc_id for r in simhash.keep_one(make_docs(texts)).collect()}
+    assert kept == set(range(240)) - {2 * i + 1 for i, s in enumerate(similar) if s}
+
+
+@pytest.mark.parametrize("members", [7, 4096])
+def test_large_groups_are_compared_whole(make_docs, monkeypatch, members):
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    base = words(77, 400).split()
+    texts = []
+    for i in range(40):
+        own = base.copy()
+        own[10 * i] = f"own{i}"
+        texts.append(" ".join(own))
+    texts += ["lone " + words(78, 100), (None, " ".join(base))]
+    rows = simhash.near_duplicates(make_docs(texts)).collect()
+    assert {r.component_id for r in rows if r.doc_id != 40} == {0} and len(rows) == 42
