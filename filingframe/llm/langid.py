@@ -28,6 +28,8 @@ SEGMENT = 32
 #: Bounds of the training sample: documents of each language, distinct segments in all.
 SAMPLE_DOCS, SAMPLE_WORDS = 400, 24_000
 HIDDEN, EPOCHS, BATCH, RATE = 16, 10, 256, 0.01
+#: Quantile of the scores of learned documents that the least score of a determined text keeps under.
+LOW = 0.01
 #: Segments whose sums one task remembers; the memory is emptied when it is full.
 REMEMBERED = 400_000
 #: Segments that pass through the network together.
@@ -180,21 +182,26 @@ def train(examples: list[tuple[str, bytes, float]], epochs: int = EPOCHS, seed:
     return net
 
 
+def learned_documents(docs: DataFrame, docs_per_lang: int = SAMPLE_DOCS) -> DataFrame:
+    """``doc_id, text, lang`` of a bounded sample of labelled documents outside the held-out fold, chosen by hash."""
+    labelled = docs.filter(~held_out() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return labelled
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_per_lang / n))])
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1_000_000)) / 1_000_000
+    return labelled.filter(draw < share[F.col("lang")])
+
+
 def training_segments(
     docs: DataFrame, docs_per_lang: int = SAMPLE_DOCS, words: int = SAMPLE_WORDS
 ) -> list[tuple[str, bytes, float]]:
-    """A bounded sample of labelled segments outside the held-out fold, chosen by hash.
+    """Labelled segments of the documents that are learned from.
 
     The weight is the square root of a segment's count in the sample.
     """
-    labelled = docs.filter(~held_out() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return []
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_per_lang / n))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1_000_000)) / 1_000_000
     rows = (
-        labelled.filter(draw < share[F.col("lang")])
+        learned_documents(docs, docs_per_lang)
         .select("lang", F.explode(F.split(F.lower("text"), r"[ \t-\r]+")).alias("word"))
         .filter(F.octet_length("word").between(1, SEGMENT))
         .groupBy("lang", "word")
@@ -288,6 +295,27 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def least_score(docs: DataFrame, net: Network | None) -> float:
+    """A score that texts in one language or two exceed, from the documents that were learned from.
+
+    The scores of correctly labelled ones are taken: their LOW quantile, or half of
+    their median, which a text in two languages has, where that is less. The limit lies
+    halfway between it and an even share of the languages. With one or two languages
+    a text in both has no more than an even share, and the limit is 0.
+    """
+    if net is None:
+        return 0.0
+    learned = learned_documents(docs)
+    labels: dict[int | None, set[str]] = {}
+    for r in learned.select("doc_id", "lang").collect():
+        labels.setdefault(r.doc_id, set()).add(r.lang)
+    # at most SAMPLE_DOCS rows a language or so
+    scores = [r.score for r in identify(learned, net).collect() if r.lang_pred in labels[r.doc_id]]
+    even = 1 / len(net.langs)
+    usual = min(np.quantile(scores, LOW), np.median(scores) / 2) if scores else 0.0
+    return float((usual + even) / 2) if usual > even else 0.0
+
+
 def keep_determined(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
     """``docs`` without the rows that are ``und`` or whose score is under ``least``; columns stay as they are.
 

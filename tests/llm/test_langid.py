@@ -95,3 +95,25 @@ def test_only_undetermined_rows_go(awkward, net):
     kept = langid.keep_determined(awkward, net, 0.25)
     assert kept.columns == awkward.columns
     assert kept.count() == awkward.filter(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_the_network_rejects_gibberish_only(make_docs):
+    stems = STEMS | {"dd": ["kko", "yyt", "ään", "öll", "isu", "vat"]}
+    langs = list(stems)
+
+    def own(lang, seed, n):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+    texts = [own(langs[i % 4], i, 40) for i in range(120)]
+    both = [own(a, 1, 60) + " " + own(b, 2, 60) for i, a in enumerate(langs) for b in langs[i + 1 :]]
+    rng = random.Random(5)
+    letters = sorted("".join(s for lang in langs for s in stems[lang]))
+    gibberish = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(600)) for _ in range(4)]
+    labelled = make_docs(texts, [langs[i % 4] for i in range(120)])
+    net = langid.fit(labelled)
+    least = langid.least_score(labelled, net)
+    docs = make_docs(texts + both + gibberish)
+    kept = {r.doc_id for r in langid.keep_determined(docs, net, least).collect()}
+    assert 0.25 < least < 0.5 and kept == set(range(len(texts) + len(both)))
+    assert langid.least_score(labelled, None) == 0
