@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from filingframe.llm.common import held_out, remembered, short_batches, texts
 
 THRESHOLD = 0.3
-#: Bounds of what is learnt: labelled documents (chosen by hash), words kept.
-SAMPLE_DOCS, SAMPLE_WORDS = 20_000, 2_000
+#: Bound of what is learnt from: labelled documents (chosen by hash).
+SAMPLE_DOCS = 20_000
 #: A word may count where the lower bound of its toxic share (at Z) reaches LOWEST in MIN_DOCS documents.
 MIN_DOCS, LOWEST, Z = 4, 0.3, 2.0
 #: Penalty on squared weights, and rounds of the fit. What copies of one text share gets no
@@ -220,7 +220,7 @@ def _sample(labels: DataFrame, size: int) -> DataFrame:
     return known.filter(draw < share).limit(size)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, words: int = SAMPLE_WORDS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
     """Count characters over all documents and learn words from a bounded labelled sample."""
     spark = docs.sparkSession
     counts = character_counts(docs).toArrow()
@@ -249,20 +249,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, words: in
     # at most `sample` rows of two numbers
     chosen = F.broadcast(_sample(labels, sample).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")))
     rows = texts(docs).join(chosen, "doc_id").select("text", "toxic")
+    # copies of one text are no further witness of its words
+    once = rows.groupBy(F.xxhash64("text"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic")
     n, toxic = F.col("clean") + F.col("toxic"), F.col("toxic")
     share = toxic / n
     margin = Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))
     lower = (share + Z * Z / (2 * n) - margin) / (1 + Z * Z / n)
     candidates = (
-        rows.mapInArrow(run, "word string, clean long, toxic long")
+        once.mapInArrow(run, "word string, clean long, toxic long")
         .groupBy("word")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter((toxic >= MIN_DOCS) & (lower >= LOWEST))
-        .orderBy(F.desc("toxic"), "word")
-        .limit(words)
         .collect()
     )
-    number = {r.word: i for i, r in enumerate(candidates)}
+    number = {word: i for i, word in enumerate(sorted(r.word for r in candidates))}
     numbers = spark.sparkContext.broadcast(number)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +316,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     spark = docs.sparkSession
     short_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # SYMBOLS ** ORDER numbers and SAMPLE_WORDS words
+    shared = spark.sparkContext.broadcast(model)  # SYMBOLS ** ORDER numbers and the words learnt from SAMPLE_DOCS documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = remembered(Scorer, shared.value)

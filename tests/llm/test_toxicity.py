@@ -108,3 +108,18 @@ def test_labels_of_the_held_out_fold_are_never_learnt(corpus):
     docs, labels = corpus
     flipped = labels.withColumn("toxic", F.when(common.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert toxicity.fit(docs, flipped).words == toxicity.fit(docs, labels).words
+
+
+def test_copies_of_a_long_text_push_no_word_out(spark, make_docs):
+    """A third of the labelled rows are one toxic text with more words and stems than were once learnt."""
+    rng = random.Random(3)
+    long = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(1000))
+    texts, toxic = [], []
+    for i in range(120):
+        own = words(100 + i, 30).translate(str.maketrans("", "", "0123456789"))
+        texts += [own + (f" {BAD[0]}" if i % 3 == 0 else "")]
+        toxic.append((i, 0, int(i % 3 == 0)))
+    texts += [long] * 60
+    toxic += [(120 + i, 0, 1) for i in range(60)]
+    model = toxicity.fit(make_docs(texts), spark.createDataFrame(toxic, "doc_id long, quality int, toxic int"))
+    assert BAD[0] in model.words and not set(long.split()) & set(model.words)
