@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filingframe.llm import ann, bpe, langid, line_dedup, minhash, packing, quotes, simhash, token_counts, toxicity
+from filingframe.llm import ann, bpe, langid, line_dedup, merkle, minhash, packing, quotes, simhash, token_counts, toxicity
 from filingframe.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
+ORACLE["op11_merkle"] = merkle.SQL
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
