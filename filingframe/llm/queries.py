@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filingframe.llm import ann, bpe, langid, line_dedup, merkle, minhash, packing, quotes, simhash, token_counts, toxicity
+from filingframe.llm import ann, bpe, collocations, langid, line_dedup, merkle, minhash, packing, quotes, simhash, token_counts, toxicity
 from filingframe.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_merkle"] = merkle.SQL
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = collocations.SQL
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
