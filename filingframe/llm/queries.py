@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from filingframe.llm import ann, bpe, collocations, langid, line_dedup, merkle, minhash, packing, quotes, simhash, token_counts, toxicity
+from filingframe.llm import ann, bpe, collocations, langid, line_dedup, merkle, minhash, packing, pii, quotes, simhash, token_counts, toxicity
 from filingframe.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,17 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op12_collocations"] = collocations.SQL
 
 
+@query
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.KINDS),
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
