@@ -94,6 +94,60 @@ def merge_aggregate(
     return final.select(*keys, spec.finish().alias(name))
 
 
+class OversizedGroup(ValueError):
+    """A group that an arbitrary function would have to hold in one task, and that is too large for it."""
+
+
+@dataclass(frozen=True)
+class GroupFunction:
+    """Any function of all values of a group, as one pandas Series, in the order of ``order``.
+
+    ``returns`` is the type of its result. Groups are measured first, and a group beyond
+    ``max_rows`` or ``max_bytes`` is refused by name, before any task holds one; such data
+    needs a :class:`MergeableAggregate`. Rows that tie in ``order`` stand in order of their values.
+    """
+
+    fn: Callable[[pd.Series], object]
+    returns: str
+    order: Names = ()
+    max_rows: int = 1_000_000
+    max_bytes: int = 256 << 20
+
+
+def apply_group_function(
+    df: DataFrame, keys: list[str], column: str, spec: GroupFunction, name: str
+) -> DataFrame:
+    """``keys, name``: the function's result for every group without a null key. Runs one job when called."""
+    order = present(df, spec.order)
+    rows = df.na.drop(subset=keys).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+        F.col(column).alias("_value"),
+    )
+    own = [f"_k{i}" for i in range(len(keys))]
+    by = [*(f"_o{i}" for i in range(len(order))), "_value"]
+    weight = F.octet_length(F.col("_value").cast("string"))
+    sizes = rows.groupBy(*own).agg(
+        F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum(weight), F.lit(0)).alias("_bytes")
+    )
+    large = sizes.filter((F.col("_rows") > spec.max_rows) | (F.col("_bytes") > spec.max_bytes))
+    worst = large.orderBy(F.desc("_rows"), *own).first()
+    if worst:
+        named = ", ".join(f"{k}={worst[o]!r}" for k, o in zip(keys, own, strict=True))
+        raise OversizedGroup(
+            f"group {named} has {worst['_rows']} rows and {worst['_bytes']} bytes of {column!r};"
+            f" a function of whole groups takes {spec.max_rows} rows and {spec.max_bytes} bytes"
+        )
+
+    def apply(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        values = part.sort_values(by, ignore_index=True)["_value"].rename(column)
+        return pd.DataFrame([{**dict(zip(own, key, strict=True)), "_out": spec.fn(values)}])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*own).schema)
+    out = rows.groupBy(*own).applyInPandas(apply, f"{kinds}, _out {spec.returns}")
+    return out.select(*[F.col(o).alias(k) for k, o in zip(keys, own, strict=True)], F.col("_out").alias(name))
+
+
 def _built_in(name: str, column: str, order: Names | None) -> Column:
     c = F.col(column)
     if name in ("first", "last"):
@@ -119,7 +173,7 @@ def _built_in(name: str, column: str, order: Names | None) -> Column:
     return functions[name](c)
 
 
-Aggregation = str | Callable[[Column], Column] | MergeableAggregate
+Aggregation = str | Callable[[Column], Column] | MergeableAggregate | GroupFunction
 
 
 def group_by(
@@ -130,8 +184,8 @@ def group_by(
 ) -> DataFrame:
     """Group and aggregate; results keep the source column's name.
 
-    An aggregation is a function name, a Column function, or a
-    :class:`MergeableAggregate`. Null keys are dropped; with no valid column
+    An aggregation is a function name, a Column function, a :class:`MergeableAggregate`,
+    or a :class:`GroupFunction`. Null keys are dropped; with no valid column
     the frame is returned unchanged.
     """
     keys = present(df, columns)
@@ -144,6 +198,8 @@ def group_by(
     for column, how in wanted.items():
         if isinstance(how, MergeableAggregate):
             joined.append(merge_aggregate(rows, keys, column, how, column))
+        elif isinstance(how, GroupFunction):
+            joined.append(apply_group_function(rows, keys, column, how, column))
         elif how == "median":
             medians = exact_quantiles(rows, keys, column, [0.5])
             joined.append(medians.withColumnRenamed("q0", column))

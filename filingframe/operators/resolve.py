@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import d_even, from_jalali
 from filingframe.functions.text import symbol_candidates, symbol_key
+from filingframe.operators.skew import salted_join
+from filingframe.operators.textsearch import best_match
 from filingframe.session import materialise
 
 # Fixed value: how many days after the assembly a snapshot may lie.
@@ -62,8 +64,14 @@ def assembly_pairs(board: DataFrame, corrections: DataFrame) -> DataFrame:
     return fixed.withColumn("day", from_jalali("assembly_date"))
 
 
-def resolve_instruments(candidates: DataFrame, instruments: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Add instrument columns to ``name`` rows: exact ticker first, then alias."""
+def resolve_instruments(
+    candidates: DataFrame, instruments: DataFrame, aliases: DataFrame, search: float | None = None
+) -> DataFrame:
+    """Add instrument columns to ``name`` rows: exact ticker first, then alias.
+
+    With ``search``, names that neither knows are looked up by the n-grams they share
+    with tickers and aliases; the most similar one counts, if it is that similar.
+    """
     info = ["ins_code", "isic_code", "sector_name", "z_titad"]
     known = instruments.select(symbol_key("symbol").alias("name"), *info)
     exact = known.select("name", F.lit(0).alias("rank"), *info)
@@ -75,6 +83,10 @@ def resolve_instruments(candidates: DataFrame, instruments: DataFrame, aliases:
     )
     best = F.min(F.struct("rank", *info)).alias("i")
     book = exact.unionByName(fallback).groupBy("name").agg(best)
+    if search is not None:
+        unknown = candidates.select("name").distinct().join(book, "name", "left_anti")
+        hits = best_match(unknown, book.select("name"), search).select("query", "name")
+        book = book.unionByName(hits.join(book, "name").select(F.col("query").alias("name"), "i"))
     return candidates.join(book, "name", "left").select(
         *candidates.columns, *[F.col(f"i.{c}").alias(c) for c in info]
     )
@@ -97,12 +109,8 @@ def forward_days(targets: DataFrame, days: DataFrame, day: str = "day") -> DataF
     spread = spread.withColumn(
         "_day", F.when(F.col("ins_code").isNull(), nowhere).otherwise(wanted)
     )
-    found = days.select(F.col("ins_code").alias("_ins"), F.col("d_even").alias("hit"))
-    return spread.join(
-        found,
-        (F.col("ins_code") == F.col("_ins")) & (F.col("_day") == F.col("hit")),
-        "left",
-    ).drop("_ins", "_day")
+    found = days.select("ins_code", F.col("d_even").alias("_day"), F.col("d_even").alias("hit"))
+    return salted_join(spread, found, ["ins_code", "_day"], "left").select(*targets.columns, "offset", "hit")
 
 
 def as_of_forward(targets: DataFrame, holders: DataFrame, prices: DataFrame) -> DataFrame:
@@ -117,8 +125,8 @@ def as_of_forward(targets: DataFrame, holders: DataFrame, prices: DataFrame) ->
         .groupBy(*targets.columns)
         .agg(F.min("hit").alias("d_even"))
     )
-    rows = first.join(holders, ["ins_code", "d_even"])
-    return attach_prices(rows, prices)
+    # prices meet the few targets, not their holders; a day with many holders is spread
+    return salted_join(holders, attach_prices(first, prices), ["ins_code", "d_even"])
 
 
 def attach_prices(rows: DataFrame, prices: DataFrame) -> DataFrame:
@@ -153,7 +161,7 @@ class Enrichment:
             F.when(dated, F.col("win.hit")).alias("d_even"),
         )
         hits = pairs.where("d_even is not null")
-        rows = attach_prices(hits.join(self.holders, ["ins_code", "d_even"]), self.prices)
+        rows = salted_join(self.holders, attach_prices(hits, self.prices), ["ins_code", "d_even"])
         # pairs without data skip the joins instead of piling up on a null key
         bare = pairs.where("d_even is null")
         both = rows.unionByName(bare, allowMissingColumns=True)
@@ -207,6 +215,7 @@ def enrich(
     aliases: DataFrame,
     holders: DataFrame,
     prices: DataFrame,
+    search: float | None = None,
 ) -> Enrichment:
     """Try the candidates of each pair in order, each over its day window.
 
@@ -218,7 +227,7 @@ def enrich(
     pairs = assembly_pairs(board, corrections)
     tries = pairs.select(*PAIR, "day", F.posexplode("candidates").alias("pos", "candidate"))
     named = tries.withColumn("name", symbol_key("candidate"))
-    attempts = materialise(resolve_instruments(named, instruments, aliases), "attempts")
+    attempts = materialise(resolve_instruments(named, instruments, aliases, search), "attempts")
     reached = forward_days(attempts, snapshot_days(holders))
     fields = ["pos", "candidate", "ins_code", "isic_code", "sector_name", "z_titad"]
     hit = F.when(F.col("hit").isNotNull(), F.struct("pos", "hit", *fields[1:]))

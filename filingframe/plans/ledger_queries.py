@@ -231,8 +231,16 @@ def stream_new_urls(spark, path):
     return loaded.groupBy("url").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("stream_kept_requests", with_views("fetch_log", KEPT_SQL.format(ttl=DAY * 1_000_000)))
+@query(
+    "stream_kept_requests",
+    with_views(
+        "fetch_log",
+        KEPT_SQL.format(ttl=DAY * 1_000_000)
+        + " WHERE kept_at // 1000 < (SELECT max(epoch_us(ts)) // 1000 - 3600000 FROM events)",
+    ),
+)
 def stream_kept_requests(spark, path):
+    """What the watermark has passed, an hour before the last event."""
     folder = _scratch(spark, "kept-requests")
     kept = state.kept_requests_stream(_events_stream(spark, path), "user_id", "ts", DAY)
     writer = kept.writeStream.outputMode("append").format("parquet")

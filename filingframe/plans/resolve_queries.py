@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from filingframe.operators import frame, resolve
+from filingframe.operators import frame, resolve, textsearch
 from filingframe.plans.catalog import query
 from filingframe.plans.views import (
+    Tables,
     aliases,
     assemblies,
     corrections,
@@ -67,6 +68,57 @@ def resolved_instruments(spark, path):
     return found.select("company", "assembly_date", "name", "ins_code", "sector_name")
 
 
+def _search_sql(queries: str, names: str, least: float) -> str:
+    """All pairs by brute force: distinct n-grams of names with blanks around them."""
+
+    def side(name: str, source: str) -> str:
+        return (
+            f"{name} AS (SELECT name, list_distinct(list_transform(range(1, length(name) + 2),"
+            f" lambda i: substr('  ' || name || ' ', i, 3))) AS g FROM ({source}) WHERE name <> '')"
+        )
+
+    return f"""{side("q", queries)}, {side("n", names)},
+ pairs AS (SELECT q.name AS query, n.name, len(list_intersect(q.g, n.g)) AS common, len(q.g) + len(n.g) AS total
+  FROM q CROSS JOIN n),
+ best AS (SELECT query, name, common / (total - common) AS similarity FROM pairs WHERE common / (total - common) >= {least}
+  QUALIFY row_number() OVER (PARTITION BY query ORDER BY common / (total - common) DESC, name) = 1)"""
+
+
+@query(
+    "name_search",
+    "WITH "
+    + _search_sql("SELECT DISTINCT c_name AS name FROM customer", "SELECT DISTINCT s_name AS name FROM supplier", 0.25)
+    + " SELECT query, name, round(similarity, 9) AS similarity FROM best",
+)
+def name_search(spark, path):
+    """The supplier whose name is most like a customer's."""
+    tables = Tables(spark, path)
+    found = textsearch.best_match(tables.customer.select("c_name"), tables.supplier.select("s_name"), 0.25)
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
+@query(
+    "searched_instruments",
+    with_views(
+        "candidates resolvable",
+        ", "
+        + _search_sql(
+            "SELECT DISTINCT name FROM candidates WHERE name NOT IN (SELECT name FROM resolvable)",
+            "SELECT name FROM resolvable",
+            0.3,
+        )
+        + """ SELECT company, assembly_date, c.name, coalesce(r.ins_code, f.ins_code) AS ins_code
+ FROM candidates c LEFT JOIN resolvable r ON r.name = c.name LEFT JOIN best ON best.query = c.name
+ LEFT JOIN resolvable f ON f.name = best.name""",
+    ),
+)
+def searched_instruments(spark, path):
+    """Candidates by ticker, by alias, and else by the most similar of both."""
+    tries = _pairs(spark, path).select("company", "assembly_date", F.explode("candidates").alias("name"))
+    found = resolve.resolve_instruments(tries, instruments(spark, path), aliases(spark, path), search=0.3)
+    return found.select("company", "assembly_date", "name", "ins_code")
+
+
 @query(
     "holders_as_of",
     with_views(

@@ -16,10 +16,14 @@ from filingframe.operators.ledger import DEFAULT_TTL, fold_state
 def kept_requests_stream(
     df: DataFrame, key: str, ts: str, ttl_seconds: int = DEFAULT_TTL, delay: str = "1 hour"
 ) -> DataFrame:
-    """Streaming form of ``kept_requests``: state per key is one number.
+    """Streaming form of ``kept_requests``, in order of event time whatever the order of arrival.
 
-    Times are folded in order within each micro-batch; a key's state ends once
-    the watermark has passed its expiry, when any later request is kept anyway.
+    Times wait in their key's state until the watermark has passed them, so that a time
+    which arrives in a later batch, but within ``delay``, is folded in its place. A
+    timer at a key's earliest waiting time releases them; what is released gives the same
+    rows as the batch form. The times of the last ``delay`` come out when later events
+    move the watermark. State per key are the last kept time and the distinct times
+    of one delay; it ends once the last kept time has expired and nothing waits.
     """
     ttl = ttl_seconds * 1_000_000
     key_type = df.schema[key].dataType.simpleString()
@@ -27,28 +31,33 @@ def kept_requests_stream(
     def fold(
         group_key: tuple, parts: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        # distinct times of one key in one micro-batch
-        times = sorted({t for part in parts for t in part["_t"]})
-        last, kept = fold_state(state.get[0] if state.exists else None, iter(times), ttl)
-        expires_ms = (last + ttl) // 1000 + 1
-        if expires_ms > state.getCurrentWatermarkMs():
-            state.update((last,))
-            state.setTimeoutTimestamp(expires_ms)
+        last, waiting = state.get if state.exists else (None, [])
+        times = set(waiting)
+        for part in parts:
+            times.update(part["_t"].tolist())
+        # nothing at or before the watermark can arrive any more
+        watermark = state.getCurrentWatermarkMs()
+        ready = sorted(t for t in times if t // 1000 < watermark)
+        last, kept = fold_state(last, iter(ready), ttl)
+        waiting = sorted(times.difference(ready))
+        expires = None if last is None else (last + ttl) // 1000 + 1
+        timer = waiting[0] // 1000 if waiting else expires
+        if waiting or (expires is not None and expires > watermark):
+            state.update((last, waiting))
+            state.setTimeoutTimestamp(max(timer, watermark + 1))
         elif state.exists:
             state.remove()
         yield pd.DataFrame({key: [group_key[0]] * len(kept), "kept_at": kept})
 
     rows = df.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
     return (
-        rows.select(key, "_ts", F.unix_micros("_ts").alias("_t"))
+        rows.where(F.col(key).isNotNull() & F.col("_ts").isNotNull())
+        .select(key, "_ts", F.unix_micros("_ts").alias("_t"))
         .groupBy(key)
         .applyInPandasWithState(
             fold,
             f"`{key}` {key_type}, kept_at bigint",
-            "last bigint",
+            "last bigint, waiting array<bigint>",
             "append",
             GroupStateTimeout.EventTimeTimeout,
         )

@@ -51,18 +51,42 @@ def test_kept_requests_equal_brute_force(spark, seed, pieces):
     assert kept_set(kept) == brute_force(events, 600)
 
 
-def test_streamed_fold_equals_batch(spark, tmp_path):
-    events = sorted(make_events(3, 500), key=lambda e: e[1])
-    cut = [events[:700], events[700:1100], events[1100:]]
-    for i, part in enumerate(cut):
+def stream_folds(spark, folder, batches, ttl, delay):
+    """Feed the batches one after the other and return what came out."""
+    for part in batches:
         df = spark.createDataFrame(part, "key string, ts timestamp").coalesce(1)
-        df.write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema("key string, ts timestamp").parquet(str(tmp_path / "in"))
-        kept = state.kept_requests_stream(stream, "key", "ts", 600, delay="10 minutes")
-        writer = kept.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
-        query = writer.trigger(availableNow=True).start(str(tmp_path / "out"))
+        df.write.mode("append").parquet(str(folder / "in"))
+        stream = spark.readStream.schema("key string, ts timestamp").parquet(str(folder / "in"))
+        kept = state.kept_requests_stream(stream, "key", "ts", ttl, delay=delay)
+        writer = kept.writeStream.format("parquet").option("checkpointLocation", str(folder / "cp"))
+        query = writer.trigger(availableNow=True).start(str(folder / "out"))
         query.awaitTermination()
-    assert kept_set(spark.read.parquet(str(tmp_path / "out"))) == brute_force(events, 600)
+    return kept_set(spark.read.parquet(str(folder / "out")))
+
+
+def closed(events, ttl, delay):
+    """The batch result up to the last watermark."""
+    end = max(ts for _, ts in events if ts) - delay
+    return {(k, ts) for k, ts in brute_force([e for e in events if None not in e], ttl) if ts < end}
+
+
+def test_streamed_fold_equals_batch(spark, tmp_path):
+    events = sorted(make_events(3, 500), key=lambda e: e[1])
+    cut = [events[:700], events[700:1100], [*events[1100:], (None, START)]]
+    got = stream_folds(spark, tmp_path, cut, 600, "10 minutes")
+    assert got == closed(events, 600, timedelta(minutes=10))
+    assert len(got) > 100
+
+
+def test_late_times_are_folded_in_order(spark, tmp_path):
+    events = make_events(4, 400)
+    # arrival is up to two hours behind the time itself
+    rng = random.Random(5)
+    arrival = sorted(events, key=lambda e: e[1] + timedelta(minutes=rng.randrange(120)))
+    cut = [arrival[i : i + 350] for i in range(0, len(arrival), 350)]
+    assert any(max(t for _, t in a) > min(t for _, t in b) for a, b in zip(cut, cut[1:], strict=False))
+    got = stream_folds(spark, tmp_path, cut, 600, "2 hours")
+    assert got == closed(events, 600, timedelta(hours=2))
 
 
 def test_counters_in_stream_equal_batch(spark, tmp_path):
