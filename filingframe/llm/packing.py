@@ -56,8 +56,6 @@ class WordEncoder(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        # strings of special tokens in a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model.tokenize
         self.older: dict[bytes, bytes] = {}
         self.marks: dict[str, bytes] = {}

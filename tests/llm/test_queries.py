@@ -50,7 +50,6 @@ def test_op1(spark, folder, texts):
     columns, rows = run(spark, folder, "op1_pack")
     assert columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {k: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4") for k, t in texts.items()}
     for r in rows:
         own = ids[r.doc_id]
