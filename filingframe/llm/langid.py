@@ -7,17 +7,19 @@ its positions. Since the state starts anew with each segment, the sums of equal
 segments are equal and are computed once per task.
 
 Training is backpropagation through time in numpy on a bounded sample
-(``SAMPLE_DOCS`` documents a language, ``SAMPLE_WORDS`` distinct segments).
+(``SAMPLE_DOCS`` distinct texts and ``SAMPLE_WORDS`` distinct segments of each language).
+Texts are lowered and cut by one function for training and prediction.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingframe.llm.common import held_out, remembered, short_batches
@@ -25,8 +27,9 @@ from filingframe.llm.common import held_out, remembered, short_batches
 UNDETERMINED = "und"
 #: Longest run of bytes that one pass of the network reads.
 SEGMENT = 32
-#: Bounds of the training sample: documents of each language, distinct segments in all.
-SAMPLE_DOCS, SAMPLE_WORDS = 400, 24_000
+#: Bounds of the training sample: distinct texts and distinct segments of each language,
+#: and languages (those with most texts, far more than a corpus is labelled with).
+SAMPLE_DOCS, SAMPLE_WORDS, LANGUAGES = 400, 6_000, 200
 HIDDEN, EPOCHS, BATCH, RATE = 16, 10, 256, 0.01
 #: Quantile of the scores of learned documents that the least score of a determined text keeps under.
 LOW = 0.01
@@ -182,35 +185,69 @@ def train(examples: list[tuple[str, bytes, float]], epochs: int = EPOCHS, seed:
     return net
 
 
+def lowered(text: bytes) -> bytes:
+    """UTF-8 text in lower case, beyond ASCII too."""
+    return text.lower() if text.isascii() else text.decode().lower().encode()
+
+
+def pieces(word: bytes) -> list[bytes]:
+    """A run between white space, cut into what one pass of the network reads."""
+    return [word[at : at + SEGMENT] for at in range(0, len(word), SEGMENT)]
+
+
 def learned_documents(docs: DataFrame, docs_per_lang: int = SAMPLE_DOCS) -> DataFrame:
-    """``doc_id, text, lang`` of a bounded sample of labelled documents outside the held-out fold, chosen by hash."""
-    labelled = docs.filter(~held_out() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return labelled
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_per_lang / n))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1_000_000)) / 1_000_000
-    return labelled.filter(draw < share[F.col("lang")])
+    """``doc_id, text, lang`` of a bounded sample of labelled documents outside the held-out fold.
+
+    Texts are drawn by their hash, which stands as their ``doc_id``, and each text counts
+    once a language, however often it is repeated.
+    """
+    labelled = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    labelled = labelled.select(F.xxhash64("text").alias("doc_id"), "text", "lang")
+    distinct = labelled.select("lang", "doc_id").distinct()
+    langs = distinct.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    draw = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id")
+    chosen = (
+        distinct.join(F.broadcast(langs), "lang")
+        .withColumn("place", F.row_number().over(draw))
+        .filter(F.col("place") <= docs_per_lang)
+        .drop("place")
+    )
+    # at most LANGUAGES x docs_per_lang rows of two short values; copies are reduced before they are shuffled
+    found = labelled.join(F.broadcast(chosen), ["lang", "doc_id"])
+    return found.groupBy("doc_id", "lang").agg(F.first("text").alias("text")).select("doc_id", "text", "lang")
 
 
 def training_segments(
     docs: DataFrame, docs_per_lang: int = SAMPLE_DOCS, words: int = SAMPLE_WORDS
 ) -> list[tuple[str, bytes, float]]:
-    """Labelled segments of the documents that are learned from.
+    """Labelled segments of the documents that are learned from, the most frequent ones of each language.
 
     The weight is the square root of a segment's count in the sample.
     """
+    short_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[tuple[str, bytes]] = Counter()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts.update((lang, piece) for word in lowered(text).split() for piece in pieces(word))
+            rows = [(lang, piece, n) for (lang, piece), n in counts.items()]
+            kinds = (pa.string(), pa.binary(), pa.int64())
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "piece", "n"])
+
+    often = Window.partitionBy("lang").orderBy(F.desc("n"), "piece")
     rows = (
         learned_documents(docs, docs_per_lang)
-        .select("lang", F.explode(F.split(F.lower("text"), r"[ \t-\r]+")).alias("word"))
-        .filter(F.octet_length("word").between(1, SEGMENT))
-        .groupBy("lang", "word")
-        .count()
-        .orderBy(F.desc("count"), "lang", "word")
-        .limit(words)
+        .select("lang", F.col("text").cast("binary").alias("text"))
+        .mapInArrow(run, "lang string, piece binary, n long")
+        .groupBy("lang", "piece")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("place", F.row_number().over(often))
+        .filter(F.col("place") <= words)
         .collect()
     )
-    return [(r.lang, r.word.encode(), float(np.sqrt(r["count"]))) for r in rows]
+    return sorted((r.lang, bytes(r.piece), float(np.sqrt(r.n))) for r in rows)
 
 
 class Labeller(dict):
@@ -240,13 +277,13 @@ class Labeller(dict):
         self.sums[first : len(self)] = 0
         by_length: dict[int, tuple[list[bytes], list[int]]] = {}
         for row, word in enumerate(self.fresh, first):
-            for at in range(0, len(word), SEGMENT):
-                pieces, rows = by_length.setdefault(min(SEGMENT, len(word) - at), ([], []))
-                pieces.append(word[at : at + SEGMENT])
+            for piece in pieces(word):
+                block, rows = by_length.setdefault(len(piece), ([], []))
+                block.append(piece)
                 rows.append(row)
-        for n, (pieces, rows) in by_length.items():
-            for at in range(0, len(pieces), BLOCK):
-                block = pieces[at : at + BLOCK]
+        for n, (words, rows) in by_length.items():
+            for at in range(0, len(words), BLOCK):
+                block = words[at : at + BLOCK]
                 read = np.frombuffer(b"".join(block), np.uint8).reshape(len(block), n)
                 np.add.at(self.sums, rows[at : at + BLOCK], positions(self.net, read).sum(1))
         self.fresh.clear()
@@ -255,7 +292,7 @@ class Labeller(dict):
         """Mean distribution over all positions of each text's segments; even where there is none."""
         if len(self) > self.remembered:
             self.clear()
-        found = [np.array(list(map(self.__getitem__, t.lower().split())), np.int64) if t else None for t in texts]
+        found = [np.array(list(map(self.__getitem__, lowered(t).split())), np.int64) if t else None for t in texts]
         self._learn()
         out = np.full((len(texts), len(self.net.langs)), 1 / len(self.net.langs))
         for i, rows in enumerate(found):
@@ -309,7 +346,7 @@ def least_score(docs: DataFrame, net: Network | None) -> float:
     labels: dict[int | None, set[str]] = {}
     for r in learned.select("doc_id", "lang").collect():
         labels.setdefault(r.doc_id, set()).add(r.lang)
-    # at most SAMPLE_DOCS rows a language or so
+    # at most SAMPLE_DOCS rows a language
     scores = [r.score for r in identify(learned, net).collect() if r.lang_pred in labels[r.doc_id]]
     even = 1 / len(net.langs)
     usual = min(np.quantile(scores, LOW), np.median(scores) / 2) if scores else 0.0

@@ -61,7 +61,7 @@ def test_backpropagation_matches_differences():
 def test_remembered_sums_are_those_of_every_position(net):
     whole = ("  ".join(text("aa", 1, 5).split()) + "\nTHA " + "q" * 100).encode()
     sums, n = np.zeros(3), 0
-    for word in whole.lower().split():
+    for word in langid.lowered(whole).split():
         for at in range(0, len(word), langid.SEGMENT):
             piece = np.frombuffer(word[at : at + langid.SEGMENT], np.uint8)[None]
             sums += langid.positions(net, piece)[0].sum(0)
@@ -117,3 +117,51 @@ def test_the_network_rejects_gibberish_only(make_docs):
     kept = {r.doc_id for r in langid.keep_determined(docs, net, least).collect()}
     assert 0.25 < least < 0.5 and kept == set(range(len(texts) + len(both)))
     assert langid.least_score(labelled, None) == 0
+
+
+def test_a_language_without_blanks_and_capitals_beyond_ascii(make_docs):
+    """Sentences of one long run of bytes are learned, and capitals are read as what they are."""
+    rng = random.Random(2)
+    han = [chr(0x4E00 + i) for i in range(40)]
+    kyrillic = ["при", "ого", "ста", "ний", "ель", "щая"]
+    texts, langs = [], []
+    for i in range(90):
+        texts += ["".join(rng.choices(han, k=60)), " ".join("".join(rng.choices(kyrillic, k=2)) for _ in range(30)), text("aa", i)]
+        langs += ["zh", "ru", "en"]
+    net = langid.fit(make_docs(texts, langs))
+    assert net.langs == ["en", "ru", "zh"]
+    asked = [texts[0], texts[1].upper(), texts[2].upper(), "ПРИЕЛЬ ЩАЯСТА", "".join(han[5:25])]
+    rows = langid.identify(make_docs(asked), net).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in rows] == ["zh", "ru", "en", "ru", "zh"]
+
+
+def test_a_rare_language_among_thirty_is_learned(make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    rng = random.Random(8)
+    texts, langs = [], []
+    for number in range(30):
+        own = "abcdefghijklmnopqrstuvwxyz"[number % 26] + "xyz"[number % 3]
+        for i in range(1 if number == 29 else 12):
+            texts.append(" ".join(own + "".join(rng.choices("abcdef", k=4)) for _ in range(40 + i)))
+            langs.append(f"l{number:02d}")
+    docs = make_docs([(4 * i, t) for i, t in enumerate(texts)], langs)
+    labelled = docs.filter(~common.held_out())
+    want = sorted({r.lang for r in labelled.collect()})
+    found = langid.training_segments(docs, words=50)
+    assert sorted({lang for lang, _, _ in found}) == want and len(want) >= 29
+    assert max(sum(lang == x for x, _, _ in found) for lang in want) <= 50
+
+
+def test_copies_of_a_text_are_sampled_once(make_docs):
+    docs = make_docs([(4 * i, text("aa", 1)) for i in range(300)] + [(5000, text("aa", 2))], ["aa"] * 301)
+    drawn = langid.learned_documents(docs).collect()
+    assert len(drawn) == len({r.text for r in drawn}) <= 2 and drawn
+
+
+def test_predictions_equal_brute_force(labelled, net):
+    """Every byte of every piece read by itself."""
+    for r in langid.identify(labelled, net).limit(20).join(labelled.select("doc_id", "text"), "doc_id").collect():
+        words = [w for w in langid.lowered(r.text.encode()).split()]
+        own = sum(langid.positions(net, np.frombuffer(p, np.uint8)[None])[0].sum(0) for w in words for p in langid.pieces(w))
+        share = own / own.sum()
+        assert net.langs[int(share.argmax())] == r.lang_pred and abs(share.max() - r.score) < 1e-5
