@@ -2,10 +2,16 @@
 
 Every chunk of a text is a lattice of what may have been meant: a letter stands
 for itself, a digit or symbol for the letters it imitates or for nothing, a run
-of one letter for one or two of it, and single characters with spaces between
-them for one word. A character language model, counted over all documents,
-and the costs of the channel choose the path (Viterbi). The score of a text
-joins the learnt probabilities of its distinct restored words.
+of one letter for one or two of it, a sign of any script for nothing, and a chunk of runs alone also
+for its letters written as often less each. Single characters with white space between
+them are one lattice, in which every gap may or may not end a word. A character
+language model, counted over all documents, and the costs of the channel choose
+the path (Viterbi, over all states there are). The score of a text joins the learnt
+probabilities of its distinct restored words.
+
+A chunk stands for itself where its lattice has no other path (letters without a run),
+where it holds a letter beyond a-z without its accents, which the model does not know,
+where it is a number, and where fewer than three letters could be meant.
 """
 
 from __future__ import annotations
@@ -35,8 +41,8 @@ MIN_DOCS, LOWEST, Z = 4, 0.3, 2.0
 PENALTY, ROUNDS = 0.3, 400
 #: Letters of the stems that inflected forms share.
 STEMS = (4, 5)
-#: Chunks remembered by a task, longest chunk that is decoded, states kept by Viterbi.
-REMEMBERED, LONGEST, BEAM = 500_000, 40, 64
+#: Chunks remembered by a task.
+REMEMBERED = 500_000
 #: Symbols of the language model: the word boundary and a-z.
 SYMBOLS, ORDER = 27, 4
 
@@ -45,12 +51,13 @@ IMITATED = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "gq",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
-#: Costs (negative logarithms) of the channel.
-IMITATE, DROP_DIGIT, DROP_SYMBOL, COLLAPSE = 0.7, 5.0, 1.2, 2.5
+#: Costs (negative logarithms) of the channel: also of letters that are all written alike often, and of a word's end in a gap.
+IMITATE, DROP_DIGIT, DROP_SYMBOL, COLLAPSE, STRETCH, GAP = 0.7, 5.0, 1.2, 2.5, 2.5, 0.0
 
 _EDGE = re.compile(r"^[^\w$@]+|(?:([\W_])\1\1+)+$|[^\w$@]+$")
-_RUN = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ _]\S){2,}(?!\S)")
+_RUN = re.compile(r"(.)\1")
+_GAP = re.compile(r"\s|(?<!^)_(?!$)")
+_SPACED = re.compile(r"(?<!\S)[^\s_](?:[\s_]+[^\s_]){2,}(?!\S)")
 
 
 def fold(text: str) -> str:
@@ -127,45 +134,98 @@ def _options(run: str, n: int) -> list[tuple[str, float]]:
     return options
 
 
-def decode(chunk: str, model: np.ndarray) -> str:
-    """The likeliest word behind a folded chunk. Ties go to the word that sorts first."""
-    paths: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
-    for run, same in itertools.groupby(chunk):
-        options = _options(run, len(list(same)))
-        ahead: dict[tuple[int, int, int], tuple[float, str]] = {}
-        for state, (cost, word) in paths.items():
+@dataclass(eq=False)
+class Model:
+    characters: np.ndarray
+    words: dict[str, float]
+    bias: float
+
+
+Steps = list[list[tuple[str, float]]]
+
+
+def cheapest(steps: Steps, costs: list[float]) -> tuple[float, str]:
+    """Cost and text of the likeliest path through a lattice; a blank ends a word.
+
+    Viterbi over the last three letters. Of equal paths the one whose options come first stays.
+    """
+    states = SYMBOLS ** (ORDER - 1)
+    paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    for options in steps:
+        ahead: dict[int, tuple[float, tuple | None]] = {}
+        for state, (cost, way) in paths.items():
             for meant, extra in options:
                 s, total = state, cost + extra
                 for letter in meant:
-                    c = ord(letter) - 96
-                    total += float(model[s[0], s[1], s[2], c])
-                    s = (s[1], s[2], c)
-                found = (total, word + meant)
-                if s not in ahead or found < ahead[s]:
-                    ahead[s] = found
-        paths = ahead if len(ahead) <= BEAM else dict(sorted(ahead.items(), key=lambda x: x[1])[:BEAM])
-    return min((cost + float(model[(*s, 0)]), word) for s, (cost, word) in paths.items())[1]
-
-
-def restore(chunk: str, model: np.ndarray) -> str:
+                    if letter == " ":
+                        # nothing reaches over the end of a word, and an empty word costs nothing
+                        total += costs[s * SYMBOLS] if s else 0.0
+                        s = 0
+                    else:
+                        at = s * SYMBOLS + ord(letter) - 96
+                        total += costs[at]
+                        s = at % states
+                if s not in ahead or total < ahead[s][0]:
+                    ahead[s] = (total, (way, meant) if meant else way)
+        paths = ahead
+    cost, way = min(((c + (costs[s * SYMBOLS] if s else 0.0), w) for s, (c, w) in paths.items()), key=lambda x: x[0])
+    parts = []
+    while way:
+        way, meant = way
+        parts.append(meant)
+    return cost, "".join(reversed(parts))
+
+
+def lattices(chunk: str) -> list[tuple[float, Steps]]:
+    """What a folded chunk may be: its runs as they are, and, if no letter of it stands alone, fewer of each."""
+    runs = [(c, len(list(same))) for c, same in itertools.groupby(chunk)]
+    found = [(0.0, [_options(c, n) for c, n in runs])]
+    least = min((n for c, n in runs if c.isalnum()), default=1)
+    if least > 1:
+        found.append((STRETCH, [_options(c, max(1, n // least)) for c, n in runs]))
+    return found
+
+
+def decode(chunk: str, costs: list[float]) -> str:
+    """The likeliest word behind a folded chunk."""
+    best = [(extra + cost, word) for extra, steps in lattices(chunk) for cost, word in [cheapest(steps, costs)]]
+    return min(best, key=lambda x: x[0])[1]
+
+
+def restore(chunk: str, costs: list[float]) -> str:
     """The word meant by a chunk: itself where the lattice has a single path."""
     word = _EDGE.sub("", _EDGE.sub("", fold(chunk)))
-    if not word or len(word) > LONGEST:
-        return word
-    if word.isalpha() and not _RUN.search(word):
+    if not word or word.isalpha() and not _RUN.search(word):
         return word
-    if not word.isascii() and not any(c in IMITATED for c in word):
+    if not word.isascii() and any(c.isalpha() and not "a" <= c <= "z" for c in word):
         return word
     letters = sum("a" <= c <= "z" for c in word)
     imitations = sum(c in IMITATED for c in word)
     if letters + imitations < 3 or letters == 0 and word.isdigit():
         return word
-    return decode(word, model)
+    return decode(word, costs)
 
 
 def spaced(text: str) -> list[str]:
-    """Words spelt with a space between their characters."""
-    return ["".join(m.group().split()).replace("_", "") for m in _SPACED.finditer(text)]
+    """Runs of single characters with white space or underscores between them."""
+    return [m.group() for m in _SPACED.finditer(text)]
+
+
+def spelt_steps(run: str) -> Steps:
+    """The lattice of a run of single characters: each gap joins them, or ends a word."""
+    characters = fold("".join(re.split(r"[\s_]+", run)))
+    steps: Steps = []
+    for character in characters:
+        if steps:
+            steps.append([("", 0.0), (" ", GAP)])
+        known = "a" <= character <= "z" or character in IMITATED
+        steps.append(_options(character, 1) if known else [(" ", 0.0)])
+    return steps
+
+
+def restore_spaced(run: str, costs: list[float]) -> list[str]:
+    """The words meant by a run of single characters."""
+    return cheapest(spelt_steps(run), costs)[1].split()
 
 
 def features(word: str) -> list[str]:
@@ -173,23 +233,30 @@ def features(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)] if word else []
 
 
-def restored_words(text: str, model: np.ndarray, known: dict[str, str]) -> set[str]:
+def restored(part: str, costs: list[float]) -> list[str]:
+    """The words meant by a chunk, or by a run of single characters, which alone holds gaps."""
+    if len(part) > 1 and _GAP.search(part):
+        return restore_spaced(part, costs)
+    word = restore(part, costs)
+    return [word] if word else []
+
+
+def parts(text: str) -> set[str]:
+    """Distinct chunks and runs of single characters of a whole text."""
+    return {*text.split(), *spaced(text)}
+
+
+def restored_words(text: str, costs: list[float], known: dict[str, str]) -> set[str]:
     """Distinct restored words of a whole text."""
     if len(known) > REMEMBERED:
         known.clear()
-    chunks = set(text.split())
-    chunks.update(spaced(text))
-    for chunk in chunks:
-        if chunk not in known:
-            known[chunk] = restore(chunk, model)
-    return {known[c] for c in chunks} - {""}
-
-
-@dataclass(eq=False)
-class Model:
-    characters: np.ndarray
-    words: dict[str, float]
-    bias: float
+    found: set[str] = set()
+    for part in parts(text):
+        own = known.get(part)
+        if own is None:
+            known[part] = own = " ".join(restored(part, costs))
+        found.update(own.split())
+    return found
 
 
 def fit_weights(found: list[list[int]], toxic: np.ndarray, words: int) -> tuple[np.ndarray, float]:
@@ -221,14 +288,20 @@ def _sample(labels: DataFrame, size: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
-    """Count characters over all documents and learn words from a bounded labelled sample."""
+    """Count characters over all documents and learn words from a bounded labelled sample.
+
+    Labels that repeat count once (the largest), null labels not at all, and each text
+    counts once, however many copies there are. Without labels, or without
+    documents, no word is learnt, and nothing scores as toxic.
+    """
     spark = docs.sparkSession
     counts = character_counts(docs).toArrow()
     characters = character_model(counts.column(0).to_numpy(), counts.column(1).to_numpy())
-    shared = spark.sparkContext.broadcast(characters)
+    shared = spark.sparkContext.broadcast(characters)  # SYMBOLS ** ORDER numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
+        costs = shared.value.ravel().tolist()
         seen = (Counter(), Counter())
 
         def flush() -> pa.RecordBatch:
@@ -240,7 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
 
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words_found = restored_words(text, shared.value, known)
+                words_found = restored_words(text, costs, known)
                 seen[toxic].update({f for word in words_found for f in features(word)})
             if len(seen[0]) > REMEMBERED:
                 yield flush()
@@ -250,7 +323,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
     chosen = F.broadcast(_sample(labels, sample).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")))
     rows = texts(docs).join(chosen, "doc_id").select("text", "toxic")
     # copies of one text are no further witness of its words
-    once = rows.groupBy(F.xxhash64("text"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic")
+    once = rows.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.first("text").alias("text"))
+    # an id that repeats with other texts brings no more of them than there are sampled ids
+    once = once.orderBy("h", "toxic").limit(sample).select("text", "toxic")
     n, toxic = F.col("clean") + F.col("toxic"), F.col("toxic")
     share = toxic / n
     margin = Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))
@@ -267,15 +342,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
+        costs = shared.value.ravel().tolist()
         for batch in batches:
             own = []
             for text in batch.column(0).to_pylist():
-                found = {f for w in restored_words(text, shared.value, known) for f in features(w)}
+                found = {f for w in restored_words(text, costs, known) for f in features(w)}
                 own.append(sorted(numbers.value[f] for f in found & numbers.value.keys()))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32()))], names=["toxic", "found"])
 
     # sorted, so that the order in which rows arrive does not count
-    learnt = sorted((r.toxic, r.found) for r in rows.mapInArrow(sets, "toxic int, found array<int>").collect())
+    learnt = sorted((r.toxic, r.found) for r in once.mapInArrow(sets, "toxic int, found array<int>").collect())
     weights, bias = fit_weights([f for _, f in learnt], np.array([t for t, _ in learnt], np.float64), len(number))
     return Model(characters, {w: float(weights[i]) for w, i in number.items() if weights[i] > 0.01}, bias)
 
@@ -285,6 +361,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
+        self.costs = model.characters.ravel().tolist()
         #: learnt features of a chunk, joined by spaces
         self.known: dict[str, str] = {}
 
@@ -292,14 +369,12 @@ class Scorer:
         known, words = self.known, self.model.words
         if len(known) > REMEMBERED:
             known.clear()
-        chunks = set(text.split())
-        chunks.update(spaced(text))
         found: set[str] = set()
-        for chunk in chunks:
-            own = known.get(chunk)
+        for part in parts(text):
+            own = known.get(part)
             if own is None:
-                word = restore(chunk, self.model.characters)
-                known[chunk] = own = " ".join(f for f in features(word) if f in words)
+                meant = restored(part, self.costs)
+                known[part] = own = " ".join(f for word in meant for f in features(word) if f in words)
             if own:
                 found.update(own.split())
         return sorted(found)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -52,29 +54,85 @@ def test_obfuscated_words_are_restored(make_docs, model):
     assert all(r.score >= toxicity.THRESHOLD for r in rows[:12]) and rows[12].score < toxicity.THRESHOLD
 
 
-def test_viterbi_finds_the_cheapest_path(model):
-    def brute(chunk):
-        import itertools
+def brute(lattices, characters):
+    """The cheapest path by listing all of them."""
+    best = None
+    for extra, steps in lattices:
+        for path in itertools.product(*steps):
+            text, cost, state = "".join(m for m, _ in path), extra + sum(x for _, x in path), (0, 0, 0)
+            for letter in text + " ":
+                code = 0 if letter == " " else ord(letter) - 96
+                if code or any(state):
+                    cost += float(characters[(*state, code)])
+                state = (*state[1:], code) if code else (0, 0, 0)
+            if best is None or cost < best[0] - 1e-6:
+                best = (cost, text)
+    return best
+
 
-        runs = [(c, len(list(g))) for c, g in itertools.groupby(chunk)]
-        best = None
-        for path in itertools.product(*(toxicity._options(c, n) for c, n in runs)):
-            word, cost, state = "".join(m for m, _ in path), sum(x for _, x in path), (0, 0, 0)
-            for letter in word + "`":  # the boundary
-                code = ord(letter) - 96
-                cost += float(model.characters[(*state, code)])
-                state = (*state[1:], code)
-            if best is None or (round(cost, 4), word) < best:
-                best = (round(cost, 4), word)
-        return best[1]
+CHUNKS = ["gr0mbl3", "a1pha", "b3t@", "gaaamma", "d.e.l.t.a", "z3tt@", "1337", "k4pp4!", "0o0", "aallpphhaa", "g\u00b7a\u00b7m\u00b7m\u00b7a", "bbbeeetttaaa"]
 
-    for chunk in ["gr0mbl3", "a1pha", "b3t@", "gaaamma", "d.e.l.t.a", "z3tt@", "1337", "k4pp4!", "0o0"]:
-        assert toxicity.decode(chunk, model.characters) == brute(chunk)
+
+def test_viterbi_finds_the_cheapest_path(model):
+    costs = model.characters.ravel().tolist()
+    for chunk in CHUNKS:
+        want = brute(toxicity.lattices(chunk), model.characters)
+        found = min(extra + toxicity.cheapest(steps, costs)[0] for extra, steps in toxicity.lattices(chunk))
+        assert found == pytest.approx(want[0], abs=1e-4)
+        assert toxicity.decode(chunk, costs) == want[1]
+    for run in ["a l p h a", "a  b\ne_t a", "b e t a . a l"]:
+        steps = toxicity.spelt_steps(run)
+        assert toxicity.cheapest(steps, costs)[0] == pytest.approx(brute([(0.0, steps)], model.characters)[0], abs=1e-4)
 
 
 def test_plain_words_pass_unchanged(model):
-    for word in ["alpha", "gamma", "kappa", "été", "中文", "123", "x" * 60]:
-        assert toxicity.restore(word, model.characters) in (word, toxicity.fold(word))
+    costs = model.characters.ravel().tolist()
+    for word in ["alpha", "kapi", "\u00e9t\u00e9", "\u4e2d\u6587", "123", "\u4e2d\u4e2d"]:
+        assert toxicity.restore(word, costs) in (word, toxicity.fold(word))
+
+
+DISGUISES = {
+    "doubled": lambda w: "".join(c * 2 for c in w),
+    "tripled": lambda w: "".join(c * 3 for c in w),
+    "dots": ".".join,
+    "middle dots": "\u00b7".join,
+    "bullets": "\u2022".join,
+    "eight dashes": ("-" * 8).join,
+    "blanks": " ".join,
+    "two blanks": "  ".join,
+    "line ends": "\n".join,
+    "tabs and underscores": lambda w: "\t".join(w[:4]) + "_" + "_".join(w[4:]),
+    "after a short word": lambda w: "a " + " ".join(w),
+    "two words": lambda w: " ".join(w) + " " + " ".join(w),
+    "stretched 45 times": lambda w: w[:2] + w[2] * 45 + w[3:],
+    "stretched everywhere": lambda w: "".join(c * 45 for c in w),
+    "long tail": lambda w: w + w[-1] * 300,
+    "capitals and accents": lambda w: w.upper().replace("U", "\u00dc").replace("O", "\u00d6"),
+    "zero width": "\u200b".join,
+}
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_every_disguise_is_restored(make_docs, model, bad):
+    docs = make_docs([f"alpha beta {disguise(bad)} gamma" for disguise in DISGUISES.values()])
+    rows = toxicity.score(docs, model).orderBy("doc_id").collect()
+    assert [name for name, r in zip(DISGUISES, rows, strict=True) if r.score < toxicity.THRESHOLD] == []
+
+
+def test_whole_score_equals_brute_force(make_docs, model):
+    texts = [f"{bad} z3ta" for bad in ("alpha", *BAD)] + [" ".join(CHUNKS), "a l p h a", "", "v1 g r u", "snorkw@ffle. 12 (be7a)", "d e l t a\nx"]
+    for row in toxicity.score(make_docs(texts), model).collect():
+        text, found = texts[row.doc_id], set()
+        for run in re.findall(r"(?<!\S)[^\s_](?:[\s_]+[^\s_]){2,}(?!\S)", text):
+            found.update(brute([(0.0, toxicity.spelt_steps(run))], model.characters)[1].split())
+        for chunk in text.split():
+            word = toxicity._EDGE.sub("", toxicity._EDGE.sub("", toxicity.fold(chunk)))
+            plain = word.isdigit() or sum(c in toxicity.IMITATED or "a" <= c <= "z" for c in word) < 3
+            found.add(word if plain else brute(toxicity.lattices(word), model.characters)[1])
+        evidence = {f for w in found for f in toxicity.features(w)} & set(model.words)
+        assert set(row.evidence) == evidence
+        logit = model.bias + sum(model.words[f] for f in evidence)
+        assert row.score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
 
 
 def test_character_model_is_a_distribution():
