@@ -54,3 +54,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The given names, each with as many underscores before it as ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out

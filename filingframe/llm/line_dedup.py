@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingframe.llm.common import fresh
 from filingframe.session import materialise
 
 MIN_WORDS = 50
@@ -124,30 +125,32 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def remove_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the runs of lines that occurred before; ``removed_lines`` says how many.
 
-    All other columns stay as they are, but ``n_chars``, where there is one, is
+    All other columns stay as they are, but a ``removed_lines`` is replaced, and ``n_chars``, where there is one, is
     counted again for texts that lost lines. No row is dropped: a text of nothing
     but repeated runs becomes empty. Null texts stay null; rows that repeat in
     doc_id and text count as one document and lose the same lines.
     """
+    own_id, own_hash, own_runs = fresh(docs, "_doc_id", "_text_hash", "_runs")
     runs = (
         repeated_runs(docs, min_words)
         .groupBy(*_KEY)
-        .agg(F.collect_list(F.struct("no_from", "no_to")).alias("_runs"))
-        .select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "_runs")
+        .agg(F.collect_list(F.struct("no_from", "no_to")).alias(own_runs))
+        .select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), own_runs)
     )
     joined = docs.join(
-        runs, docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.xxhash64(docs["text"]) == F.col("_text_hash")), "left"
+        runs, docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_hash)), "left"
     )
     lines = F.split(docs["text"], "\n")
 
     def kept(_: Column, i: Column) -> Column:
-        return ~F.exists("_runs", lambda r: i.between(r["no_from"], r["no_to"]))
+        return ~F.exists(own_runs, lambda r: i.between(r["no_from"], r["no_to"]))
 
-    text = F.when(F.col("_runs").isNull(), docs["text"]).otherwise(F.array_join(F.filter(lines, kept), "\n"))
+    text = F.when(F.col(own_runs).isNull(), docs["text"]).otherwise(F.array_join(F.filter(lines, kept), "\n"))
     removed = F.coalesce(
-        F.aggregate("_runs", F.lit(0), lambda n, r: n + r["no_to"] - r["no_from"] + 1), F.lit(0)
+        F.aggregate(own_runs, F.lit(0), lambda n, r: n + r["no_to"] - r["no_from"] + 1), F.lit(0)
     )
-    columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
+    # a column that the documents bring along under this name gives way
+    columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns if c.lower() != "removed_lines"]
     out = joined.select(*columns, removed.alias("removed_lines"))
     if "n_chars" in docs.columns:
         counted = F.when(F.col("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars"))

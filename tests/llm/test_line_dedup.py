@@ -5,6 +5,7 @@ import random
 import pytest
 
 from filingframe.llm import line_dedup
+from tests_words import words
 
 
 def brute(docs, min_words):
@@ -60,3 +61,12 @@ def test_awkward_rows(awkward, nothing):
     assert line_dedup.remove_repeated_runs(nothing).count() == 0
     long = [r for r in rows if r.doc_id == 12][0]
     assert len(long.text) > 100_000
+
+
+def test_columns_that_clash(make_docs):
+    run = "\n".join(words(i, 20) for i in range(4))
+    plain = make_docs([run, "own line\n" + run])
+    docs = plain.selectExpr("*", "1 as _runs", "'x' as removed_lines", "2 as _doc_id", "3 as _text_hash")
+    out = line_dedup.remove_repeated_runs(docs)
+    assert out.columns == [c for c in docs.columns if c != "removed_lines"] + ["removed_lines"]
+    assert {r.doc_id: (r.text, r.removed_lines, r._runs) for r in out.collect()} == {0: (run, 0, 1), 1: ("own line", 4, 1)}
