@@ -34,10 +34,11 @@ def _normal(line: Column) -> Column:
 
 
 def _lines(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, no, level, line`` of lines with words; ``line`` is normalised."""
-    raw = messages.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("no", "raw"))
+    """``conv_id, turn, text_hash, no, level, line`` of lines with words; ``line`` is normalised."""
+    hashed = messages.select("conv_id", "turn", "text", F.xxhash64("text").alias("text_hash"))
+    raw = hashed.select("conv_id", "turn", "text_hash", F.posexplode(F.split("text", "\n")).alias("no", "raw"))
     return raw.select(
-        "conv_id", "turn", "no", _level(F.col("raw")).alias("level"), _normal(F.col("raw")).alias("line")
+        "conv_id", "turn", "text_hash", "no", _level(F.col("raw")).alias("level"), _normal(F.col("raw")).alias("line")
     ).filter("line != ''")
 
 
@@ -79,7 +80,7 @@ def links(messages: DataFrame) -> DataFrame:
     Rows without conversation or turn, or with null text, take no part.
     """
     lines = _lines(messages.filter("conv_id is not null and turn is not null and text is not null"))
-    message = Window.partitionBy("conv_id", "turn").orderBy("no")
+    message = Window.partitionBy("conv_id", "turn", "text_hash").orderBy("no")
     passages = (
         lines.withColumn("new", (F.col("level") != F.coalesce(F.lag("level").over(message), F.lit(-1))).cast("int"))
         .withColumn("passage", F.sum("new").over(message.rowsBetween(Window.unboundedPreceding, 0)))
@@ -89,11 +90,11 @@ def links(messages: DataFrame) -> DataFrame:
     votes = (
         passages.join(_origins(lines), ["conv_id", "turn", "h"])
         .filter("origin is not null")
-        .groupBy("conv_id", "turn", "level", "passage", "origin")
+        .groupBy("conv_id", "turn", "text_hash", "level", "passage", "origin")
         .agg(F.sum(F.length("line")).alias("chars"), F.min("no").alias("no"))
     )
     return (
-        votes.groupBy("conv_id", "turn", "level", "passage")
+        votes.groupBy("conv_id", "turn", "text_hash", "level", "passage")
         .agg(F.max(F.struct("chars", "origin")).alias("best"), F.min("no").alias("no"))
         .select("conv_id", "turn", "level", "no", F.col("best.origin").alias("reply_to"), F.col("best.chars").alias("chars"))
     )
@@ -127,8 +128,9 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     ``text`` has the message's own lines alone, without blank lines at its ends; ``reply_to``
     is null where nothing is quoted that was written before, ``thread`` is the turn
     that the thread begins with, and ``depth`` the number of replies from there. Reading
-    a conversation by (thread, turn) gives its reply order. Null texts stay null; messages that
-    repeat in conversation and turn each keep their row and share their links.
+    a conversation by (thread, turn) gives its reply order. Null texts stay null; messages of one
+    conversation and turn are read apart, each keeps its row, and they share the best link of them all.
+    No messages give no rows, and other columns are not looked at.
     """
     found = links(messages.select("conv_id", "turn", "text"))
     # the least level is what the message answers; its longest passage, then the latest original

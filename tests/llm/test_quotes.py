@@ -79,3 +79,11 @@ def test_sql_twin(spark, make, tmp_path):
     want = con.execute(quotes.SQL).fetchall()
     got = [tuple(r) for r in quotes.reply_ordered(table).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_messages_of_one_turn_are_read_apart(make):
+    rows = [(1, 0, "first"), (1, 1, "second"), (1, 2, "> first\nan answer"), (1, 2, "own words\n> second"), (1, 3, "> own words\nend")]
+    found = [sorted(map(str, quotes.links(make(order)).collect())) for order in (rows, rows[::-1], rows[2:] + rows[:2])]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 3
+    whole = [sorted(map(str, quotes.reply_ordered(make(order)).collect())) for order in (rows, rows[::-1])]
+    assert whole[0] == whole[1]
