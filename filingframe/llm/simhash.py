@@ -25,9 +25,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from filingframe.llm import components
-from filingframe.llm.common import short_batches, texts
+from filingframe.llm.common import fresh, short_batches, texts
 from filingframe.session import materialise
 
 MAX_BITS = 4
@@ -370,20 +371,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, bits: int = SIMILAR_BITS) ->
     return prints.select("doc_id", "fp", "same").join(classes, key).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = 5, bits: int = SIMILAR_BITS) -> DataFrame:
-    """``docs`` with the document of least doc_id of each component, all columns as they were.
+def keep_one(docs: DataFrame, size: int = 4, bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component, all columns as they were.
 
-    Rows that repeat a doc_id are one document, of which the least text stays. Rows
-    without doc_id cannot be told apart by it and all stay.
+    It is the row of least doc_id, null ids last, then of least text hash. So texts that share a
+    doc_id are told apart, rows without id take part, and of rows that repeat in id
+    and text one stays (least in its other columns). Null texts are empty texts, which
+    are copies of each other and of all texts without words; an empty table stays empty.
     """
-    named = docs.filter("doc_id is not null")
-    found = near_duplicates(named, size, bits)
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    own_id, own_hash, number = fresh(docs, "_doc_id", "_text_hash", "_number")
+    # a text stands for itself here, whatever ids its rows have
+    texts_ = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    classes = near_duplicates(texts_, size, bits).select(F.col("doc_id").alias(own_hash), "component_id").distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"))
+    # reduced before they meet, so a text with very many copies is one row
+    first = docs.groupBy(F.xxhash64("text").alias(own_hash)).agg(F.min(place).alias("place"))
     kept = (
-        named.join(stay, named["doc_id"] == stay["_stays"], "left_semi")
-        .withColumn("_number", F.row_number().over(one))
-        .filter("_number = 1")
-        .select(*[named[c] for c in docs.columns])
+        first.join(classes, own_hash)
+        .groupBy("component_id")
+        .agg(F.min(F.struct("place.unnamed", "place.id", own_hash)).alias("one"))
+        .select(F.col("one.id").alias(own_id), F.col(f"one.{own_hash}").alias(own_hash))
     )
-    return kept.union(docs.filter("doc_id is null"))
+    same = docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_hash))
+    rest = [docs[f.name] for f in docs.schema.fields if f.name != "text" and not isinstance(f.dataType, MapType)]
+    one = Window.partitionBy(docs["doc_id"], F.xxhash64(docs["text"])).orderBy(*rest)
+    stay = docs.join(kept, same, "left_semi").withColumn(number, F.row_number().over(one))
+    return stay.filter(F.col(number) == 1).drop(number)

@@ -104,14 +104,36 @@ def test_components_of_a_path_and_a_star(spark):
     assert components.roots(edges.filter("false")).count() == 0
 
 
+def brute_kept(rows, bits=4):
+    """Least (null id, id, text hash unknown) of each component of distinct texts, by brute force."""
+    prints = {t: brute_fingerprint(t or "", 4) for _, t in rows}
+    classes = brute_components([(i, prints[t]) for i, (_, t) in enumerate(rows)], bits)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(classes[prints[t]], []).append((i is None, i or 0, t))
+    return groups
+
+
 def test_one_of_each_group_stays(make_docs):
     base = words(11, 400)
     near = base.split()
     near[200] = "changed"
-    docs = make_docs([base, " ".join(near), base, words(12, 400), None, "", (3, words(12, 400)), (None, base)])
+    rows = [(0, base), (1, " ".join(near)), (2, base), (3, words(12, 400)), (4, None), (5, ""), (3, words(13, 400)), (None, base), (None, words(14, 50)), (6, words(14, 50)), (None, words(15, 50)), (None, words(15, 50))]
+    for order in (rows, rows[::-1]):
+        docs = make_docs(order)
+        kept = simhash.keep_one(docs)
+        assert kept.columns == docs.columns
+        got = [(r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()]
+        want = [min(g, key=lambda x: x[:2])[:2] for g in brute_kept(rows).values()]
+        assert sorted(x[:2] for x in got) == sorted(want)
+        # unlike texts of one id both stay
+        assert {words(12, 400), words(13, 400)} <= {t for _, _, t in got}
+
+
+def test_columns_that_clash_and_map_columns(make_docs):
+    docs = make_docs([words(1, 60), words(1, 60), words(2, 60)]).selectExpr("*", "1 as _number", "2 as _doc_id", "3 as _text_hash", "map('a', 1) as m")
     kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 0), (False, 3), (False, 4), (True, 0)]
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2]
 
 
 def test_only_similar_texts_are_linked(make_docs):
@@ -136,7 +158,7 @@ def test_only_similar_texts_are_linked(make_docs):
     near = [(a ^ b).bit_count() <= 12 for a, b in prints]
     assert any(s and not n for s, n in zip(similar, near, strict=True))  # copies beyond twelve bits
     assert any(n and not s for s, n in zip(similar, near, strict=True))  # and others within
-    kept = {r.doc_id for r in simhash.keep_one(make_docs(texts)).collect()}
+    kept = {r.doc_id for r in simhash.keep_one(make_docs(texts), 5, simhash.SIMILAR_BITS).collect()}
     assert kept == set(range(240)) - {2 * i + 1 for i, s in enumerate(similar) if s}
 
 
