@@ -153,6 +153,18 @@ def cheapest(steps: Steps, costs: list[float]) -> tuple[float, str]:
     paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for options in steps:
         ahead: dict[int, tuple[float, tuple | None]] = {}
+        if len(options) == 1 and options[0][0].isalpha() and len(options[0][0]) == 1:
+            # a letter that stands for itself
+            meant, extra = options[0]
+            code = ord(meant) - 96
+            for state, (cost, way) in paths.items():
+                at = state * SYMBOLS + code
+                total = cost + extra + costs[at]
+                s = at % states
+                if s not in ahead or total < ahead[s][0]:
+                    ahead[s] = (total, (way, meant))
+            paths = ahead
+            continue
         for state, (cost, way) in paths.items():
             for meant, extra in options:
                 s, total = state, cost + extra
@@ -319,13 +331,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
                 yield flush()
         yield flush()
 
-    # at most `sample` rows of two numbers
+    # at most `sample` rows of two numbers each: sampled ids, then their distinct texts by hash, since
+    # copies of one text are no further witness of its words, and an id may repeat with other texts
     chosen = F.broadcast(_sample(labels, sample).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")))
-    rows = texts(docs).join(chosen, "doc_id").select("text", "toxic")
-    # copies of one text are no further witness of its words
-    once = rows.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.first("text").alias("text"))
-    # an id that repeats with other texts brings no more of them than there are sampled ids
-    once = once.orderBy("h", "toxic").limit(sample).select("text", "toxic")
+    hashed = texts(docs).withColumn("h", F.xxhash64("text"))
+    keys = hashed.select("doc_id", "h").join(chosen, "doc_id").select("h", "toxic").distinct()
+    keys = F.broadcast(keys.orderBy("h", "toxic").limit(sample))
+    once = hashed.join(keys, "h").groupBy("h", "toxic").agg(F.first("text").alias("text")).select("text", "toxic")
     n, toxic = F.col("clean") + F.col("toxic"), F.col("toxic")
     share = toxic / n
     margin = Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))
