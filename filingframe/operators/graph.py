@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filingframe.functions.calendar import month_key, period_digits, quarter_key
 from filingframe.functions.text import strip
 from filingframe.operators.board import representatives
+from filingframe.operators.frame import row_numbers
 
 GRAINS = ("year", "quarter", "month")
 ROW_ORDER = ("assembly_date", "url", "row_no")
@@ -129,13 +130,15 @@ def seat_months(members: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFra
     rows = _seat_rows(members.transform(representatives)).withColumn(
         "month", month_key("assembly_date")
     )
-    first = F.struct(*_seq(order), "rep_name")
-    kept = list(dict.fromkeys([*order, "year", "month", "company", "rep_key", "rep_name"]))
+    # a condition of the aggregate, as a filter would be pushed below and evaluate ids and names again
+    first = F.when(F.col("rep_is_person"), F.struct(*_seq(order), "rep_name"))
+    kept = list(dict.fromkeys([*order, "year", "month", "company", "rep_key", "rep_name", "rep_is_person"]))
     return (
-        rows.where("rep_is_person and company is not null")
+        rows.where("company is not null")
         .select(*kept)
         .groupBy("rep_key", "company", "month", "year")
         .agg(F.min(first).alias("first"))
+        .where("first is not null")
     )
 
 
@@ -174,58 +177,94 @@ def interlock_groups(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataF
     )
 
 
-def interlock_edges(
-    months: DataFrame, grains: Sequence[str] = GRAINS, block: int = BLOCK
-) -> DataFrame:
-    """Every company pair ``a < b`` that shares a person in a period.
+def _cells(seats: DataFrame, groups: DataFrame, keys: Sequence[str], company: str, block: int) -> DataFrame:
+    """``seats`` with the sizes of their ``groups``, a row for every cell ``_lo, _hi`` of blocks.
 
-    The pairs are the result, so none may be left out. A person with more than
-    ``block`` companies is cut into blocks by company hash, and each pair of
-    blocks becomes a join key of its own: a hot person is spread over many tasks.
+    A group with more than ``block`` companies is cut into blocks by company hash, and
+    each pair of blocks is a join key of its own: a hot person is spread over many tasks.
     """
-    groups = interlock_groups(months, grains)
     blocks = F.ceil(F.col("companies") / F.lit(float(block))).cast("int")
-    keys = ["rep_key", "period", "grain"]
-    placed = (
-        incidence(months, grains)
-        .join(groups.select(*keys, blocks.alias("_n"), "rep_name", "rep_id"), keys)
-        .withColumn("_mine", F.pmod(F.xxhash64("company"), F.col("_n")).cast("int"))
+    placed = seats.join(groups.withColumn("_n", blocks).drop("companies", "pairs"), list(keys))
+    return (
+        placed.withColumn("_mine", F.pmod(F.xxhash64(company), F.col("_n")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-        .select(
-            *keys,
-            "company",
-            "rep_name",
-            "rep_id",
-            "_mine",
-            F.least("_mine", "_other").alias("_lo"),
-            F.greatest("_mine", "_other").alias("_hi"),
-        )
+        .withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")})
+        .drop("_n", "_other")
     )
-    cell = [*keys, "_lo", "_hi"]
+
+
+def _pairs(cells: DataFrame, keys: Sequence[str], company: str) -> DataFrame:
+    """Rows ``x`` and ``y`` of a group with ``x.company < y.company``, each pair once."""
     # both sides have the same columns, so one exchange serves them both
-    left, right = placed.alias("x"), placed.alias("y")
+    left, right = cells.alias("x"), cells.alias("y")
     # two companies of the same block meet only in that block's own cell
     proper = (F.col("x._lo") == F.col("x._hi")) | (F.col("x._mine") != F.col("y._mine"))
-    return (
-        left.join(right, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in cell])
-        .where((F.col("x.company") < F.col("y.company")) & proper)
-        .select(
-            "x.grain",
-            "x.period",
-            F.col("x.company").alias("a"),
-            F.col("y.company").alias("b"),
-            F.coalesce("x.rep_name", "y.rep_name").alias("rep_name"),
-            F.coalesce("x.rep_id", "y.rep_id").alias("rep_id"),
-            "x.rep_key",
-        )
+    return left.join(right, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in (*keys, "_lo", "_hi")]).where(
+        (F.col(f"x.{company}") < F.col(f"y.{company}")) & proper
+    )
+
+
+def interlock_edges(
+    months: DataFrame, grains: Sequence[str] = GRAINS, block: int = BLOCK
+) -> DataFrame:
+    """Every company pair ``a < b`` that shares a person in a period.
+
+    The pairs are the result, so none may be left out; see :func:`_cells` for hot people.
+    """
+    keys = ["rep_key", "period", "grain"]
+    cells = _cells(incidence(months, grains), interlock_groups(months, grains), keys, "company", block)
+    return _pairs(cells, keys, "company").select(
+        "x.grain",
+        "x.period",
+        F.col("x.company").alias("a"),
+        F.col("y.company").alias("b"),
+        F.coalesce("x.rep_name", "y.rep_name").alias("rep_name"),
+        F.coalesce("x.rep_id", "y.rep_id").alias("rep_id"),
+        "x.rep_key",
     )
 
 
-def interlock_weights(edges: DataFrame) -> DataFrame:
-    """Number of shared people per period and company pair."""
-    return edges.groupBy("grain", "period", "a", "b").agg(
-        F.count_distinct("rep_key").alias("shared")
+def interlock_weights(
+    months: DataFrame, grains: Sequence[str] = GRAINS, block: int = BLOCK
+) -> DataFrame:
+    """Number of shared people per period and company pair.
+
+    The product of the incidence with itself, in integers: companies and periods are
+    numbered in their order, and a person is the number that the ten digits of
+    ``rep_key`` spell. A seat is there once, so a pair counts one for each person; the
+    counts are summed before the exchange of pairs, which carries three numbers and a
+    count. Names come last.
+    """
+    companies = row_numbers(months.select("company").distinct(), ["company"], "company_no")
+    dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
+    # few columns first: the periods of the months, not of every seat
+    spans = dated.select("month", "year", "assembly_date").distinct()
+    spans = spans.select("month", "year", F.inline(_periods(grains))).where("period is not null")
+    periods = row_numbers(spans.select("grain", "period").distinct(), ["grain", "period"], "period_no")
+    numbered = spans.join(periods, ["grain", "period"]).groupBy("month", "year").agg(
+        F.collect_list("period_no").alias("numbers")  # one a grain
+    )
+    # a month or year may be missing, and still belongs to the periods of the other
+    same = F.col("s.month").eqNullSafe(F.col("n.month")) & F.col("s.year").eqNullSafe(F.col("n.year"))
+    seats = (
+        months.select("rep_key", "company", "month", "year").alias("s")
+        .join(numbered.alias("n"), same)
+        .join(companies, "company")
+        .select(F.col("rep_key").cast("bigint").alias("person"), "company_no", F.explode("numbers").alias("period_no"))
+        .distinct()
     )
+    keys = ["person", "period_no"]
+    groups = seats.groupBy(*keys).agg(F.count(F.lit(1)).alias("companies")).where("companies >= 2")
+    pairs = _pairs(_cells(seats, groups, keys, "company_no", block), keys, "company_no")
+    shared = pairs.groupBy(
+        "x.period_no", F.col("x.company_no").alias("a_no"), F.col("y.company_no").alias("b_no")
+    ).agg(F.count(F.lit(1)).alias("shared"))
+
+    def named(side: str) -> DataFrame:
+        return companies.select(F.col("company_no").alias(f"{side}_no"), F.col("company").alias(side))
+
+    named_pairs = shared.join(periods, "period_no").join(named("a"), "a_no").join(named("b"), "b_no")
+    return named_pairs.select("grain", "period", "a", "b", "shared")
 
 
 def period_nodes(

@@ -293,7 +293,7 @@ def interlock_groups(spark, path):
     ),
 )
 def interlock_weights(spark, path):
-    return graph.interlock_weights(graph.interlock_edges(_months(board_members(spark, path))))
+    return graph.interlock_weights(_months(board_members(spark, path)))
 
 
 @query(

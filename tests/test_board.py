@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
@@ -167,6 +167,26 @@ def test_interlocks_of_a_hot_person_equal_brute_force(spark, block):
     assert got == wanted and len(edges) == len(wanted)
     groups = graph.interlock_groups(months)
     assert groups.agg(F.sum("pairs")).first()[0] == len(wanted)
+    weights = graph.interlock_weights(months, block=block)
+    counted = Counter((g, p, a, b) for g, p, a, b, _ in wanted)
+    assert {tuple(r[:4]): r["shared"] for r in weights.collect()} == counted
+
+
+def test_pairs_are_counted_in_numbers(spark):
+    rows = [(f"c{i}", "x", "0000000001", f"1402{m}01") for i in range(3) for m in ("01", "02")]
+    months = graph.seat_months(members(spark, rows))
+    plan = graph.interlock_weights(months)._jdf.queryExecution().optimizedPlan().toString()
+    summed = next(line for line in plan.splitlines() if "count(1)" in line and "period_no" in line and "b_no" in line)
+    assert "rep_key" not in summed and "rep_name" not in summed
+
+
+def test_a_seat_without_a_year_counts_in_its_month(spark):
+    rows = [("a", "x", "0000000001", "14020101"), ("b", "x", "0000000001", "14020101")]
+    seats = members(spark, rows).withColumn("year", F.lit(None).cast("string"))
+    months = graph.seat_months(seats)
+    found = sorted(tuple(r) for r in graph.interlock_weights(months).collect())
+    assert found == [("month", "140201", "a", "b", 1), ("quarter", "1402Q1", "a", "b", 1)]
+    assert graph.interlock_weights(months.limit(0)).count() == 0
 
 
 def test_a_broken_page_keeps_its_links_and_gives_an_error(spark):
