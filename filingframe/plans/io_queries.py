@@ -224,7 +224,7 @@ def board_load(spark, path):
         sinks.write_csv(part, f"{folder}/urls-{run}", bom=False)
         stream = ingest.read_url_stream(spark, f"{folder}/urls-{run}")
         ingest.load_board_members(stream, f"{folder}/pages", f"{folder}/out", f"{folder}/checkpoint-{run}")
-    members = readers.read_parquet(spark, f"{folder}/out/members")
+    members = ingest.loaded(spark, f"{folder}/out", "members")
     numbered = members.withColumn("row_no", F.when(F.col("prev_member") == "", 0).otherwise(1))
     return numbered.select(MEMBER)
 

@@ -11,7 +11,7 @@ from filingframe.operators import ledger
 from filingframe.plans.catalog import query
 from filingframe.plans.views import Tables, fetch_log, log_of_events, with_views
 from filingframe.session import shared_dir
-from filingframe.streaming import ingest, state
+from filingframe.streaming import ingest, snapshot, state
 
 DAY = 86400
 NOW = "2024-01-30 12:00:00"
@@ -106,6 +106,21 @@ def ledger_state(spark, path):
     return found.withColumn("created_at", F.unix_micros("created_at"))
 
 
+@query(
+    "ledger_state_merged",
+    with_views("fetch_log", f", {STATE_SQL} SELECT request_key, created_at, state FROM latest"),
+)
+def ledger_state_merged(spark, path):
+    """The state from a snapshot that took the log in three deltas, one of them late."""
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/snapshot-{uuid.uuid4().hex}"
+    log = _log(spark, path)
+    part = F.pmod(F.dayofyear("created_at"), F.lit(3))
+    for number in (1, 2, 0):
+        snapshot.merge(log.where(part == number), folder, buckets=8)
+    found = ledger.ledger_state(snapshot.read(spark, folder), NOW)
+    return found.withColumn("created_at", F.unix_micros("created_at"))
+
+
 @query(
     "request_state",
     with_views(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import datetime_to_num
 from filingframe.functions.text import norm_text
 from filingframe.operators import aggregates as agg
-from filingframe.operators import frame, profile, search
+from filingframe.operators import frame, pages, profile, search, sketches
 from filingframe.plans.catalog import query
 from filingframe.plans.views import BASE, Tables, letters, with_views
+from filingframe.session import materialise, shared_dir
 
 CORE = ["tracing_no", "symbol", "letter_code", "publish_date_time"]
 CORE_SQL = "tracing_no, symbol, letter_code, publish_date_time"
@@ -458,6 +461,58 @@ def result_page(spark, path):
     return letters(spark, path).select(CORE).transform(frame.page_of, ORDER, 3)
 
 
+@query(
+    "stored_page",
+    with_views(
+        "letters",
+        f"""SELECT tracing_no, publish_date_time, row_no FROM (SELECT tracing_no, publish_date_time,
+ row_number() OVER ({OLDEST}) AS row_no FROM letters) WHERE row_no BETWEEN 976 AND 1050""",
+    ),
+)
+def stored_page(spark, path):
+    """A page that crosses a border of the stored ranges."""
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/pages-{uuid.uuid4().hex}"
+    pages.write_ordered(letters(spark, path).select("tracing_no", "publish_date_time"), folder, ORDER, span=1000)
+    return pages.read_page(spark, folder, 14, 75)
+
+
+PROFILED = {
+    "o_custkey": "BIGINT", "o_orderpriority": "VARCHAR", "o_orderstatus": "VARCHAR", "o_totalprice": "DOUBLE"
+}
+
+
+@query(
+    "united_profile",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", count(*) - count({c}) AS nulls,"
+        f" {'CAST(min(' + c + ') AS DOUBLE)' if k != 'VARCHAR' else 'CAST(NULL AS DOUBLE)'} AS least,"
+        f" {'CAST(max(' + c + ') AS DOUBLE)' if k != 'VARCHAR' else 'CAST(NULL AS DOUBLE)'} AS most,"
+        f" true AS distinct_close, {'true' if k != 'VARCHAR' else 'CAST(NULL AS BOOLEAN)'} AS median_close FROM orders"
+        for c, k in PROFILED.items()
+    ),
+)
+def united_profile(spark, path):
+    """Profiles of the years of orders, united; estimates are held against exact counts of all rows."""
+    orders = Tables(spark, path).orders
+    parts = sketches.profile_parts(orders.select(F.year("o_orderdate").alias("part"), *PROFILED), "part")
+    # kept as a table, as a load would; the union reads the sketches alone
+    found = sketches.estimates(sketches.unite(materialise(parts, "profile-parts")))
+    exact = profile.column_info(orders.select(*PROFILED), sample=False)
+    # two rows of numbers at most, one for each of the columns
+    medians = F.broadcast(found.where("q1 is not null").select("column", "q1"))
+    numbers = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c, k in PROFILED.items() if k != "VARCHAR"]
+    below = (
+        orders.select(F.inline(F.array(*numbers))).join(medians, "column")
+        .groupBy("column").agg((F.count_if(F.col("v") <= F.col("q1")) / F.count("v")).alias("share"))
+    )
+    error = F.abs(F.col("distinct") - F.col("unique_count")) / F.greatest("unique_count", F.lit(1))
+    return found.join(exact, "column").join(below, "column", "left").select(
+        "column", "rows", "nulls", "least", "most",
+        (error <= 0.05).alias("distinct_close"),
+        F.col("share").between(0.48, 0.52).alias("median_close"),
+    )
+
+
 @query(
     "result_page_after_key",
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > 1200"

@@ -15,6 +15,7 @@ from filingframe.operators.frame import drop_duplicates, filter_valid_urls
 from filingframe.schemas import BOARD_MEMBER, FETCH_ERROR
 from filingframe.session import drop, materialise
 from filingframe.sources.html import board_rows, page_errors, pages_of_urls, parse_board_pages
+from filingframe.streaming import commits
 
 
 # Files of one micro-batch, which bounds what the first run takes at once.
@@ -40,10 +41,10 @@ def touched(batch: DataFrame, target_path: str, schema: T.StructType, key: str =
     return target.where(F.col(PART).isin(parts)).drop(PART)
 
 
-def append(rows: DataFrame, target_path: str, key: str = "url") -> None:
-    """Append to the folders of the rows' keys, a file each."""
+def append(rows: DataFrame, target_path: str, key: str = "url", below: tuple[str, ...] = ()) -> None:
+    """Append to the folders of the rows' keys, a file each; ``below`` names columns of further levels."""
     placed = rows.withColumn(PART, part_of(key)).repartition(PART)
-    placed.write.mode("append").partitionBy(PART).parquet(target_path)
+    placed.write.mode("append").partitionBy(PART, *below).parquet(target_path)
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -88,31 +89,54 @@ def load_new_rows(stream: DataFrame, target_path: str, checkpoint: str, key: str
     run_available(stream, lambda batch, _: append_unseen(batch, target_path, key), checkpoint)
 
 
+#: Tables that a load fills together.
+LOADED = {"members": BOARD_MEMBER, "errors": FETCH_ERROR}
+
+
+def _with_attempt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(commits.ATTEMPT, T.StringType())])
+
+
+def loaded(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """Table ``members`` or ``errors`` of a load: the rows of its committed batches."""
+    schema = _with_attempt(LOADED[name])
+    table = spark.read.schema(schema).parquet(f"{target}/{name}")
+    return commits.visible(table, commits.records(spark, f"{target}/commits"))
+
+
 def load_board_members(
     urls: DataFrame, pages_path: str, target: str, checkpoint: str, url_column: str = "url"
 ) -> None:
-    """URL stream -> ``target/members`` (in folders by URL) and ``target/errors``.
+    """URL stream -> ``members`` and ``errors`` below ``target``; read them with :func:`loaded`.
 
-    URLs already in the members table are left out, so an interrupted load
-    resumes. Members are written before errors: after a crash in between, the
-    replay only repeats failed pages.
+    URLs already among the members are left out, so an interrupted load resumes.
+    Members and errors of a micro-batch become visible together, by its commit record: after a
+    crash before it the batch is done anew, after one behind it the replay finds it done.
     """
     spark = urls.sparkSession
-    members_path, errors_path = f"{target}/members", f"{target}/errors"
+    members_path, errors_path, record = f"{target}/members", f"{target}/errors", f"{target}/commits"
     create_table(spark, members_path, BOARD_MEMBER)
     create_table(spark, errors_path, FETCH_ERROR)
 
-    def each_batch(batch: DataFrame, _: int) -> None:
+    def each_batch(batch: DataFrame, number: int) -> None:
+        stream = commits.stream_id(spark, checkpoint)
+        if commits.is_committed(spark, record, stream, number):
+            return
         wanted = filter_valid_urls(batch, url_column).select(strip(url_column).alias("url"))
-        done = touched(wanted, members_path, BOARD_MEMBER)
+        near = touched(wanted, members_path, _with_attempt(BOARD_MEMBER))
+        done = commits.visible(near, commits.records(spark, record))
         pages = spark.read.parquet(pages_path)
         # written, since what is appended below would change what is unseen
         fresh = materialise(unseen(wanted, done), "unseen")
         parsed = parse_board_pages(pages_of_urls(fresh, pages)).persist()
+        attempt = commits.new_attempt()
+        name = F.lit(attempt)
         try:
-            rows = board_rows(parsed).drop("row_no")
-            append(board_records(rows), members_path)
-            page_errors(parsed).write.mode("append").parquet(errors_path)
+            rows = board_records(board_rows(parsed).drop("row_no"))
+            append(rows.withColumn(commits.ATTEMPT, name), members_path, below=(commits.ATTEMPT,))
+            errors = page_errors(parsed).withColumn(commits.ATTEMPT, name)
+            errors.write.mode("append").partitionBy(commits.ATTEMPT).parquet(errors_path)
+            commits.commit_batch(spark, record, stream, number, attempt)
         finally:
             parsed.unpersist()
             drop(fresh)

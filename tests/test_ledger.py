@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingframe.operators import ledger
-from filingframe.streaming import ingest, state
+from filingframe.streaming import commits, ingest, snapshot, state
 
 START = datetime(2024, 1, 1)
 
@@ -190,11 +190,84 @@ def test_board_load_resumes(spark, tmp_path):
         (tmp_path / "in" / name).write_text("url\n" + "\n".join(urls) + "\n")
         stream = ingest.read_url_stream(spark, str(tmp_path / "in"))
         ingest.load_board_members(stream, pages, target, str(tmp_path / "cp"))
-        members = spark.read.parquet(f"{target}/members")
-        errors = spark.read.parquet(f"{target}/errors")
+        members, errors = (ingest.loaded(spark, target, n) for n in ("members", "errors"))
         return (sorted(r["company"] for r in members.collect()),
                 sorted((r["url"], r["error_type"]) for r in errors.collect()))
 
     failed = [("http://bad", "selector_not_found"), ("http://gone", "navigation")]
     assert load("1.csv", ["http://a ", "http://bad", "ftp://x", "", "http://gone"]) == (["a"], failed)
     assert load("2.csv", ["http://a", "http://b"]) == (["a", "b"], failed)
+
+
+@pytest.mark.parametrize("when", ["before the record", "behind the record"])
+def test_a_load_that_dies_leaves_no_half_batch(spark, tmp_path, monkeypatch, when):
+    cells = "".join(f"<td>x{i}</td>" for i in range(12))
+    html = (f'<span id="lblCompany">a</span><table id="dgAssemblyBoardMember">'
+            f'<tr class="GridItem">{cells}</tr></table>')
+    pages, target = str(tmp_path / "pages"), str(tmp_path / "out")
+    rows = [("http://a", html), ("http://bad", "<p></p>")]
+    spark.createDataFrame(rows, "url string, html string").write.parquet(pages)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("url\nhttp://a\nhttp://bad\n")
+
+    def load():
+        stream = ingest.read_url_stream(spark, str(tmp_path / "in"))
+        ingest.load_board_members(stream, pages, target, str(tmp_path / "cp"))
+
+    def seen():
+        return [sorted(r["url"] for r in ingest.loaded(spark, target, n).collect()) for n in ("members", "errors")]
+
+    record = commits.commit_batch
+
+    def dies(*args):
+        if when == "behind the record":
+            record(*args)
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "commit_batch", dies)
+        with pytest.raises(Exception, match="executor lost"):
+            load()
+    # both tables were written, and count only with the record
+    assert spark.read.parquet(f"{target}/members").count() > 0
+    assert seen() == ([[], []] if when == "before the record" else [["http://a"], ["http://bad"]])
+    load()
+    assert seen() == [["http://a"], ["http://bad"]]
+
+
+def entries(spark, rows):
+    return spark.createDataFrame(rows, "request_key string, created_at timestamp, ttl_seconds int")
+
+
+def test_a_snapshot_equals_the_whole_log(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"k{rng.randrange(40)}", START + timedelta(seconds=rng.randrange(50)), rng.randrange(5)) for _ in range(400)]
+    rows += [(None, START, 1), (None, START, 2), ("k1", None, 9)]
+    path = str(tmp_path / "snapshot")
+    for part in (rows[:150], rows[150:151], rows[151:], rows[:20], []):
+        snapshot.merge(entries(spark, part), path, buckets=8)
+    wanted = {}
+    for key, at, ttl in rows:
+        new = (at or datetime.min, ttl)
+        wanted[key] = max(wanted.get(key, new), new)
+    got = [(r["request_key"], (r["created_at"], r["ttl_seconds"])) for r in snapshot.read(spark, path).collect()]
+    assert dict(got) == wanted and len(got) == len(wanted)
+
+
+def test_a_merge_rewrites_only_the_buckets_of_its_keys(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "snapshot")
+    assert snapshot.read(spark, path).count() == 0
+    first = snapshot.merge(entries(spark, [(f"k{i}", START, 1) for i in range(200)]), path, buckets=8)
+    assert first == list(range(8))
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "snapshot").rglob("*.parquet")}
+    later = entries(spark, [("k7", START + timedelta(days=1), 5)])
+    # the number of buckets stays what it was
+    (bucket,) = snapshot.merge(later, path, buckets=3)
+    new = [f for f in (tmp_path / "snapshot" / "entries").rglob("*.parquet") if f not in files]
+    assert new and all(f"key_bucket={bucket}/" in str(f) for f in new)
+    assert all(f.stat().st_mtime_ns == at for f, at in files.items())
+    # entries of a merge that never came to its record do not count
+    monkeypatch.setattr(snapshot, "commit", lambda *_: None)
+    snapshot.merge(entries(spark, [("lost", START, 1)]), path)
+    found = {r["request_key"]: r["ttl_seconds"] for r in snapshot.read(spark, path).collect()}
+    assert len(found) == 200 and found["k7"] == 5 and "lost" not in found
