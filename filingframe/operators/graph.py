@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filingframe.functions.calendar import month_key, period_digits, quarter_key
 from filingframe.functions.text import strip
 from filingframe.operators.board import representatives
+from filingframe.operators.buckets import Bucketed
 from filingframe.operators.frame import row_numbers
 
 GRAINS = ("year", "quarter", "month")
@@ -142,8 +143,17 @@ def seat_months(members: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFra
     )
 
 
-def incidence(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
-    """Distinct ``grain, period, rep_key, company``: all interlocks, without any pair."""
+#: Keys by which seat months may be stored in buckets: a person with many companies is in many.
+SEAT = ["rep_key", "company"]
+
+
+def incidence(months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS) -> DataFrame:
+    """Distinct ``grain, period, rep_key, company``: all interlocks, without any pair.
+
+    Months in buckets of ``SEAT`` need no exchange for it.
+    """
+    if isinstance(months, Bucketed):
+        return months.apart(lambda part: incidence(part, grains))
     dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
     return (
         # the most selective key first, which is what string sorts compare first
@@ -153,7 +163,7 @@ def incidence(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
     )
 
 
-def interlock_groups(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
+def interlock_groups(months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS) -> DataFrame:
     """People who link companies in a period: group size, pair count, name and id.
 
     Counts and periods with edges are read from here without forming pairs.
@@ -161,7 +171,8 @@ def interlock_groups(months: DataFrame, grains: Sequence[str] = GRAINS) -> DataF
     keys = ["rep_key", "period", "grain"]
     size = F.col("companies")
     sizes = incidence(months, grains).groupBy(*keys).agg(F.count(F.lit(1)).alias("companies"))
-    dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
+    rows = months.rows() if isinstance(months, Bucketed) else months
+    dated = rows.withColumn("assembly_date", F.rpad("month", 8, "01"))
     names = (
         dated.select("rep_key", "first", F.inline(_periods(grains)))
         .groupBy(*keys)
@@ -205,7 +216,7 @@ def _pairs(cells: DataFrame, keys: Sequence[str], company: str) -> DataFrame:
 
 
 def interlock_edges(
-    months: DataFrame, grains: Sequence[str] = GRAINS, block: int = BLOCK
+    months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS, block: int = BLOCK
 ) -> DataFrame:
     """Every company pair ``a < b`` that shares a person in a period.
 

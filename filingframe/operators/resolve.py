@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import d_even, from_jalali
 from filingframe.functions.text import symbol_candidates, symbol_key
+from filingframe.operators.buckets import Bucketed
 from filingframe.operators.skew import salted_join
 from filingframe.operators.textsearch import best_match
 from filingframe.session import materialise
@@ -18,6 +19,8 @@ from filingframe.session import materialise
 MAX_FORWARD_DAYS = 2
 
 PAIR = ["company", "assembly_date"]
+#: Keys of a holder snapshot, by which it may be stored in buckets.
+SNAPSHOT = ["ins_code", "d_even"]
 
 
 def correction_table(raw: DataFrame, order: str) -> DataFrame:
@@ -92,8 +95,21 @@ def resolve_instruments(
     )
 
 
-def snapshot_days(holders: DataFrame) -> DataFrame:
-    return holders.select("ins_code", "d_even").distinct()
+def snapshot_days(holders: DataFrame | Bucketed, targets: DataFrame, day: str = "day") -> DataFrame:
+    """Distinct ``ins_code, d_even`` with holders, of a stored table those alone that targets may use."""
+    if isinstance(holders, DataFrame):
+        return holders.select(*SNAPSHOT).distinct()
+    ahead = F.sequence(F.lit(0), F.lit(MAX_FORWARD_DAYS))
+    days = F.transform(ahead, lambda offset: d_even(F.date_add(day, offset)))
+    wanted = targets.select("ins_code", F.explode(days).alias("d_even")).na.drop().distinct()
+    return holders.known(wanted)
+
+
+def with_holders(holders: DataFrame | Bucketed, hits: DataFrame) -> DataFrame:
+    """Inner join by instrument and day; a day with many holders is spread."""
+    if isinstance(holders, DataFrame):
+        return salted_join(holders, hits, SNAPSHOT)
+    return holders.join(hits)
 
 
 def forward_days(targets: DataFrame, days: DataFrame, day: str = "day") -> DataFrame:
@@ -113,27 +129,27 @@ def forward_days(targets: DataFrame, days: DataFrame, day: str = "day") -> DataF
     return salted_join(spread, found, ["ins_code", "_day"], "left").select(*targets.columns, "offset", "hit")
 
 
-def as_of_forward(targets: DataFrame, holders: DataFrame, prices: DataFrame) -> DataFrame:
+def as_of_forward(targets: DataFrame, holders: DataFrame | Bucketed, prices: DataFrame) -> DataFrame:
     """Holders and price of the first day with data on ``day .. day + 2``.
 
     ``targets`` are distinct rows with ``company, assembly_date, ins_code, day``;
-    targets without data give no row.
+    targets without data give no row. Holders in buckets of ``SNAPSHOT`` are not shuffled.
     """
     first = (
-        forward_days(targets, snapshot_days(holders))
+        forward_days(targets, snapshot_days(holders, targets))
         .where("hit is not null")
         .groupBy(*targets.columns)
         .agg(F.min("hit").alias("d_even"))
     )
-    # prices meet the few targets, not their holders; a day with many holders is spread
-    return salted_join(holders, attach_prices(first, prices), ["ins_code", "d_even"])
+    # prices meet the few targets, not their holders
+    return with_holders(holders, attach_prices(first, prices))
 
 
 def attach_prices(rows: DataFrame, prices: DataFrame) -> DataFrame:
     """Left join the price of the day; a zero or missing close falls back to ``pc``."""
     close = F.coalesce(F.nullif("pClosing", F.lit(0.0)), F.col("pc"))
     known = prices.select("ins_code", "d_even", close.alias("pClosing"))
-    return rows.join(known, ["ins_code", "d_even"], "left")
+    return rows.join(known, SNAPSHOT, "left")
 
 
 @dataclass(frozen=True)
@@ -142,7 +158,7 @@ class Enrichment:
 
     attempts: DataFrame
     outcomes: DataFrame
-    holders: DataFrame
+    holders: DataFrame | Bucketed
     prices: DataFrame
 
     def shareholders(self) -> DataFrame:
@@ -161,7 +177,7 @@ class Enrichment:
             F.when(dated, F.col("win.hit")).alias("d_even"),
         )
         hits = pairs.where("d_even is not null")
-        rows = salted_join(self.holders, attach_prices(hits, self.prices), ["ins_code", "d_even"])
+        rows = with_holders(self.holders, attach_prices(hits, self.prices))
         # pairs without data skip the joins instead of piling up on a null key
         bare = pairs.where("d_even is null")
         both = rows.unionByName(bare, allowMissingColumns=True)
@@ -213,7 +229,7 @@ def enrich(
     corrections: DataFrame,
     instruments: DataFrame,
     aliases: DataFrame,
-    holders: DataFrame,
+    holders: DataFrame | Bucketed,
     prices: DataFrame,
     search: float | None = None,
 ) -> Enrichment:
@@ -228,7 +244,7 @@ def enrich(
     tries = pairs.select(*PAIR, "day", F.posexplode("candidates").alias("pos", "candidate"))
     named = tries.withColumn("name", symbol_key("candidate"))
     attempts = materialise(resolve_instruments(named, instruments, aliases, search), "attempts")
-    reached = forward_days(attempts, snapshot_days(holders))
+    reached = forward_days(attempts, snapshot_days(holders, attempts))
     fields = ["pos", "candidate", "ins_code", "isic_code", "sector_name", "z_titad"]
     hit = F.when(F.col("hit").isNotNull(), F.struct("pos", "hit", *fields[1:]))
     resolved = F.when(F.col("ins_code").isNotNull(), F.struct(*fields))

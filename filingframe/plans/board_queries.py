@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import to_jalali
 from filingframe.functions.text import persian_digits
 from filingframe.operators import aggregates as agg
-from filingframe.operators import board, graph
+from filingframe.operators import board, buckets, graph
 from filingframe.plans.catalog import query
 from filingframe.plans.views import Tables, board_members, sql_jalali, text, with_views
-from filingframe.session import materialise
+from filingframe.session import materialise, shared_dir
 from filingframe.sources import html
 
 # ----------------------------------------------------------------- page links
@@ -296,25 +298,35 @@ def interlock_weights(spark, path):
     return graph.interlock_weights(_months(board_members(spark, path)))
 
 
-@query(
-    "report_interlock_periods",
-    with_views(
-        "board_rep",
-        f""", {SEATS_SQL}, g AS (SELECT grain, period, rep_key, count(*) AS c FROM seats
+OVERVIEW_SQL = with_views(
+    "board_rep",
+    f""", {SEATS_SQL}, g AS (SELECT grain, period, rep_key, count(*) AS c FROM seats
   GROUP BY ALL HAVING count(*) >= 2)
 SELECT grain, period, people, edges, companies FROM
  (SELECT grain, period, count(*) AS people, CAST(sum(c * (c - 1) / 2) AS BIGINT) AS edges
   FROM g GROUP BY ALL) JOIN
  (SELECT grain, period, count(DISTINCT company) AS companies FROM periods GROUP BY ALL)
  USING (grain, period)""",
-    ),
 )
+
+
+@query("report_interlock_periods", OVERVIEW_SQL)
 def report_interlock_periods(spark, path):
     members = board_members(spark, path)
     groups = graph.interlock_groups(_months(members))
     return graph.period_overview(groups, graph.period_nodes(members, groups))
 
 
+@query("stored_interlock_periods", OVERVIEW_SQL)
+def stored_interlock_periods(spark, path):
+    """The same from seats that lie in buckets of person and company."""
+    members = board_members(spark, path)
+    folder = f"{shared_dir(spark)}/seats-{uuid.uuid4().hex}"
+    seats = buckets.write(_months(members), folder, graph.SEAT)
+    groups = graph.interlock_groups(seats)
+    return graph.period_overview(groups, graph.period_nodes(members, groups))
+
+
 # --------------------------------------------------------------------- reports
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from filingframe.operators import frame, resolve, textsearch
+from filingframe.operators import buckets, frame, resolve, textsearch
 from filingframe.plans.catalog import query
 from filingframe.plans.views import (
     Tables,
@@ -16,6 +18,7 @@ from filingframe.plans.views import (
     prices,
     with_views,
 )
+from filingframe.session import shared_dir
 
 
 def _corrections(spark, path):
@@ -26,13 +29,13 @@ def _pairs(spark, path):
     return resolve.assembly_pairs(assemblies(spark, path), _corrections(spark, path))
 
 
-def _enriched(spark, path):
+def _enriched(spark, path, held=None):
     return resolve.enrich(
         assemblies(spark, path),
         _corrections(spark, path),
         instruments(spark, path),
         aliases(spark, path),
-        holders(spark, path),
+        held or holders(spark, path),
         prices(spark, path),
     )
 
@@ -151,11 +154,9 @@ def holders_as_of(spark, path):
     )
 
 
-@query(
-    "shareholders",
-    with_views(
-        "outcomes prices",
-        """SELECT o.company, CASE WHEN o.day IS NULL THEN NULL ELSE c.name END AS symbol,
+SHAREHOLDERS_SQL = with_views(
+    "outcomes prices",
+    """SELECT o.company, CASE WHEN o.day IS NULL THEN NULL ELSE c.name END AS symbol,
  o.assembly_date AS assembly_date_jalali, CAST(w.hit_day AS VARCHAR) AS effective_gregorian_date,
  CAST(strftime(w.hit_day, '%Y%m%d') AS INTEGER) AS "effective_dEven",
  CASE WHEN o.day IS NOT NULL THEN i.ins_code END AS "insCode",
@@ -172,13 +173,24 @@ LEFT JOIN attempts i ON i.company = o.company AND i.assembly_date = o.assembly_d
 LEFT JOIN attempts w ON w.company = o.company AND w.assembly_date = o.assembly_date AND w.pos = o.win
 LEFT JOIN holders h ON h.ins_code = w.ins_code AND h.day = w.hit_day
 LEFT JOIN prices p ON p.ins_code = w.ins_code AND p.day = w.hit_day""",
-    ),
 )
+
+
+@query("shareholders", SHAREHOLDERS_SQL)
 def shareholders(spark, path):
     rows = _enriched(spark, path).shareholders()
     return rows.withColumn("pClosing", F.round("pClosing", 2))
 
 
+@query("stored_shareholders", SHAREHOLDERS_SQL)
+def stored_shareholders(spark, path):
+    """The same from holders that lie in buckets of instrument and day."""
+    folder = f"{shared_dir(spark)}/holders-{uuid.uuid4().hex}"
+    held = buckets.write(holders(spark, path), folder, resolve.SNAPSHOT, rows_per_task=1000)
+    rows = _enriched(spark, path, held).shareholders()
+    return rows.withColumn("pClosing", F.round("pClosing", 2))
+
+
 @query(
     "assemblies_without_data",
     with_views(
