@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,36 +15,36 @@ from filingframe.operators.frame import drop_duplicates, filter_valid_urls
 from filingframe.schemas import BOARD_MEMBER, FETCH_ERROR
 from filingframe.session import drop, materialise
 from filingframe.sources.html import board_rows, page_errors, pages_of_urls, parse_board_pages
-from filingframe.streaming import commits
-
+from filingframe.streaming import commits, keys
 
 # Files of one micro-batch, which bounds what the first run takes at once.
 FILES_PER_BATCH = 1000
 
 
-# Folders of a target: a batch reads only those that its keys fall into.
-PARTS = 32
-PART = "key_part"
-
-
-def part_of(key: str) -> Column:
-    """Folder of a key, by its hash."""
-    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
-
-
 def touched(batch: DataFrame, target_path: str, schema: T.StructType, key: str = "url") -> DataFrame:
-    """Rows of the target in the folders that keys of the batch fall into."""
-    # at most PARTS numbers
-    parts = [r[PART] for r in batch.select(part_of(key).alias(PART)).distinct().collect()]
-    whole = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-    target = batch.sparkSession.read.schema(whole).parquet(target_path)
-    return target.where(F.col(PART).isin(parts)).drop(PART)
-
+    """Rows of the target in the folders that may hold keys of the batch, by the bitmaps beside them."""
+    spark = batch.sparkSession
+    whole = T.StructType([*schema.fields, *(T.StructField(c, T.IntegerType()) for c in (keys.LEVEL, keys.PART))])
+    target = spark.read.schema(whole).parquet(target_path)
+    held = F.lit(False)
+    for level, parts in keys.folders(batch, target_path, key).items():
+        held = held | ((F.col(keys.LEVEL) == level) & F.col(keys.PART).isin(parts))
+    return target.where(held).drop(keys.LEVEL, keys.PART)
+
+
+def append(
+    rows: DataFrame,
+    target_path: str,
+    key: str = "url",
+    below: tuple[str, ...] = (),
+    rows_per_part: int = keys.ROWS_PER_PART,
+) -> None:
+    """Append to the folders of the rows' keys, a file each; ``below`` names columns of further levels.
 
-def append(rows: DataFrame, target_path: str, key: str = "url", below: tuple[str, ...] = ()) -> None:
-    """Append to the folders of the rows' keys, a file each; ``below`` names columns of further levels."""
-    placed = rows.withColumn(PART, part_of(key)).repartition(PART)
-    placed.write.mode("append").partitionBy(PART, *below).parquet(target_path)
+    ``rows`` are read twice, for their keys' bits and for the files, so they must not change in between.
+    """
+    placed = keys.place(rows, target_path, key, rows_per_part).repartition(keys.PART)
+    placed.write.mode("append").partitionBy(keys.LEVEL, keys.PART, *below).parquet(target_path)
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -53,20 +53,25 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def unseen(batch: DataFrame, target: DataFrame, key: str = "url") -> DataFrame:
-    """Batch rows whose key the target lacks, one a key: the least of those that share it.
+    """Batch rows whose key the target lacks, one a key: the least of those that share it; null is a key.
 
     The target's keys are first cut down to those in the batch, a semi join
     whose small side is the batch; the whole target is never shuffled for it.
     """
     rest = [c for c in batch.columns if c != key]
     fresh = drop_duplicates(batch, [key], "first", rest) if rest else batch.distinct()
-    seen = target.select(key).join(fresh.select(key), key, "left_semi")
-    return fresh.join(seen, key, "left_anti")
+    same = F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}"))
+    fresh = fresh.alias("new")
+    seen = target.select(key).alias("old").join(fresh.select(key).alias("new"), same, "left_semi")
+    return fresh.join(seen.alias("old"), same, "left_anti")
 
 
-def append_unseen(batch: DataFrame, target_path: str, key: str = "url") -> None:
+def append_unseen(
+    batch: DataFrame, target_path: str, key: str = "url", rows_per_part: int = keys.ROWS_PER_PART
+) -> None:
     """Append unseen rows. A replayed batch finds its rows in the target and adds nothing."""
-    append(unseen(batch, touched(batch, target_path, batch.schema, key), key), target_path, key)
+    fresh = unseen(batch, touched(batch, target_path, batch.schema, key), key)
+    append(fresh, target_path, key, rows_per_part=rows_per_part)
 
 
 def run_available(
@@ -151,5 +156,3 @@ def read_url_stream(
     schema = T.StructType([T.StructField(url_column, T.StringType(), True)])
     reader = spark.readStream.schema(schema).option("header", True)
     return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
-
-

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingframe.operators import ledger
-from filingframe.streaming import commits, ingest, snapshot, state
+from filingframe.streaming import commits, ingest, keys, snapshot, state
 
 START = datetime(2024, 1, 1)
 
@@ -163,15 +163,47 @@ def test_resumable_load(spark, tmp_path):
     assert load("fresh") == ["http://a", "http://b", "http://c"]
 
 
-def test_a_batch_reads_only_the_folders_of_its_keys(spark, tmp_path):
+def _read_files(df):
+    return {r["f"] for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_a_batch_reads_only_folders_that_may_hold_its_keys(spark, tmp_path):
+    target = str(tmp_path / "t")
     rows = spark.range(500).selectExpr("concat('http://', id) as url", "id")
-    ingest.create_table(spark, str(tmp_path / "t"), rows.schema)
-    ingest.append_unseen(rows, str(tmp_path / "t"))
+    ingest.create_table(spark, target, rows.schema)
+    assert ingest.touched(rows, target, rows.schema).isEmpty()
+    ingest.append_unseen(rows, target)
+    files = _read_files(spark.read.parquet(target))
+    assert len(files) == 1 << keys.FIRST_LEVEL
     few = rows.where("id in (3, 4, 900)").unionByName(spark.createDataFrame([("http://new", 1)], rows.schema))
-    found = ingest.touched(few, str(tmp_path / "t"), rows.schema)
-    files = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [key_part" in files and found.count() < 100
+    found = ingest.touched(few, target, rows.schema)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and keys.PART in plan.split("PartitionFilters")[1]
+    assert 1 <= len(_read_files(found)) <= 3
     assert [r["url"] for r in ingest.unseen(few, found).collect()] == ["http://new"]
+    # keys that were never loaded: their folders hold rows, yet hardly one is read
+    strange = spark.range(20).selectExpr("concat('ftp://', id) as url", "id")
+    assert len(_read_files(ingest.touched(strange, target, rows.schema))) <= 2
+
+
+def test_folders_grow_with_the_target_and_no_row_is_lost(spark, tmp_path):
+    target = str(tmp_path / "t")
+    whole = spark.range(1200).selectExpr("nullif(concat('http://', id), 'http://7') as url", "id")
+    ingest.create_table(spark, target, whole.schema)
+    for last in (300, 600, 1200, 1200):
+        ingest.append_unseen(whole.where(F.col("id") < last), target, rows_per_part=4)
+    loaded = spark.read.parquet(target)
+    # a missing key is a key too
+    assert sorted(str(r["url"]) for r in loaded.collect()) == sorted(str(r["url"]) for r in whole.collect())
+    assert {r[0] for r in loaded.select(keys.LEVEL).distinct().collect()} == {5, 7, 8}
+    # every loaded key is found again, at whatever level it came
+    again = ingest.touched(whole, target, whole.schema).select("url").na.drop()
+    assert again.distinct().count() == 1199
+    # bits whose rows were lost on the way do no harm
+    lost = spark.createDataFrame([("http://lost", 1)], whole.schema)
+    keys.place(lost, target, "url")
+    ingest.append_unseen(lost, target)
+    assert spark.read.parquet(target).where("url = 'http://lost'").count() == 1
 
 
 def test_board_load_resumes(spark, tmp_path):
