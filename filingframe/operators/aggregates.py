@@ -195,19 +195,23 @@ def group_by(
     rows = df.na.drop(subset=keys)
     plain: dict[str, Column] = {}
     joined: list[DataFrame] = []
+    medians: list[str] = []
     for column, how in wanted.items():
         if isinstance(how, MergeableAggregate):
             joined.append(merge_aggregate(rows, keys, column, how, column))
         elif isinstance(how, GroupFunction):
             joined.append(apply_group_function(rows, keys, column, how, column))
         elif how == "median":
-            medians = exact_quantiles(rows, keys, column, [0.5])
-            joined.append(medians.withColumnRenamed("q0", column))
+            medians.append(column)
         else:
             plain[column] = how(F.col(column)) if callable(how) else _built_in(how, column, order)
-    out = rows.groupBy(*keys).agg(
-        *([c.alias(n) for n, c in plain.items()] or [F.count(F.lit(1)).alias("_rows")])
-    )
+    simple = [c.alias(n) for n, c in plain.items()] or [F.count(F.lit(1)).alias("_rows")]
+    if medians:
+        # the first median's pass takes the simple aggregates too
+        out = exact_quantiles(rows, keys, medians[0], [0.5], also=simple).withColumnRenamed("q0", medians[0])
+        joined += [exact_quantiles(rows, keys, c, [0.5]).withColumnRenamed("q0", c) for c in medians[1:]]
+    else:
+        out = rows.groupBy(*keys).agg(*simple)
     for part in joined:
         out = out.join(part, keys, "left")
     return out.select(*keys, *wanted)

@@ -123,15 +123,14 @@ def describe(df: DataFrame) -> DataFrame:
     number_columns = ("mean", "std", "min", "q25", "q50", "q75", "max")
     if numeric:
         tall = _tall(df, {n: F.col(n).cast("double") for n in numeric})
-        moments = tall.groupBy("column").agg(
+        moments = [
             F.count("v").alias("count"),
             F.avg("v").alias("mean"),
             F.stddev_samp("v").alias("std"),
             F.min("v").alias("min"),
             F.max("v").alias("max"),
-        )
-        quartiles = exact_quantiles(tall, ["column"], "v", [0.25, 0.5, 0.75], few_groups=True)
-        numbers = moments.join(quartiles, "column", "left")
+        ]
+        numbers = exact_quantiles(tall, ["column"], "v", [0.25, 0.5, 0.75], few_groups=True, also=moments)
         frames.append(
             numbers.select(
                 "column",

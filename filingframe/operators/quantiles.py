@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingframe.session import materialise
+
 # The sketch errs by at most n / ACCURACY ranks; the bounds leave twenty times
 # that. Where that is less than two ranks the bounds are the extremes.
 ACCURACY = 10_000
@@ -27,53 +29,66 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     few_groups: bool = False,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
-    """``keys, q0, q1, ...`` with linear interpolation between neighbours.
+    """``keys, q0, q1, ...`` with linear interpolation between neighbours; groups without a value give no row.
 
     ``few_groups`` says that the number of groups is bounded by the schema, so
-    that their bounds may be broadcast.
+    that their bounds may be broadcast. ``also`` are aggregates of ``df`` that the first
+    pass takes too: one row a group is then written once, when this is called, and every
+    group has a row.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("exact quantiles need a grouping key")
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
+    number = F.col(value).cast("double")
+    plain = F.when(~F.isnan(number), number)
+    ascending = sorted(range(len(probabilities)), key=lambda i: probabilities[i])
+    wanted = [probabilities[i] for i in ascending]
+    lows = [max(p - MARGIN, 0.0) for p in wanted]
+    highs = [min(p + MARGIN, 1.0) for p in wanted]
+    k = len(wanted)
+    groups = df.groupBy(*keys).agg(
+        *also,
+        F.count(plain).alias("_n"),
+        F.min(plain).alias("_least"),
+        F.max(plain).alias("_most"),
+        F.percentile_approx(plain, [*lows, *highs], ACCURACY).alias("_s"),
     )
-    lows = [max(p - MARGIN, 0.0) for p in probabilities]
-    highs = [min(p + MARGIN, 1.0) for p in probabilities]
-    sketch = F.percentile_approx("_v", [*lows, *highs], ACCURACY)
-    k = len(probabilities)
+    if also:
+        groups = materialise(groups, "groups")
+
+    many = F.col("_n") > FEWEST
 
-    def bound(i: int, p: float) -> Column:
-        many = F.col("_n") > FEWEST
-        low = F.when(many & F.lit(p > MARGIN), F.get("_s", F.lit(i))).otherwise(F.col("_least"))
-        high = F.when(many & F.lit(p < 1 - MARGIN), F.get("_s", F.lit(k + i))).otherwise(F.col("_most"))
-        position = (F.col("_n") - 1) * F.lit(float(p))
+    def low(i: int) -> Column:
+        return F.when(many & F.lit(wanted[i] > MARGIN), F.get("_s", F.lit(i))).otherwise(F.col("_least"))
+
+    def bound(i: int) -> Column:
+        high = F.when(many & F.lit(wanted[i] < 1 - MARGIN), F.get("_s", F.lit(k + i))).otherwise(F.col("_most"))
         return F.struct(
-            F.lit(i).alias("i"), low.alias("low"), high.alias("high"), position.alias("at")
+            F.lit(i).alias("i"),
+            (low(i - 1) if i else F.lit(None).cast("double")).alias("before"),
+            low(i).alias("low"),
+            high.alias("high"),
+            ((F.col("_n") - 1) * F.lit(float(wanted[i]))).alias("at"),
         )
 
-    bounds = (
-        rows.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_v").alias("_least"),
-            F.max("_v").alias("_most"),
-            sketch.alias("_s"),
-        )
-        .select(*keys, F.array(*[bound(i, p) for i, p in enumerate(probabilities)]).alias("_b"))
+    bounds = groups.where("_n > 0").select(
+        *[F.col(c).alias(f"_k_{c}") for c in keys], F.array(*map(bound, range(k))).alias("_b")
     )
-    bounds = bounds.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_b")
     if few_groups:
         bounds = F.broadcast(bounds)
+    rows = df.select(*keys, plain.alias("_v")).where("_v is not null")
     placed = rows.join(bounds, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
-    # rows above a bound are not needed; all rows below it collapse into one count
-    low, high = F.col("_b.low"), F.col("_b.high")
-    near = placed.select(*keys, "_v", F.explode("_b").alias("_b")).where(F.col("_v") <= high)
-    width = high - low
-    slice_ = F.floor((F.col("_v") - low) / width * BINS).cast("int")
+    # rows above a bound are not needed; a row below some bounds is counted at the first of them
+    first, low_, high_ = F.col("_b.before"), F.col("_b.low"), F.col("_b.high")
+    near = placed.select(*keys, "_v", F.explode("_b").alias("_b")).where(
+        (F.col("_v") <= high_) & ((F.col("_v") >= low_) | first.isNull() | (F.col("_v") >= first))
+    )
+    width = high_ - low_
+    slice_ = F.floor((F.col("_v") - low_) / width * BINS).cast("int")
     bin_ = (
-        F.when(F.col("_v") < low, -1)
+        F.when(F.col("_v") < low_, -1)
         # an infinite interval is one slice
         .when((width > 0) & (width < float("inf")), F.least(slice_, F.lit(BINS - 1)))
         .otherwise(0)
@@ -83,9 +98,13 @@ def exact_quantiles(
         F.col("_b.i").alias("_i"),
         F.col("_b.at").alias("_at"),
         bin_.alias("_bin"),
-        F.when(F.col("_v") >= low, F.col("_v")).alias("_v"),
+        F.when(F.col("_v") >= low_, F.col("_v")).alias("_v"),
     ).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*keys, "_i").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    # below a bound lies what is below an earlier one, too
+    below = Window.partitionBy(*keys).orderBy("_i").rangeBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys, "_i").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    under = F.sum(F.when(F.col("_bin") < 0, F.col("_c"))).over(below)
+    inside = F.sum(F.when(F.col("_bin") >= 0, F.col("_c"))).over(earlier)
     offsets = (
         counted.groupBy(*keys, "_i", "_bin")
         .agg(F.sum("_c").alias("_c"))
@@ -93,14 +112,16 @@ def exact_quantiles(
             *[F.col(c).alias(f"_k_{c}") for c in keys],
             F.col("_i").alias("_k_i"),
             F.col("_bin").alias("_k_bin"),
-            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
+            (F.coalesce(under, F.lit(0)) + F.coalesce(inside, F.lit(0))).alias("_before"),
         )
     )
     same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
-    upto = Window.partitionBy(*keys, "_i", "_bin").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counted.join(
-        offsets, [*same, F.col("_i") == F.col("_k_i"), F.col("_bin") == F.col("_k_bin")]
-    ).withColumn("_rank", F.col("_before") + F.sum("_c").over(upto))
+    upto = Window.partitionBy(*keys, "_i", "_bin").orderBy("_v")
+    ranked = (
+        counted.where("_bin >= 0")
+        .join(offsets, [*same, F.col("_i") == F.col("_k_i"), F.col("_bin") == F.col("_k_bin")])
+        .withColumn("_rank", F.col("_before") + F.sum("_c").over(upto))
+    )
     at = F.col("_at")
     lower = F.min(F.when(F.col("_rank") >= F.floor(at) + 1, F.col("_v")))
     upper = F.min(F.when(F.col("_rank") >= F.ceil(at) + 1, F.col("_v")))
@@ -110,7 +131,12 @@ def exact_quantiles(
     # infinite neighbours have no difference
     exact = (part == 0) | (F.col("_lo") == F.col("_hi"))
     quantile = F.when(exact, F.col("_lo")).otherwise(between)
-    picks = [
-        F.max(F.when(F.col("_i") == i, quantile)).alias(f"q{i}") for i in range(len(probabilities))
-    ]
-    return each.groupBy(*keys).agg(*picks)
+    picks = [F.max(F.when(F.col("_i") == i, quantile)).alias(f"q{ascending[i]}") for i in range(k)]
+    names = [f"q{i}" for i in range(k)]
+    found = each.groupBy(*keys).agg(*picks).select(*keys, *names)
+    if not also:
+        return found
+    found = found.select(*[F.col(c).alias(f"_k_{c}") for c in keys], *names)
+    return groups.drop("_n", "_least", "_most", "_s").join(F.broadcast(found) if few_groups else found, same, "left").drop(
+        *[f"_k_{c}" for c in keys]
+    )

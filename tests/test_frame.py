@@ -155,6 +155,15 @@ def test_exact_quantiles_equal_numpy(spark, parts):
         assert [r[f"q{i}"] for i in range(5)] == pytest.approx(wanted.tolist(), rel=1e-12)
     whole = exact_quantiles(df.withColumn("g", F.lit("all")), ["g"], "v", [0.5]).first()["q0"]
     assert whole == pytest.approx(np.median([v for vs in groups.values() for v in vs]))
+    # in any order, beside other aggregates, with a group that has no number
+    more = df.unionByName(spark.createDataFrame([("none", None), ("none", float("nan"))], df.schema))
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for few in (False, True):
+        got = {r["g"]: r for r in exact_quantiles(more, ["g"], "v", [0.9, 0.1, 0.5], few, also=counts).collect()}
+        assert got["none"]["rows"] == 2 and got["none"]["q0"] is None
+        for g, vs in groups.items():
+            assert got[g]["rows"] == len(vs) + (g == "one")
+            assert [got[g][f"q{i}"] for i in range(3)] == pytest.approx(np.quantile(vs, [0.9, 0.1, 0.5]).tolist(), rel=1e-12)
 
 
 def test_profile(letters):
