@@ -12,7 +12,7 @@ from filingframe.operators import aggregates as agg
 from filingframe.operators import board, buckets, graph
 from filingframe.plans.catalog import query
 from filingframe.plans.views import Tables, board_members, sql_jalali, text, with_views
-from filingframe.session import materialise, shared_dir
+from filingframe.session import materialise, shared_dir, spread
 from filingframe.sources import html
 
 # ----------------------------------------------------------------- page links
@@ -78,7 +78,9 @@ def board_pages(spark, path):
         F.lit("</body></html>"),
     )
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return orders.select(F.concat(F.lit("http://p/"), text(key)).alias("url"), page.alias("html"))
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "c_name", "c_mktsegment")
+    # dealt out while the rows are short: a small file is one task, and each of its pages is parsed
+    return spread(orders).select(F.concat(F.lit("http://p/"), text(key)).alias("url"), page.alias("html"))
 
 
 MEMBER = [

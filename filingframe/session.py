@@ -62,6 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt in turn to as many tasks as a shuffle has, or as there are cores, for work that is long a row.
+
+    The number is fixed, as adaptive execution joins tasks by their bytes, not by their work.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores))
+
+
 #: Folder of each table that `materialise` gave out and nobody has dropped.
 _FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -209,3 +210,53 @@ def test_newest_landing_of_a_page(spark):
     assert found == {"http://a": "new", "http://b": None}
     plan = html.pages_of_urls(urls, pages)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_regular_markup_is_read_as_the_parser_reads_it():
+    """Pages in pieces of markup, regular or not: one pattern or HTMLParser, the same labels, rows and links."""
+    rng = random.Random(7)
+    bits = [
+        '<table id="dgAssemblyBoardMember">', '<tr class="GridItem">', "<tr>", "</tr>", "<td>", "</td>", "<td> a&nbsp;b </td>",
+        "<th class='x'>c</th>", "</table>", '<span ID="lblCompany">', "</span>", '<a href="x&amp;y">', "</a>", "<a href>t</a>",
+        "<br>", "<br/>", "<br>u</br>", "<p id=lblAssemblyDate>", "text", "&lt;", "&", "<", " ", "<!-- c -->", "<TD>", "<script>",
+        "</script>", '<embed src="e">', '<div id="p" id="lblCompany">', "</div>", "<title>", "x<y", "<![foo[x]]>",
+    ]
+
+    class Slow:
+        def read(self, page):
+            self.feed(page)
+            self.close()
+
+    def seen(scanner, page):
+        try:
+            scanner.read(page)
+        except (AssertionError, ValueError):
+            return None
+        if isinstance(scanner, html._Links):
+            return scanner.found
+        ids = {k: html._squeezed(v) for k, v in scanner.ids.items()}
+        return ids, [[html._squeezed(c) for c in row] for row in scanner.rows], scanner.open
+
+    read = 0
+    for _ in range(4000):
+        page = "".join(rng.choices(bits[:2], k=2) + rng.choices(bits, k=rng.randrange(1, 14)))
+        for kind in (html._Board, html._Links):
+            slow = type("Slow" + kind.__name__, (Slow, kind), {})
+            assert seen(kind(), page) == seen(slow(), page), page
+        read += all(not token[-1] for token in html._TOKENS.findall(page))
+    assert read > 400
+
+
+def test_pages_of_a_small_file_are_dealt_to_all_tasks(spark, tmp_path):
+    """One file of short orders is one task; its pages are parsed in many."""
+    from filingframe.plans import board_queries
+
+    orders = spark.range(200).selectExpr(
+        "id as o_orderkey", "id % 3 as o_custkey", "timestamp'1996-01-02' as o_orderdate", "'1-URGENT' as o_orderpriority"
+    )
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    customers = spark.range(3).selectExpr("id as c_custkey", "concat('c', id) as c_name", "'m' as c_mktsegment")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    parsed = html.parse_board_pages(board_queries.board_pages(spark, str(tmp_path)))
+    tasks = parsed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == max(4, spark.sparkContext.defaultParallelism) and sum(r["count"] for r in tasks) == 200
