@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from filingframe.operators.frame import Names, first_present, present, union_letters
 from filingframe.operators.quantiles import exact_quantiles
@@ -139,15 +144,102 @@ def apply_group_function(
             f" a function of whole groups takes {spec.max_rows} rows and {spec.max_bytes} bytes"
         )
 
-    def apply(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        values = part.sort_values(by, ignore_index=True)["_value"].rename(column)
-        return pd.DataFrame([{**dict(zip(own, key, strict=True)), "_out": spec.fn(values)}])
-
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*own).schema)
-    out = rows.groupBy(*own).applyInPandas(apply, f"{kinds}, _out {spec.returns}")
+    schema = f"{kinds}, _out {spec.returns}"
+    returns = rows.sparkSession.createDataFrame([], schema).schema["_out"].dataType
+    if isinstance(rows.schema["_value"].dataType, _PLAIN) and isinstance(returns, _PLAIN):
+        out = _apply_in_order(rows, own, by, column, spec, schema, to_arrow_type(returns))
+    else:
+
+        def apply(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+            values = part.sort_values(by, ignore_index=True)["_value"].rename(column)
+            return pd.DataFrame([{**dict(zip(own, key, strict=True)), "_out": spec.fn(values)}])
+
+        out = rows.groupBy(*own).applyInPandas(apply, schema)
     return out.select(*[F.col(o).alias(k) for k, o in zip(keys, own, strict=True)], F.col("_out").alias(name))
 
 
+# Types whose values Arrow and pandas exchange as they are.
+_PLAIN = (T.IntegralType, T.FloatType, T.DoubleType, T.BooleanType, T.StringType, T.DecimalType)
+
+
+def _apply_in_order(
+    rows: DataFrame, own: list[str], by: list[str], column: str, spec: GroupFunction, schema: str, returns: pa.DataType
+) -> DataFrame:
+    """The function of each group, of rows that Spark has sorted: a batch holds many groups, a large group many batches."""
+
+    def ordered(c: str) -> Column:
+        kind = rows.schema[c].dataType
+        number = isinstance(kind, T.FloatType | T.DoubleType)
+        # as pandas sorts: what is missing or not a number comes last
+        return (F.when(~F.isnan(c), F.col(c)) if number else F.col(c)).asc_nulls_last()
+
+    def results(found: list[object]) -> pa.Array:
+        def of(values: list[object]) -> pa.Array:
+            one = pd.Series(values, dtype=object) if len(values) > 1 else pd.Series(values)
+            return pa.Array.from_pandas(one, mask=one.isnull(), type=returns, safe=False)
+
+        try:
+            return of(found)
+        except (pa.ArrowInvalid, pa.ArrowTypeError):
+            return pa.concat_arrays([of([value]) for value in found])
+
+    def groups(batch: pa.RecordBatch) -> list[int]:
+        """Where groups begin, and the end."""
+        new = np.zeros(max(batch.num_rows - 1, 0), bool)
+        for k in range(len(own)):
+            keys = batch.column(k)
+            new |= pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        return [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the group that the last batch ended with: its key, and its values in pieces
+        last: list | None = None
+        pieces: list[pa.Array] = []
+
+        def result(values: pa.Array) -> object:
+            return spec.fn(values.to_pandas().rename(column))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = groups(batch)
+            values = batch.column(batch.num_columns - 1)
+            whole = None if values.null_count else values.to_pandas().array
+            first = [batch.column(k)[0] for k in range(len(own))]
+            done: list[list] = []
+            found: list[object] = []
+            at = 0
+            if last is not None:
+                if all(a == b for a, b in zip(first, last, strict=True)):
+                    pieces.append(values[: starts[1]])
+                    at = 1
+                if at == 0 or len(starts) > 2:
+                    done.append(last)
+                    found.append(result(pa.concat_arrays(pieces)))
+                    last = None
+            for start, end in zip(starts[at:-2], starts[at + 1 : -1], strict=True):
+                if whole is None:
+                    found.append(result(values[start:end]))
+                else:
+                    found.append(spec.fn(pd.Series(whole[start:end], name=column)))
+            inner = starts[at:-2]
+            if last is None:
+                last, pieces = [batch.column(k)[starts[-2]] for k in range(len(own))], [values[starts[-2] :]]
+            if found:
+                columns = [
+                    pa.concat_arrays([pa.array([d[k] for d in done], batch.column(k).type), batch.column(k).take(pa.array(inner, pa.int64()))])
+                    for k in range(len(own))
+                ]
+                yield pa.RecordBatch.from_arrays([*columns, results(found)], names=[*own, "_out"])
+        if last is not None:
+            keys = [pa.array([value], value.type) for value in last]
+            yield pa.RecordBatch.from_arrays([*keys, results([result(pa.concat_arrays(pieces))])], names=[*own, "_out"])
+
+    placed = rows.repartition(*own).sortWithinPartitions(*own, *map(ordered, by))
+    return placed.select(*own, "_value").mapInArrow(run, schema)
+
+
 def _built_in(name: str, column: str, order: Names | None) -> Column:
     c = F.col(column)
     if name in ("first", "last"):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -762,7 +763,8 @@ def group_by_median(spark, path):
 
 def _longest_rise(values):
     """Length of the longest run of values that grow."""
-    return int((values.diff() <= 0).cumsum().value_counts().max())
+    ends = np.flatnonzero(np.diff(values.to_numpy(dtype=float)) <= 0) + 1
+    return int(np.diff(ends, prepend=0, append=len(values)).max())
 
 
 @query(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,3 +231,23 @@ def test_column_info_of_no_rows_and_estimates(spark):
     assert about["s"] == 10 and about["n"] == 0 and abs(about["id"] - 300) < 30
     none = profile.column_info(df.where("false"), sample=False).collect()
     assert [tuple(r) for r in none] == [("id", "bigint", 0, 0, 0), ("s", "string", 0, 0, 0), ("n", "int", 0, 0, 0)]
+
+
+def test_group_functions_take_many_groups_a_batch_and_many_batches_a_group(spark):
+    """Each group whole and in order, whatever the batches; groups of few rows are not sent to Python one by one."""
+    rows = [(i % 5 if i % 3 else 9, (i * 7919) % 101, None if i % 11 == 0 else i % 13) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, o int, v int")
+    seen = agg.GroupFunction(lambda values: f"{values.dtype.kind}:{values.name}:" + ",".join(map(str, values.tolist())), "string", order=("o",))
+    want = {}
+    for k in sorted({r[0] for r in rows}):
+        part = pd.DataFrame([r for r in rows if r[0] == k], columns=["k", "o", "v"]).sort_values(["o", "v"])
+        values = part["v"]
+        want[k] = f"{values.dtype.kind}:v:" + ",".join(map(str, values.tolist()))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = agg.group_by(df, "k", {"v": seen})
+        assert {r.k: r.v for r in out.collect()} == want
+        assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
