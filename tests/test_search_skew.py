@@ -134,3 +134,31 @@ def test_an_oversized_group_is_refused_by_name(spark, bounds):
     calls = aggregates.GroupFunction(lambda s: 1 / 0, "int", **bounds)
     with pytest.raises(aggregates.OversizedGroup, match="ins_code='0'.*200 rows"):
         aggregates.group_by(df, "ins_code", {"id": calls})
+
+
+def test_names_of_frequent_ngrams_meet_few_others(spark):
+    """Numbered names share most n-grams with all others; pairs of rare ones bring few together, and no match is lost."""
+    queries = [f"Customer#{n:09d}" for n in range(0, 60_000, 199)] + ["", None, "ab", "a"]
+    names = [f"Supplier#{n:09d}" for n in range(0, 40_000, 173)] + ["ab", "Customer of a supplier", ""]
+    q = spark.createDataFrame([(n,) for n in queries], "name string")
+    s = spark.createDataFrame([(n,) for n in names], "name string")
+
+    def sets(name):
+        padded = f"  {name} "
+        return {padded[i : i + 3] for i in range(len(padded) - 2)}
+
+    for least in (0.25, 0.5, 0.9):
+        want = set()
+        for a in filter(None, queries):
+            for b in filter(None, names):
+                common, both = len(sets(a) & sets(b)), len(sets(a) | sets(b))
+                if common / both >= least:
+                    want.add((a, b, round(common / both, 9)))
+        found = textsearch.similar_names(q, s, least).collect()
+        assert {(r.query, r.name, round(r.similarity, 9)) for r in found} == want
+    sides = [df.select("name", F.lit(i).alias("side")).where("name != ''").distinct() for i, df in enumerate((q, s))]
+    posted = textsearch._keys(textsearch._rarest_first(sides[0].union(sides[1])), 0.25)
+    key = ["q_class", "n_class", "key"]
+    left, right = (posted.where(F.col("side") == i).select(*key, F.col("name").alias(f"n{i}")) for i in (0, 1))
+    met = left.join(right, key).select("n0", "n1").distinct().count()
+    assert met < len(queries) * len(names) / 10
