@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingframe.llm.common import held_out, remembered, short_batches
+from filingframe.operators.quantiles import exact_quantiles
+from filingframe.session import drop, materialise
 
 UNDETERMINED = "und"
 #: Longest run of bytes that one pass of the network reads.
@@ -333,23 +335,38 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def least_score(docs: DataFrame, net: Network | None) -> float:
-    """A score that texts in one language or two exceed, from the documents that were learned from.
+    """A score that texts in one language or two exceed, from all labelled documents outside the held-out fold.
 
-    The scores of correctly labelled ones are taken: their LOW quantile, or half of
-    their median, which a text in two languages has, where that is less. The limit lies
-    halfway between it and an even share of the languages. With one or two languages
-    a text in both has no more than an even share, and the limit is 0.
+    The scores of correctly labelled ones are taken, each text once a language: their LOW
+    quantile, or half of their median, which a text in two languages has, where that is less. Both
+    are exact. The limit lies halfway between it and an even share of the languages. With one or two
+    languages a text in both has no more than an even share, and the limit is 0.
     """
     if net is None:
         return 0.0
-    learned = learned_documents(docs)
-    labels: dict[int | None, set[str]] = {}
-    for r in learned.select("doc_id", "lang").collect():
-        labels.setdefault(r.doc_id, set()).add(r.lang)
-    # at most SAMPLE_DOCS rows a language
-    scores = [r.score for r in identify(learned, net).collect() if r.lang_pred in labels[r.doc_id]]
+    spark = docs.sparkSession
+    short_batches(spark)
+    labelled = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    shared = spark.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, langs = remembered(Labeller, shared.value), shared.value.langs
+        for batch in batches:
+            p = own.distributions(batch.column(0).cast(pa.binary()).to_pylist())
+            pred = pa.array([langs[i] for i in p.argmax(1)], pa.string())
+            score = pa.array(np.minimum(p.max(1), 1.0), pa.float64())
+            scored = pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(2).cast(pa.string()), pred, score], names=["text", "lang", "pred", "score"]
+            )
+            yield scored
+
+    rows = labelled.select("text", F.xxhash64("text").alias("hash"), "lang")
+    scored = rows.mapInArrow(run, "text long, lang string, pred string, score double").where("lang = pred")
+    own = materialise(scored.groupBy("lang", "text").agg(F.min("score").alias("score")), "scores")
+    both = exact_quantiles(own.withColumn("of", F.lit("all")), ["of"], "score", [LOW, 0.5], few_groups=True).first()
     even = 1 / len(net.langs)
-    usual = min(np.quantile(scores, LOW), np.median(scores) / 2) if scores else 0.0
+    usual = min(both["q0"], both["q1"] / 2) if both else 0.0
+    drop(own)
     return float((usual + even) / 2) if usual > even else 0.0
 
 

@@ -165,3 +165,22 @@ def test_predictions_equal_brute_force(labelled, net):
         own = sum(langid.positions(net, np.frombuffer(p, np.uint8)[None])[0].sum(0) for w in words for p in langid.pieces(w))
         share = own / own.sum()
         assert net.langs[int(share.argmax())] == r.lang_pred and abs(share.max() - r.score) < 1e-5
+
+
+def test_the_limit_is_learned_from_every_labelled_document(labelled, net, monkeypatch):
+    """No sample: the exact quantiles of all correctly labelled texts outside the held-out fold."""
+
+    def sample(*_):
+        raise AssertionError("a sample was drawn")
+
+    monkeypatch.setattr(langid, "learned_documents", sample)
+    rows = labelled.filter(~common.held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = {(r.doc_id, r.lang): r.text for r in rows.collect()}
+    scores = {}
+    for r in langid.identify(rows, net).collect():
+        if (r.doc_id, r.lang_pred) in known:
+            scores[known[r.doc_id, r.lang_pred], r.lang_pred] = r.score
+    values, even = list(scores.values()), 1 / len(net.langs)
+    usual = min(np.quantile(values, langid.LOW), np.median(values) / 2)
+    want = (usual + even) / 2 if usual > even else 0.0
+    assert values and abs(langid.least_score(labelled, net) - want) < 1e-6
