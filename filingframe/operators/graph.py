@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingframe.functions.calendar import month_key, period_digits, quarter_key
@@ -12,12 +12,17 @@ from filingframe.functions.text import strip
 from filingframe.operators.board import representatives
 from filingframe.operators.buckets import Bucketed
 from filingframe.operators.frame import row_numbers
+from filingframe.session import materialise
 
 GRAINS = ("year", "quarter", "month")
 ROW_ORDER = ("assembly_date", "url", "row_no")
 # Companies of one person and period that are paired in one piece; larger
 # groups are cut into blocks of about this size.
 BLOCK = 512
+# Months of one person that are grouped in one task, in blocks and at most;
+# people with more are spread.
+PEOPLE_BLOCKS = 8
+PERSON = PEOPLE_BLOCKS * BLOCK
 
 
 def _linked(members: DataFrame) -> DataFrame:
@@ -105,14 +110,19 @@ def top_connected(edges: DataFrame, k: int = 5) -> DataFrame:
     return person_degree(edges).orderBy(F.desc("companies"), F.asc("person")).limit(k)
 
 
-def _periods(grains: Sequence[str]) -> Column:
-    """One ``grain, period`` struct per grain, from ``year`` and ``assembly_date``."""
+def _by_period(df: DataFrame, keep: Sequence[str], grains: Sequence[str]) -> DataFrame:
+    """``keep`` with ``grain, period``, a row per grain, from ``year`` and ``assembly_date``.
+
+    The texts are built once a row, before the rows are multiplied.
+    """
     keys = {
         "year": F.col("year").cast("string"),
         "quarter": quarter_key("assembly_date"),
         "month": month_key("assembly_date"),
     }
-    return F.array(*[F.struct(F.lit(g).alias("grain"), keys[g].alias("period")) for g in grains])
+    built = df.select(*keep, *[keys[g].alias(f"_{g}") for g in grains])
+    each = F.array(*[F.struct(F.lit(g).alias("grain"), F.col(f"_{g}").alias("period")) for g in grains])
+    return built.select(*keep, F.inline(each))
 
 
 def _seat_rows(members: DataFrame) -> DataFrame:
@@ -134,12 +144,14 @@ def seat_months(members: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFra
     # a condition of the aggregate, as a filter would be pushed below and evaluate ids and names again
     first = F.when(F.col("rep_is_person"), F.struct(*_seq(order), "rep_name"))
     kept = list(dict.fromkeys([*order, "year", "month", "company", "rep_key", "rep_name", "rep_is_person"]))
+    keys = ["rep_key", "company", "month", "year"]
     return (
         rows.where("company is not null")
         .select(*kept)
-        .groupBy("rep_key", "company", "month", "year")
+        .groupBy(F.xxhash64(*keys).alias(_CODE), *keys)
         .agg(F.min(first).alias("first"))
         .where("first is not null")
+        .drop(_CODE)
     )
 
 
@@ -147,6 +159,36 @@ def seat_months(members: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFra
 SEAT = ["rep_key", "company"]
 
 
+GROUP = ["rep_key", "period", "grain"]
+#: A hash in front of keys that are texts, so that sorting compares a number first.
+_CODE = "_code"
+
+
+def _with_periods(months: DataFrame, periods: DataFrame) -> DataFrame:
+    # a month or year may be missing, and still belongs to the periods of the other
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("month", "year")]
+    return months.alias("s").join(periods.alias("n"), same).select("s.*", "n.periods")
+
+
+def _periods_of(months: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """``month, year, periods`` of the months that occur: texts are built for them, not for every seat.
+
+    Written, so that its size is known where it is joined.
+    """
+    spans = months.select("month", "year").distinct().withColumn("assembly_date", F.rpad("month", 8, "01"))
+    each = _by_period(spans, ["month", "year"], grains).where("period is not null")
+    listed = each.groupBy("month", "year").agg(  # one a grain
+        F.collect_list(F.struct("grain", "period")).alias("periods")
+    )
+    return materialise(listed, "periods")
+
+
+def _seats(months: DataFrame, periods: DataFrame) -> DataFrame:
+    """Distinct ``rep_key, period, grain, company`` with the first row that says so, and the code of the group."""
+    dated = _with_periods(months, periods).select("rep_key", "company", "first", F.inline("periods"))
+    return dated.groupBy(F.xxhash64(*GROUP).alias(_CODE), *GROUP, "company").agg(F.min("first").alias("first"))
+
+
 def incidence(months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS) -> DataFrame:
     """Distinct ``grain, period, rep_key, company``: all interlocks, without any pair.
 
@@ -155,32 +197,33 @@ def incidence(months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS) -> D
     if isinstance(months, Bucketed):
         return months.apart(lambda part: incidence(part, grains))
     dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
-    return (
-        # the most selective key first, which is what string sorts compare first
-        dated.select("rep_key", "company", F.inline(_periods(grains)))
-        .where("period is not null")
-        .distinct()
-    )
+    # the most selective key first, which is what string sorts compare first
+    return _by_period(dated, ["rep_key", "company"], grains).where("period is not null").distinct()
 
 
-def interlock_groups(months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS) -> DataFrame:
-    """People who link companies in a period: group size, pair count, name and id.
+def _by_person(months: DataFrame, person: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """Months of people with ``most`` of them at most, and those of the others.
 
-    Counts and periods with edges are read from here without forming pairs.
+    The first are dealt by person, so whatever is grouped by person and more needs no other
+    exchange, and no task holds more than ``most`` rows of one. The others stay as they are.
     """
-    keys = ["rep_key", "period", "grain"]
+    code = F.xxhash64(person)
+    # two people with the same hash only go to the others, where everyone may be
+    counts = months.groupBy(code.alias("_person")).agg(F.count(F.lit(1)).alias("_count"))
+    # at most a row for every `most` months
+    busy = F.broadcast(counts.where(F.col("_count") > most).select("_person"))
+    same = code == F.col("_person")
+    quiet = months.where(F.col(person).isNotNull()).join(busy, same, "left_anti")
+    return quiet.repartition(person), months.join(busy, same, "left_semi")
+
+
+def _groups(seats: DataFrame) -> DataFrame:
     size = F.col("companies")
-    sizes = incidence(months, grains).groupBy(*keys).agg(F.count(F.lit(1)).alias("companies"))
-    rows = months.rows() if isinstance(months, Bucketed) else months
-    dated = rows.withColumn("assembly_date", F.rpad("month", 8, "01"))
-    names = (
-        dated.select("rep_key", "first", F.inline(_periods(grains)))
-        .groupBy(*keys)
-        .agg(F.min("first")["rep_name"].alias("rep_name"))
+    sizes = seats.groupBy(_CODE, *GROUP).agg(
+        F.count(F.lit(1)).alias("companies"), F.min("first")["rep_name"].alias("rep_name")
     )
-    # both sides are grouped by the same keys, so the join adds no exchange
-    return sizes.where(size >= 2).join(names, keys).select(
-        *keys,
+    return sizes.where((size >= 2) & F.col("rep_key").isNotNull()).select(
+        *GROUP,
         "companies",
         (size * (size - 1) / 2).cast("bigint").alias("pairs"),
         F.coalesce("rep_name", F.lit("Unknown")).alias("rep_name"),
@@ -188,16 +231,42 @@ def interlock_groups(months: DataFrame | Bucketed, grains: Sequence[str] = GRAIN
     )
 
 
-def _cells(seats: DataFrame, groups: DataFrame, keys: Sequence[str], company: str, block: int) -> DataFrame:
-    """``seats`` with the sizes of their ``groups``, a row for every cell ``_lo, _hi`` of blocks.
+def interlock_groups(
+    months: DataFrame | Bucketed, grains: Sequence[str] = GRAINS, most: int = PERSON
+) -> DataFrame:
+    """People who link companies in a period: group size, pair count, name and id.
+
+    Counts and periods with edges are read from here without forming pairs. Months are dealt
+    by person, but for people with more than ``most``, whose seats are counted where they lie first.
+    """
+    if isinstance(months, Bucketed):
+        periods = _periods_of(months.rows(), grains)
+        return _groups(months.apart(lambda part: _seats(part, periods)))
+    periods = _periods_of(months, grains)
+    quiet, busy = (_groups(_seats(part, periods)) for part in _by_person(months, "rep_key", most))
+    return quiet.unionByName(busy)
+
+
+def _sized(seats: DataFrame, keys: Sequence[str], name: Column | None = None) -> DataFrame:
+    """``seats`` of groups with two companies or more, their number and name, where each group lies in one task."""
+    group = Window.partitionBy(*keys)
+    given = {"companies": F.count(F.lit(1)).over(group)}
+    if name is not None:
+        given["first"] = F.min(name).over(group)
+    return seats.withColumns(given).where("companies >= 2")
+
+
+def _cells(seats: DataFrame, company: str, block: int) -> DataFrame:
+    """``seats`` with the sizes of their groups, ``companies``: a row for every cell ``_lo, _hi`` of blocks.
 
     A group with more than ``block`` companies is cut into blocks by company hash, and
     each pair of blocks is a join key of its own: a hot person is spread over many tasks.
     """
     blocks = F.ceil(F.col("companies") / F.lit(float(block))).cast("int")
-    placed = seats.join(groups.withColumn("_n", blocks).drop("companies", "pairs"), list(keys))
     return (
-        placed.withColumn("_mine", F.pmod(F.xxhash64(company), F.col("_n")).cast("int"))
+        seats.withColumn("_n", blocks)
+        .drop("companies")
+        .withColumn("_mine", F.pmod(F.xxhash64(company), F.col("_n")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
         .withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")})
         .drop("_n", "_other")
@@ -222,15 +291,21 @@ def interlock_edges(
 
     The pairs are the result, so none may be left out; see :func:`_cells` for hot people.
     """
-    keys = ["rep_key", "period", "grain"]
-    cells = _cells(incidence(months, grains), interlock_groups(months, grains), keys, "company", block)
-    return _pairs(cells, keys, "company").select(
+    rows = months.rows() if isinstance(months, Bucketed) else months
+    periods = _periods_of(rows, grains)
+    quiet, busy = (_seats(part, periods) for part in _by_person(rows, "rep_key", PEOPLE_BLOCKS * block))
+    keys = [_CODE, *GROUP]
+    near = _sized(quiet, keys, F.col("first")).select(*keys, "company", "companies", "first.rep_name")
+    sizes = _groups(busy).select(*GROUP, "companies", "rep_name")
+    far = busy.drop("first").join(sizes, GROUP).select(*near.columns)
+    return _pairs(_cells(near.unionByName(far), "company", block), keys, "company").select(
         "x.grain",
         "x.period",
         F.col("x.company").alias("a"),
         F.col("y.company").alias("b"),
-        F.coalesce("x.rep_name", "y.rep_name").alias("rep_name"),
-        F.coalesce("x.rep_id", "y.rep_id").alias("rep_id"),
+        # named on both sides, so that one exchange serves them both
+        F.coalesce("x.rep_name", "y.rep_name", F.lit("Unknown")).alias("rep_name"),
+        F.col("x.rep_key").alias("rep_id"),
         "x.rep_key",
     )
 
@@ -247,26 +322,28 @@ def interlock_weights(
     count. Names come last.
     """
     companies = row_numbers(months.select("company").distinct(), ["company"], "company_no")
-    dated = months.withColumn("assembly_date", F.rpad("month", 8, "01"))
-    # few columns first: the periods of the months, not of every seat
-    spans = dated.select("month", "year", "assembly_date").distinct()
-    spans = spans.select("month", "year", F.inline(_periods(grains))).where("period is not null")
+    companies = materialise(companies, "companies")  # so that its size is known where it is joined
+    spans = _periods_of(months, grains).select("month", "year", F.inline("periods"))
     periods = row_numbers(spans.select("grain", "period").distinct(), ["grain", "period"], "period_no")
     numbered = spans.join(periods, ["grain", "period"]).groupBy("month", "year").agg(
-        F.collect_list("period_no").alias("numbers")  # one a grain
+        F.collect_list("period_no").alias("periods")
     )
-    # a month or year may be missing, and still belongs to the periods of the other
-    same = F.col("s.month").eqNullSafe(F.col("n.month")) & F.col("s.year").eqNullSafe(F.col("n.year"))
-    seats = (
-        months.select("rep_key", "company", "month", "year").alias("s")
-        .join(numbered.alias("n"), same)
+    keys = ["person", "period_no"]
+
+    def seats_of(part: DataFrame) -> DataFrame:
+        return part.select("person", "company_no", F.explode("periods").alias("period_no")).distinct()
+
+    rows = (
+        _with_periods(months.select("rep_key", "company", "month", "year"), materialise(numbered, "periods"))
         .join(companies, "company")
-        .select(F.col("rep_key").cast("bigint").alias("person"), "company_no", F.explode("numbers").alias("period_no"))
-        .distinct()
+        .select(F.col("rep_key").cast("bigint").alias("person"), "company_no", "periods")
     )
-    keys = ["person", "period_no"]
-    groups = seats.groupBy(*keys).agg(F.count(F.lit(1)).alias("companies")).where("companies >= 2")
-    pairs = _pairs(_cells(seats, groups, keys, "company_no", block), keys, "company_no")
+    quiet, busy = _by_person(rows, "person", PEOPLE_BLOCKS * block)
+    near = _sized(seats_of(quiet), keys)
+    far = seats_of(busy)
+    groups = far.groupBy(*keys).agg(F.count(F.lit(1)).alias("companies")).where("companies >= 2")
+    cells = _cells(near.unionByName(far.join(groups, keys)), "company_no", block)
+    pairs = _pairs(cells, keys, "company_no")
     shared = pairs.groupBy(
         "x.period_no", F.col("x.company_no").alias("a_no"), F.col("y.company_no").alias("b_no")
     ).agg(F.count(F.lit(1)).alias("shared"))
@@ -282,12 +359,15 @@ def period_nodes(
     members: DataFrame, groups: DataFrame, grains: Sequence[str] = GRAINS
 ) -> DataFrame:
     """Companies of each period that has at least one edge."""
-    companies = (
+    # months of a company first, so that its repeated rows collapse before they are multiplied
+    months = (
         _seat_rows(members)
-        .select("company", F.inline(_periods(grains)))
-        .where("period is not null and company is not null")
+        .where("company is not null")
+        .select("company", "year", F.substring("assembly_date", 1, 6).alias("month"))
         .distinct()
     )
+    months = materialise(months, "company-months")
+    companies = _with_periods(months, _periods_of(months, grains)).select("company", F.inline("periods")).distinct()
     with_edges = groups.select("grain", "period").distinct()
     return companies.join(with_edges, ["grain", "period"], "left_semi")
 

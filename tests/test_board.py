@@ -181,6 +181,20 @@ def test_pairs_are_counted_in_numbers(spark):
     assert "rep_key" not in summed and "rep_name" not in summed
 
 
+def test_people_with_few_seats_are_dealt_once(spark):
+    rows = [(f"c{i % 9}", "x", f"000000000{i % 7}", f"1402{i % 12 + 1:02d}01") for i in range(200)]
+    months = graph.seat_months(members(spark, rows)).cache()
+    few, many = graph.interlock_groups(months), graph.interlock_groups(months, most=5)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() > 7
+    # months move once, by person, and are counted there
+    plan = graph.interlock_groups(months)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1
+    quiet, busy = graph._by_person(months, "rep_key", 28)
+    known = {r["rep_key"]: r["count"] for r in months.groupBy("rep_key").count().collect()}
+    assert {r["rep_key"] for r in quiet.collect()} == {k for k, n in known.items() if n <= 28}
+    assert {r["rep_key"] for r in busy.collect()} == {k for k, n in known.items() if n > 28}
+
+
 def test_a_seat_without_a_year_counts_in_its_month(spark):
     rows = [("a", "x", "0000000001", "14020101"), ("b", "x", "0000000001", "14020101")]
     seats = members(spark, rows).withColumn("year", F.lit(None).cast("string"))
