@@ -41,16 +41,18 @@ def correct_candidates(
     their measured size.
     """
     keys = keys or [c for c in df.columns if c != column]
-    each = df.select(*keys, F.posexplode(column).alias("pos", "candidate"))
-    joined = each.join(
-        corrections, symbol_key(each["candidate"]) == corrections["key"], "left"
-    ).select(*keys, "pos", F.coalesce("fixed", "candidate").alias("candidate"))
-    name = symbol_key("candidate")
+    each = explode_candidates(df, keys, column).withColumn("_name", symbol_key("candidate"))
+    # names are found before the join, once for a candidate and once for a correction
+    known = corrections.select("key", "fixed", symbol_key("fixed").alias("_fixed_name"))
+    name = F.when(F.col("fixed").isNotNull(), F.col("_fixed_name")).otherwise(F.col("_name"))
+    joined = each.join(known, each["_name"] == known["key"], "left").select(
+        *keys, "pos", F.coalesce("fixed", "candidate").alias("candidate"), name.alias("name")
+    )
     # a row has as many candidates as its own text names, so this list is short
     listed = (
-        joined.where(name != "")
+        joined.where("name != ''")
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", name.alias("name"), "candidate"))).alias("l"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "name", "candidate"))).alias("l"))
     )
     first = F.filter(
         "l",
@@ -59,6 +61,15 @@ def correct_candidates(
     return listed.select(*keys, F.transform(first, lambda x: x["candidate"]).alias(column))
 
 
+def explode_candidates(df: DataFrame, keep: list[str], column: str = "candidates") -> DataFrame:
+    """``keep`` with ``pos, candidate``, a row for every candidate.
+
+    From a plain explode Spark infers a filter on the list, which finds all candidates again.
+    """
+    each = df.select(*keep, F.posexplode_outer(column).alias("pos", "candidate"))
+    return each.where("pos is not null")
+
+
 def assembly_pairs(board: DataFrame, corrections: DataFrame) -> DataFrame:
     """Distinct ``company, assembly_date`` with at least one candidate, and its day."""
     pairs = board.select(*PAIR).na.drop().distinct()
@@ -112,21 +123,21 @@ def with_holders(holders: DataFrame | Bucketed, hits: DataFrame) -> DataFrame:
     return holders.join(hits)
 
 
-def forward_days(targets: DataFrame, days: DataFrame, day: str = "day") -> DataFrame:
-    """Left join each target to the days it may use: an equi-join on exploded offsets.
+def first_days(targets: DataFrame, days: DataFrame, day: str = "day") -> DataFrame:
+    """Add ``hit``, the first day with data (``d_even``) of ``day .. day + 2``, or null.
 
-    Adds ``offset`` and ``hit`` (the matching ``d_even`` or null).
+    Instruments and days are looked up once, however many targets name them: an equi-join on
+    exploded offsets. A target without instrument or day finds nothing and skips the joins.
     """
-    spread = targets.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(MAX_FORWARD_DAYS))))
-    # a target without instrument or day finds nothing; distinct negative days
-    # keep such rows from meeting in one partition
-    nowhere = -1 - F.pmod(F.xxhash64(*PAIR), F.lit(1 << 20)).cast("int")
-    wanted = F.coalesce(d_even(F.date_add(day, F.col("offset"))), nowhere)
-    spread = spread.withColumn(
-        "_day", F.when(F.col("ins_code").isNull(), nowhere).otherwise(wanted)
-    )
-    found = days.select("ins_code", F.col("d_even").alias("_day"), F.col("d_even").alias("hit"))
-    return salted_join(spread, found, ["ins_code", "_day"], "left").select(*targets.columns, "offset", "hit")
+    keys = ["ins_code", day]
+    dated = F.col("ins_code").isNotNull() & F.col(day).isNotNull()
+    asked = targets.where(dated).select(*keys).distinct()
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(MAX_FORWARD_DAYS)))
+    each = asked.withColumn("_offset", ahead)
+    each = each.select(*keys, d_even(F.date_add(day, F.col("_offset"))).alias("d_even"))
+    first = each.join(days, SNAPSHOT).groupBy(*keys).agg(F.min("d_even").alias("hit"))
+    found = salted_join(targets.where(dated), first, keys, "left").select(*targets.columns, "hit")
+    return found.unionByName(targets.where(~dated).withColumn("hit", F.lit(None).cast("int")))
 
 
 def as_of_forward(targets: DataFrame, holders: DataFrame | Bucketed, prices: DataFrame) -> DataFrame:
@@ -135,12 +146,8 @@ def as_of_forward(targets: DataFrame, holders: DataFrame | Bucketed, prices: Dat
     ``targets`` are distinct rows with ``company, assembly_date, ins_code, day``;
     targets without data give no row. Holders in buckets of ``SNAPSHOT`` are not shuffled.
     """
-    first = (
-        forward_days(targets, snapshot_days(holders, targets))
-        .where("hit is not null")
-        .groupBy(*targets.columns)
-        .agg(F.min("hit").alias("d_even"))
-    )
+    found = first_days(targets, snapshot_days(holders, targets)).where("hit is not null")
+    first = found.withColumnRenamed("hit", "d_even")
     # prices meet the few targets, not their holders
     return with_holders(holders, attach_prices(first, prices))
 
@@ -241,14 +248,15 @@ def enrich(
     report starts from them.
     """
     pairs = assembly_pairs(board, corrections)
-    tries = pairs.select(*PAIR, "day", F.posexplode("candidates").alias("pos", "candidate"))
+    tries = explode_candidates(pairs, [*PAIR, "day"])
     named = tries.withColumn("name", symbol_key("candidate"))
     attempts = materialise(resolve_instruments(named, instruments, aliases, search), "attempts")
-    reached = forward_days(attempts, snapshot_days(holders, attempts))
+    reached = first_days(attempts, snapshot_days(holders, attempts))
     fields = ["pos", "candidate", "ins_code", "isic_code", "sector_name", "z_titad"]
     hit = F.when(F.col("hit").isNotNull(), F.struct("pos", "hit", *fields[1:]))
     resolved = F.when(F.col("ins_code").isNotNull(), F.struct(*fields))
-    tried = F.array_sort(F.collect_set(F.struct("pos", "candidate")))
+    # a position is there once
+    tried = F.array_sort(F.collect_list(F.struct("pos", "candidate")))
     outcomes = reached.groupBy(*PAIR, "day").agg(
         F.min(hit).alias("win"),
         F.max(resolved).alias("last"),

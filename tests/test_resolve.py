@@ -87,3 +87,31 @@ def test_corrections(spark):
     )
     got = {r["id"]: r["candidates"] for r in resolve.correct_candidates(df, table).collect()}
     assert got == {1: ["ب", "x"], 2: ["z"]}
+
+
+def test_days_are_looked_up_once_for_all_targets(spark):
+    # many assemblies name the same instrument on the same day
+    targets = spark.range(500).selectExpr(
+        "concat('c', id) as company", "'x' as assembly_date",
+        "if(id % 50 = 0, null, cast(id % 2 as string)) as ins_code", "if(id % 70 = 1, null, date'2023-08-15') as day",
+    )
+    days = spark.createDataFrame([("0", 20230816), ("0", 20230817), ("1", 20230818), (None, 20230815)], "ins_code string, d_even int")
+    found = resolve.first_days(targets, days)
+    hits = {r["company"]: r["hit"] for r in found.collect()}
+    assert len(hits) == found.count() == 500
+    for n in range(500):
+        assert hits[f"c{n}"] == (20230816 if n % 2 == 0 and n % 50 and n % 70 != 1 else None)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    (at,) = (n for n, line in enumerate(lines) if "Generate explode" in line and "_offset" in line)
+    # below it lie the distinct instruments and days alone
+    assert "Aggregate [ins_code" in lines[at + 1] and "company" not in lines[at + 1]
+
+
+def test_candidates_are_found_once(spark):
+    board = spark.createDataFrame([("a - نماد: الف(ب)", "1402/05/24"), ("f", "1402/05/24")], "company string, assembly_date string")
+    none = spark.createDataFrame([], "key string, fixed string")
+    pairs = resolve.assembly_pairs(board, none)
+    assert [r["candidates"] for r in pairs.collect()] == [["ب", "الف"]]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct") == 1
