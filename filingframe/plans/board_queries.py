@@ -312,10 +312,15 @@ SELECT grain, period, people, edges, companies FROM
 )
 
 
+def _counted(groups):
+    """What the overview reads of the groups, written once: nodes and counts start from it."""
+    return materialise(groups.select("grain", "period", "pairs"), "groups")
+
+
 @query("report_interlock_periods", OVERVIEW_SQL)
 def report_interlock_periods(spark, path):
     members = board_members(spark, path)
-    groups = graph.interlock_groups(_months(members))
+    groups = _counted(graph.interlock_groups(_months(members)))
     return graph.period_overview(groups, graph.period_nodes(members, groups))
 
 
@@ -325,7 +330,7 @@ def stored_interlock_periods(spark, path):
     members = board_members(spark, path)
     folder = f"{shared_dir(spark)}/seats-{uuid.uuid4().hex}"
     seats = buckets.write(_months(members), folder, graph.SEAT)
-    groups = graph.interlock_groups(seats)
+    groups = _counted(graph.interlock_groups(seats))
     return graph.period_overview(groups, graph.period_nodes(members, groups))
 
 
