@@ -18,7 +18,7 @@ from filingframe.plans.views import (
     prices,
     with_views,
 )
-from filingframe.session import shared_dir
+from filingframe.session import materialise, shared_dir
 
 
 def _corrections(spark, path):
@@ -134,13 +134,14 @@ def searched_instruments(spark, path):
     ),
 )
 def holders_as_of(spark, path):
-    tries = _pairs(spark, path).select(
-        "company", "assembly_date", "day", F.explode("candidates").alias("name")
-    )
+    tries = resolve.explode_candidates(_pairs(spark, path), ["company", "assembly_date", "day"])
+    tries = tries.drop("pos").withColumnRenamed("candidate", "name")
     found = resolve.resolve_instruments(tries, instruments(spark, path), aliases(spark, path))
     targets = found.where("ins_code is not null and day is not null").select(
         "company", "assembly_date", "name", "ins_code", "day"
     )
+    # their days, their keys and they themselves are read
+    targets = materialise(targets, "targets")
     rows = resolve.as_of_forward(targets, holders(spark, path), prices(spark, path))
     return rows.select(
         "company",
